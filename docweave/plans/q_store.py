@@ -1,3 +1,290 @@
-"""Registered queries."""
+"""Registered vector-store queries: objects, ids, batches, upsert, verify."""
 
-from docweave.plans.registry import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from docweave.functions import text as tx
+from docweave.functions import vectors as vx
+from docweave.operators import ingest, store
+from docweave.operators.vectorops import signature
+from docweave.plans import sqlgen as S
+from docweave.plans.q_vectors import chunk_vectors
+from docweave.plans.registry import register
+from docweave.session import scratch_path
+from docweave.sources import json_io
+
+_CH = f"{S.doc_tokens_cte()}, {S.token_chunks_cte(200)}"
+_HV = S.hashed_vectors_ctes("chunks", "doc_id, chunk_id", "chunk_text")
+
+
+def _batches_sql(src: str, name: str) -> str:
+    return (f"{name}_p AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS pos, count(*) OVER () AS n FROM {src}), "
+            f"{name} AS (SELECT *, pos // 100 AS batch, 'namespace_' || (least((pos // 100 + 1) * 100 - 1, n - 1) // 1000)::VARCHAR "
+            f"AS namespace, 'namespace_' || (n // 1000)::VARCHAR AS last_namespace FROM {name}_p)")
+
+
+# --- vector objects ---------------------------------------------------------
+
+def _doc_meta(t):
+    d = t.documents
+    return d.select("doc_id",
+                    F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("filename"),
+                    F.octet_length("text").cast("bigint").alias("file_size"),
+                    F.lit(None).cast("string").alias("creation_date"),
+                    F.lit(None).cast("string").alias("last_modified"),
+                    F.size(F.split("text", "\n")).cast("int").alias("num_pages"),
+                    F.coalesce(F.col("source"), F.lit("Unknown")).alias("author"),
+                    F.coalesce(F.lit(None).cast("string"), F.lit("Unknown")).alias("creation_date_pdf"))
+
+
+def vector_object_frame(t):
+    return ingest.vector_objects(chunk_vectors(t), _doc_meta(t))
+
+
+def _flat_objects(v):
+    return v.select("id", F.size("values").cast("bigint").alias("dim"),
+                    F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + F.abs(x.cast("double"))), 6).alias("l1"),
+                    "metadata.filename", "metadata.file_size", F.col("metadata.num_pages").cast("bigint").alias("num_pages"),
+                    "metadata.author", "metadata.creation_date_pdf",
+                    F.col("metadata.chunk_id").cast("bigint").alias("chunk_id"),
+                    F.col("metadata.chunk_text").alias("chunk_text"))
+
+
+_OBJECTS_SQL = f"""
+WITH {_CH}, {_HV},
+sig AS (SELECT doc_id, chunk_id, sum(abs(v)) AS l1 FROM h_vec GROUP BY ALL)
+SELECT c.doc_id::VARCHAR || '_chunk_' || c.chunk_id::VARCHAR AS id, 64::BIGINT AS dim,
+       round(coalesce(s.l1, 0.0), 6) AS l1,
+       'doc_' || c.doc_id::VARCHAR || '.pdf' AS filename, strlen(d.text)::BIGINT AS file_size,
+       len(string_split(d.text, chr(10)))::BIGINT AS num_pages, coalesce(d.source, 'Unknown') AS author,
+       'Unknown' AS creation_date_pdf, c.chunk_id, substring(c.chunk_text, 1, 1000) AS chunk_text
+FROM chunks c JOIN documents d USING (doc_id) LEFT JOIN sig s USING (doc_id, chunk_id)
+"""
+
+
+@register("vector_objects", _OBJECTS_SQL)
+def vector_objects(t):
+    """Id "<file>_chunk_<i>", values, metadata spread + chunk fields."""
+    return _flat_objects(vector_object_frame(t))
+
+
+@register("json_vectors_roundtrip", _OBJECTS_SQL)
+def json_vectors_roundtrip(t):
+    """Vector objects written as JSON, read back strictly (FAILFAST, declared schema)."""
+    path = scratch_path(t.spark, "vectors-json")
+    json_io.write_vectors_json(vector_object_frame(t), path)
+    return _flat_objects(json_io.read_vectors_json(t.spark, path))
+
+
+# --- ids, batches, namespaces -------------------------------------------------
+
+def _emb_items(t):
+    return t.embeddings.select(F.concat(F.lit("vec_"), F.col("vec_id").cast("string")).alias("id"),
+                               F.col("embedding").alias("values"))
+
+
+@register("assign_batches", f"""
+WITH e AS (SELECT 'vec_' || vec_id::VARCHAR AS id FROM embeddings), {_batches_sql('e', 'b')}
+SELECT id, pos::BIGINT AS pos, batch::BIGINT AS batch, namespace FROM b
+""")
+def assign_batches(t):
+    """K2: batch of 100 by stable position (order by id), no single-task window."""
+    b = store.assign_batches(_emb_items(t).select("id"), ["id"])
+    return b.select("id", "pos", "batch", "namespace")
+
+
+@register("assign_namespaces", f"""
+WITH {_CH}, e AS (SELECT doc_id::VARCHAR || '_chunk_' || chunk_id::VARCHAR AS id FROM chunks),
+{_batches_sql('e', 'b')}
+SELECT id, pos::BIGINT AS pos, batch::BIGINT AS batch, namespace, last_namespace FROM b
+""")
+def assign_namespaces(t):
+    """K3/Q12/Q13: namespace_{j div 1000} of the flush index; and the loader's
+    'last namespace' (n div 1000)."""
+    ch = ingest.ingest_chunks(t.documents, 200)
+    ids = ch.select(F.concat_ws("_chunk_", F.col("doc_id").cast("string"),
+                                F.col("chunk_id").cast("string")).alias("id"))
+    b = store.assign_batches(ids, ["id"])
+    return b.select("id", "pos", "batch", "namespace", "last_namespace")
+
+
+@register("assign_ids", f"""
+WITH {_CH},
+e AS (SELECT CASE WHEN l.doc_id IS NOT NULL THEN c.doc_id::VARCHAR || '_chunk_' || c.chunk_id::VARCHAR END AS raw_id,
+             c.doc_id, c.chunk_id FROM chunks c LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)),
+p AS (SELECT *, row_number() OVER (ORDER BY doc_id, chunk_id) - 1 AS pos FROM e)
+SELECT doc_id, chunk_id, pos::BIGINT AS pos, coalesce(raw_id, 'auto_id_' || pos::VARCHAR) AS id FROM p
+""")
+def assign_ids(t):
+    """Chunks of documents without a label record carry no id and get
+    auto_id_<position>; positions come from one distributed pass."""
+    ch = ingest.ingest_chunks(t.documents, 200)
+    lab = t.labels.select("doc_id").distinct().withColumn("_has", F.lit(True))
+    e = ch.join(lab, "doc_id", "left").select(
+        "doc_id", "chunk_id",
+        F.when(F.col("_has"), F.concat_ws("_chunk_", F.col("doc_id").cast("string"),
+                                          F.col("chunk_id").cast("string"))).alias("id"))
+    p = store.with_positions(e, ["doc_id", "chunk_id"])
+    p = store.assign_ids(p, "id")
+    return p.select("doc_id", F.col("chunk_id").cast("bigint").alias("chunk_id"), "pos", "id")
+
+
+# --- upsert scenario ------------------------------------------------------------
+# existing store: the embeddings (seq 1); incoming run: every document chunk
+# vector plus every embedding re-sent cut to 48 dimensions (seq 2).
+
+def _existing(t):
+    return store.assign_batches(_emb_items(t), ["id"]).withColumn("seq", F.lit(1))
+
+
+def _incoming(t):
+    ch = chunk_vectors(t).select("id", "values")
+    emb = _emb_items(t).withColumn("values", vx.fit_dimension("values", 48))
+    return store.assign_batches(ch.unionByName(emb), ["id"]).withColumn("seq", F.lit(2))
+
+
+def _merged(t):
+    cols = ["namespace", "id", "values", "seq"]
+    return store.upsert(_existing(t).select(*cols), _incoming(t).select(*cols))
+
+
+_UPSERT_CTES = f"""
+{_CH}, {_HV},
+csig AS (SELECT doc_id, chunk_id, sum(abs(v)) AS l1 FROM h_vec GROUP BY ALL),
+inc0 AS (SELECT c.doc_id::VARCHAR || '_chunk_' || c.chunk_id::VARCHAR AS id, 64::BIGINT AS dim,
+                coalesce(s.l1, 0.0) AS l1 FROM chunks c LEFT JOIN csig s USING (doc_id, chunk_id)
+         UNION ALL
+         SELECT 'vec_' || vec_id::VARCHAR AS id, least(len(embedding), 48)::BIGINT AS dim,
+                list_sum(list_transform(embedding[1:48], lambda x: abs(x::DOUBLE))) AS l1 FROM embeddings),
+{_batches_sql('inc0', 'inc')},
+ex0 AS (SELECT 'vec_' || vec_id::VARCHAR AS id, len(embedding)::BIGINT AS dim,
+               list_sum(list_transform(embedding, lambda x: abs(x::DOUBLE))) AS l1 FROM embeddings),
+{_batches_sql('ex0', 'ex')},
+allv AS (SELECT namespace, id, dim, l1, 1 AS seq FROM ex UNION ALL SELECT namespace, id, dim, l1, 2 AS seq FROM inc),
+merged AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY namespace, id ORDER BY seq DESC) AS rn FROM allv) WHERE rn = 1)
+"""
+
+
+@register("upsert_merge", f"""
+WITH {_UPSERT_CTES}
+SELECT namespace, id, seq::BIGINT AS seq, dim, round(l1, 6) AS l1 FROM merged
+""")
+def upsert_merge(t):
+    """Last write wins per (namespace, id)."""
+    m = _merged(t)
+    return m.select("namespace", "id", F.col("seq").cast("bigint").alias("seq"),
+                    F.size("values").cast("bigint").alias("dim"),
+                    F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + F.abs(x.cast("double"))), 6).alias("l1"))
+
+
+@register("upsert_reconcile", f"""
+WITH {_UPSERT_CTES}
+SELECT (SELECT count(*) FROM inc)::BIGINT AS expected,
+       (SELECT count(*) FROM merged WHERE seq = 2)::BIGINT AS upserted,
+       ((SELECT count(*) FROM inc) - (SELECT count(*) FROM merged WHERE seq = 2))::BIGINT AS failed
+""")
+def upsert_reconcile(t):
+    """Expected vs actually stored from the incoming run."""
+    inc = _incoming(t)
+    m = _merged(t)
+    exp = inc.agg(F.count("*").cast("bigint").alias("expected"), F.lit(1).alias("_k"))
+    act = m.agg(F.count_if(F.col("seq") == 2).cast("bigint").alias("upserted"), F.lit(1).alias("_k"))
+    return exp.join(act, "_k").select("expected", "upserted",
+                                      (F.col("expected") - F.col("upserted")).alias("failed"))
+
+
+@register("namespace_counts", f"""
+WITH {_UPSERT_CTES}
+SELECT namespace, count(*)::BIGINT AS vector_count FROM merged GROUP BY namespace
+""")
+def namespace_counts(t):
+    """Vectors per namespace of the merged store."""
+    return store.namespace_counts(_merged(t))
+
+
+@register("index_stats", f"""
+WITH {_UPSERT_CTES}
+SELECT max(dim)::BIGINT AS dimension, count(*)::BIGINT AS total_vector_count,
+       count(*) / 100000.0 AS index_fullness, printf('%.2f%%', count(*) / 100000.0 * 100) AS fullness_text
+FROM merged
+""")
+def index_stats(t):
+    """Dimension, count, fullness (capacity 100,000), printed as a percentage."""
+    return store.index_stats(_merged(t), capacity=100_000)
+
+
+@register("fetch_by_ids", f"""
+WITH {_UPSERT_CTES}
+SELECT m.namespace, m.id, m.seq::BIGINT AS seq FROM merged m
+WHERE m.id IN (SELECT c.doc_id::VARCHAR || '_chunk_' || c.chunk_id::VARCHAR FROM chunks c
+               JOIN labels l USING (doc_id))
+""")
+def fetch_by_ids(t):
+    """Fetch the vectors of labelled documents' chunks by id (semi join)."""
+    ch = ingest.ingest_chunks(t.documents, 200).join(t.labels.select("doc_id"), "doc_id", "left_semi")
+    ids = ch.select(F.concat_ws("_chunk_", F.col("doc_id").cast("string"),
+                                F.col("chunk_id").cast("string")).alias("id"))
+    return store.fetch(_merged(t), ids).select("namespace", "id", F.col("seq").cast("bigint").alias("seq"))
+
+
+@register("topk_namespace", f"""
+WITH {S.doc_tokens_cte()}, {S.token_chunks_cte(200)},
+e AS (SELECT doc_id::VARCHAR || '_chunk_' || chunk_id::VARCHAR AS id, chunk_text, doc_id, chunk_id FROM chunks),
+{_batches_sql('e', 'b')},
+{S.hashed_vectors_ctes("b WHERE namespace = 'namespace_1'", 'id', 'chunk_text', prefix='h')},
+qt AS (SELECT item_id, array_to_string({S.drop_stop(S.tokens(S.clean('text')))}, ' ') AS qt FROM benchmark),
+{S.hashed_vectors_ctes('qt', 'item_id', 'qt', prefix='g')},
+cn AS (SELECT id, sqrt(sum(v * v)) AS n FROM h_vec GROUP BY id),
+qn AS (SELECT item_id, sqrt(sum(v * v)) AS n FROM g_vec GROUP BY item_id),
+dp AS (SELECT g.item_id, h.id, sum(h.v * g.v) AS d FROM h_vec h JOIN g_vec g USING (b) GROUP BY ALL),
+sc AS (SELECT dp.item_id, dp.id, d / (cn.n * qn.n) AS score FROM dp JOIN cn USING (id) JOIN qn USING (item_id)),
+rk AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, id) AS rank FROM sc)
+SELECT item_id, rank::BIGINT AS rank, id, round(score, 4) AS score FROM rk WHERE rank <= 5
+""")
+def topk_namespace(t):
+    """Search restricted to one namespace (partition filter first)."""
+    from docweave.operators import search
+    from docweave.plans.q_vectors import query_vectors
+    cv = chunk_vectors(t).select("id", "values")
+    b = store.assign_batches(cv, ["id"]).filter(F.col("namespace") == "namespace_1")
+    res = search.top_k(b.select("id", "values"), query_vectors(t).select("item_id", "values"), k=5,
+                       id_col="id", qid_col="item_id", dim=vx.DEFAULT_DIM)
+    return res.select("item_id", F.col("rank").cast("bigint").alias("rank"), "id",
+                      F.round("score", 4).alias("score"))
+
+
+# --- verification -----------------------------------------------------------------
+# The incoming run is verified against a store whose namespace_1 write was lost.
+
+def _damaged_store(t):
+    return _merged(t).filter(F.col("namespace") != "namespace_1")
+
+
+_VERIFY_CTES = _UPSERT_CTES + """,
+damaged AS (SELECT * FROM merged WHERE namespace <> 'namespace_1')
+"""
+
+
+@register("verify_missing", f"""
+WITH {_VERIFY_CTES}
+SELECT i.namespace, i.id FROM inc i
+WHERE NOT EXISTS (SELECT 1 FROM damaged d WHERE d.namespace = i.namespace AND d.id = i.id)
+""")
+def verify_missing(t):
+    """Incoming ids not present in their own namespace (anti join)."""
+    missing, _ = store.verify(_damaged_store(t), _incoming(t))
+    return missing.select("namespace", "id")
+
+
+@register("verify_summary", f"""
+WITH {_VERIFY_CTES},
+f AS (SELECT i.*, d.id IS NOT NULL AS hit FROM inc i LEFT JOIN damaged d USING (namespace, id))
+SELECT count_if(hit)::BIGINT AS verified, count_if(NOT hit)::BIGINT AS failed, count(*)::BIGINT AS total,
+       count_if(hit AND namespace = last_namespace)::BIGINT AS verified_in_last_namespace
+FROM f
+""")
+def verify_summary(t):
+    """Verified / failed / total, plus the last-namespace-only count."""
+    _, summary = store.verify(_damaged_store(t), _incoming(t))
+    return summary
