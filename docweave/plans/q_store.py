@@ -54,7 +54,7 @@ def _flat_objects(v):
 _OBJECTS_SQL = f"""
 WITH {_CH}, {_HV},
 sig AS (SELECT doc_id, chunk_id, sum(abs(v)) AS l1 FROM h_vec GROUP BY ALL)
-SELECT c.doc_id::VARCHAR || '_chunk_' || c.chunk_id::VARCHAR AS id, 64::BIGINT AS dim,
+SELECT 'doc_' || c.doc_id::VARCHAR || '.pdf_chunk_' || c.chunk_id::VARCHAR AS id, 64::BIGINT AS dim,
        round(coalesce(s.l1, 0.0), 6) AS l1,
        'doc_' || c.doc_id::VARCHAR || '.pdf' AS filename, strlen(d.text)::BIGINT AS file_size,
        len(string_split(d.text, chr(10)))::BIGINT AS num_pages, coalesce(d.source, 'Unknown') AS author,
