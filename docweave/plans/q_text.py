@@ -166,3 +166,43 @@ def iso_times(t):
     """Timestamps as ISO text (UTC) and as float epoch seconds."""
     return t.events.select("event_id", tx.iso_time("ts").alias("ts_iso"),
                            (F.unix_micros(F.col("ts").cast("timestamp")).cast("double") / 1e6).alias("ts_epoch"))
+
+
+def _lemma_ctes() -> str:
+    from docweave.operators.lemmas import NOUN_RULES
+    rules = ", ".join(f"({S.q(s)}, {S.q(r)})" for s, r in NOUN_RULES)
+    return f"""{S.doc_tokens_cte()},
+vocab AS (SELECT DISTINCT unnest(toks) AS word FROM dtok),
+rules(suf, rep) AS (VALUES {rules}),
+cand AS (SELECT v.word, substring(v.word, 1, length(v.word) - length(r.suf)) || r.rep AS c
+         FROM vocab v JOIN rules r ON suffix(v.word, r.suf) AND length(v.word) > length(r.suf)),
+ok AS (SELECT cand.* FROM cand WHERE c IN (SELECT word FROM vocab)),
+lem AS (SELECT word, first(c ORDER BY length(c), c) AS lemma FROM ok GROUP BY word),
+lemd AS (SELECT * FROM lem WHERE lemma <> word)"""
+
+
+@register("lemma_vocab", f"""
+WITH {_lemma_ctes()}
+SELECT word, lemma FROM lemd
+""")
+def lemma_vocab(t):
+    """rule + vocabulary noun lemmas (only words whose lemma differs)."""
+    from docweave.operators.lemmas import lemma_table
+    return lemma_table(ingest.with_tokens(t.documents.select("doc_id", "text")))
+
+
+@register("lemmatize", f"""
+WITH {_lemma_ctes()},
+ex AS (SELECT doc_id, unnest(toks) AS word, unnest(generate_series(1, len(toks))) AS p FROM dtok),
+lx AS (SELECT ex.doc_id, ex.p, coalesce(lemd.lemma, ex.word) AS w FROM ex LEFT JOIN lemd USING (word))
+SELECT d.doc_id, len(d.toks)::BIGINT AS n_tokens,
+       coalesce((SELECT string_agg(w, ' ' ORDER BY p) FROM lx WHERE lx.doc_id = d.doc_id), '') AS lemma_text
+FROM dtok d
+""")
+def lemmatize(t):
+    """Every token replaced by its lemma (broadcast lookup when the table is small)."""
+    from docweave.operators.lemmas import apply_lemmas, lemma_table
+    d = ingest.with_tokens(t.documents.select("doc_id", "text"))
+    out = apply_lemmas(d, lemma_table(d))
+    return out.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"),
+                      F.array_join("tokens", " ").alias("lemma_text"))
