@@ -1,3 +1,301 @@
-"""Registered queries."""
+"""Registered knowledge-graph queries over the graph built from the
+relational tables (node ids ``kind:key``)."""
 
-from docweave.plans.registry import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from docweave.functions import text as tx
+from docweave.operators import graph as G
+from docweave.operators import ingest
+from docweave.plans import sqlgen as S
+from docweave.plans.registry import register
+
+_REL = "array<struct<type:string,target:string>>"
+
+
+def _key(kind, col):
+    return F.concat(F.lit(kind + ":"), F.col(col).cast("string"))
+
+
+def _rel(typ, target):
+    return F.array(F.struct(F.lit(typ).alias("type"), target.alias("target")))
+
+
+def _no_rel():
+    return F.array().cast(_REL)
+
+
+def tpch_graph(t):
+    """(nodes, edges) of the stand-in graph: regions, nations, suppliers,
+    customers, orders (no definition), parts; edges in_region, in_nation,
+    placed, contains, supplied_by."""
+    m = F.create_map
+    L = F.lit
+    concepts = (
+        t.region.select(_key("region", "r_regionkey").alias("concept"), F.col("r_name").alias("definition"),
+                        m(L("category"), L("region")).alias("properties"), _no_rel().alias("relationships"))
+        .unionByName(t.nation.select(_key("nation", "n_nationkey").alias("concept"), F.col("n_name").alias("definition"),
+                                     m(L("category"), L("nation")).alias("properties"),
+                                     _rel("in_region", _key("region", "n_regionkey")).alias("relationships")))
+        .unionByName(t.supplier.select(_key("supplier", "s_suppkey").alias("concept"), F.col("s_name").alias("definition"),
+                                       m(L("category"), L("supplier")).alias("properties"),
+                                       _rel("in_nation", _key("nation", "s_nationkey")).alias("relationships")))
+        .unionByName(t.customer.select(_key("customer", "c_custkey").alias("concept"), F.col("c_name").alias("definition"),
+                                       m(L("category"), L("customer"), L("segment"), F.col("c_mktsegment")).alias("properties"),
+                                       _rel("in_nation", _key("nation", "c_nationkey")).alias("relationships")))
+        .unionByName(t.orders.select(_key("order", "o_orderkey").alias("concept"), L(None).cast("string").alias("definition"),
+                                     m(L("status"), F.col("o_orderstatus"), L("priority"), F.col("o_orderpriority")).alias("properties"),
+                                     _no_rel().alias("relationships")))
+        .unionByName(t.part.select(_key("part", "p_partkey").alias("concept"), F.col("p_name").alias("definition"),
+                                   m(L("category"), L("part"), L("brand"), F.col("p_brand"), L("type"), F.col("p_type"))
+                                   .alias("properties"), _no_rel().alias("relationships"))))
+    li = t.lineitem
+    extra = (t.orders.select(_key("customer", "o_custkey").alias("src"), _key("order", "o_orderkey").alias("dst"),
+                             L("placed").alias("type"))
+             .unionByName(li.select(_key("order", "l_orderkey").alias("src"), _key("part", "l_partkey").alias("dst"),
+                                    L("contains").alias("type")))
+             .unionByName(li.select(_key("part", "l_partkey").alias("src"), _key("supplier", "l_suppkey").alias("dst"),
+                                    L("supplied_by").alias("type"))))
+    return G.build_graph(concepts, extra)
+
+
+KG = """
+concepts AS (
+  SELECT 'region:' || r_regionkey AS id, r_name AS definition, 'region' AS category, 1 AS n_props FROM region
+  UNION ALL SELECT 'nation:' || n_nationkey, n_name, 'nation', 1 FROM nation
+  UNION ALL SELECT 'supplier:' || s_suppkey, s_name, 'supplier', 1 FROM supplier
+  UNION ALL SELECT 'customer:' || c_custkey, c_name, 'customer', 2 FROM customer
+  UNION ALL SELECT 'order:' || o_orderkey, NULL, NULL, 2 FROM orders
+  UNION ALL SELECT 'part:' || p_partkey, p_name, 'part', 3 FROM part),
+edges0 AS (
+  SELECT 'nation:' || n_nationkey AS src, 'region:' || n_regionkey AS dst, 'in_region' AS type FROM nation
+  UNION ALL SELECT 'supplier:' || s_suppkey, 'nation:' || s_nationkey, 'in_nation' FROM supplier
+  UNION ALL SELECT 'customer:' || c_custkey, 'nation:' || c_nationkey, 'in_nation' FROM customer
+  UNION ALL SELECT 'customer:' || o_custkey, 'order:' || o_orderkey, 'placed' FROM orders
+  UNION ALL SELECT 'order:' || l_orderkey, 'part:' || l_partkey, 'contains' FROM lineitem
+  UNION ALL SELECT 'part:' || l_partkey, 'supplier:' || l_suppkey, 'supplied_by' FROM lineitem),
+edges AS (SELECT src, dst, max(type) AS type FROM edges0 GROUP BY src, dst),
+nodes AS (
+  SELECT id, definition, category, n_props FROM concepts
+  UNION ALL
+  SELECT x.id, NULL, NULL, 0 FROM (SELECT src AS id FROM edges UNION SELECT dst FROM edges) x
+  WHERE x.id NOT IN (SELECT id FROM concepts))
+"""
+
+
+@register("kg_build_nodes", f"""
+WITH {KG}
+SELECT id, definition, coalesce(category, 'default') AS category, n_props::BIGINT AS n_props, false AS verified FROM nodes
+""")
+def kg_build_nodes(t):
+    """Declared concepts plus undeclared edge endpoints."""
+    nodes, _ = tpch_graph(t)
+    return nodes.select("id", "definition", G.node_group().alias("category"),
+                        F.size("properties").cast("bigint").alias("n_props"), "verified")
+
+
+@register("kg_build_edges", f"WITH {KG} SELECT src, dst, type FROM edges")
+def kg_build_edges(t):
+    """One edge per (src, dst), last write wins on the type."""
+    return tpch_graph(t)[1]
+
+
+@register("kg_node_groups", f"""
+WITH {KG}
+SELECT coalesce(category, 'default') AS category, count(*)::BIGINT AS n_nodes FROM nodes GROUP BY 1
+""")
+def kg_node_groups(t):
+    """group = properties['category'] with 'default' when absent."""
+    nodes, _ = tpch_graph(t)
+    return nodes.groupBy(G.node_group().alias("category")).agg(F.count("*").cast("bigint").alias("n_nodes"))
+
+
+@register("kg_export", f"""
+WITH {KG}
+SELECT 'node' AS kind, id AS a, NULL::VARCHAR AS b, definition AS title, coalesce(category, 'default') AS grp,
+       NULL::VARCHAR AS arrows FROM nodes
+UNION ALL
+SELECT 'edge', src, dst, type, NULL, 'to' FROM edges
+""")
+def kg_export(t):
+    """visual payload as data: node title/group rows and edge title/arrow rows."""
+    nodes, edges = tpch_graph(t)
+    n = nodes.select(F.lit("node").alias("kind"), F.col("id").alias("a"), F.lit(None).cast("string").alias("b"),
+                     F.col("definition").alias("title"), G.node_group().alias("grp"),
+                     F.lit(None).cast("string").alias("arrows"))
+    e = edges.select(F.lit("edge").alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b"),
+                     F.col("type").alias("title"), F.lit(None).cast("string").alias("grp"), F.lit("to").alias("arrows"))
+    return n.unionByName(e)
+
+
+_VALIDATE = f"""
+{KG},
+outs AS (SELECT DISTINCT src AS id FROM edges),
+ins AS (SELECT DISTINCT dst AS id FROM edges),
+issues AS (
+  SELECT 'missing_definition' AS kind, id, 'Missing definition for ' || id AS message FROM nodes WHERE definition IS NULL
+  UNION ALL
+  SELECT 'no_successor', id, 'Isolated concept: ' || id FROM nodes WHERE id NOT IN (SELECT id FROM outs)
+  UNION ALL
+  SELECT 'isolated', id, 'No edge at all: ' || id FROM nodes
+  WHERE id NOT IN (SELECT id FROM outs) AND id NOT IN (SELECT id FROM ins))
+"""
+
+
+@register("kg_validate", f"WITH {_VALIDATE} SELECT kind, id, message FROM issues")
+def kg_validate(t):
+    """Missing definitions, nodes without successor, isolated nodes."""
+    return G.validate(*tpch_graph(t))
+
+
+@register("kg_validate_counts", f"WITH {_VALIDATE} SELECT kind, count(*)::BIGINT AS n FROM issues GROUP BY kind")
+def kg_validate_counts(t):
+    """Issue counts by kind."""
+    return G.validate(*tpch_graph(t)).groupBy("kind").agg(F.count("*").cast("bigint").alias("n"))
+
+
+@register("kg_neighbors", f"""
+WITH {KG}
+SELECT e.src, e.type, e.dst, n.definition AS dst_definition FROM edges e LEFT JOIN nodes n ON n.id = e.dst
+""")
+def kg_neighbors(t):
+    """Outgoing relationships with the target's attributes."""
+    return G.neighbors(*tpch_graph(t))
+
+
+@register("kg_context", f"""
+WITH {KG}
+SELECT n.id, n.definition, coalesce(n.category, 'default') AS category, e.type, e.dst AS target,
+       CASE WHEN e.dst IS NULL THEN 0 ELSE 1 END::BIGINT AS depth
+FROM nodes n LEFT JOIN edges e ON e.src = n.id
+""")
+def kg_context(t):
+    """Each concept's definition, group and depth-1 relationships in
+    long form (depth 0 and null type/target for a concept without any) (no per-concept list is materialised, so a hub cannot blow up
+    one row)."""
+    nodes, edges = tpch_graph(t)
+    j = nodes.join(edges.withColumnRenamed("src", "id"), "id", "left")
+    return j.select("id", "definition", G.node_group().alias("category"), "type",
+                    F.col("dst").alias("target"),
+                    F.when(F.col("dst").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("depth"))
+
+
+@register("kg_context_depth", f"""
+WITH RECURSIVE {KG},
+r(source, node, depth) AS (
+  SELECT 'customer:' || c_custkey, 'customer:' || c_custkey, 0 FROM customer
+  UNION
+  SELECT r.source, e.dst, r.depth + 1 FROM r JOIN edges e ON e.src = r.node WHERE r.depth < 2),
+first AS (SELECT source, node, min(depth) AS depth FROM r GROUP BY ALL),
+typed AS (SELECT f.source, f.node, f.depth, min(e.type) AS type FROM first f
+          JOIN r p ON p.source = f.source AND p.depth = f.depth - 1
+          JOIN edges e ON e.src = p.node AND e.dst = f.node
+          WHERE f.depth > 0 AND f.node <> f.source GROUP BY ALL)
+SELECT source, node, type, depth::INTEGER AS depth FROM typed
+WHERE (source, node) NOT IN (SELECT source, node FROM first WHERE depth = 0)
+""")
+def kg_context_depth(t):
+    """Every customer's relationships hop by hop up to depth 2."""
+    _, edges = tpch_graph(t)
+    src = t.customer.select(_key("customer", "c_custkey").alias("source")).withColumn("node", F.col("source"))
+    return G.expand(src, edges, 2)
+
+
+@register("kg_reachable", f"""
+WITH RECURSIVE {KG},
+r(source, node, depth) AS (
+  SELECT 'region:' || r_regionkey, 'region:' || r_regionkey, 0 FROM region
+  UNION
+  SELECT r.source, e.src, r.depth + 1 FROM r JOIN edges e ON e.dst = r.node WHERE r.depth < 3)
+SELECT source, node, min(depth)::INTEGER AS depth FROM r GROUP BY source, node HAVING min(depth) > 0
+""")
+def kg_reachable(t):
+    """For every region, the concepts that reach it within 3 hops, with depth."""
+    _, edges = tpch_graph(t)
+    src = t.region.select(_key("region", "r_regionkey").alias("source")).withColumn("node", F.col("source"))
+    return G.expand(src, edges, 3, reverse=True).select("source", "node", "depth")
+
+
+def _top_customer(t):
+    """The customer with the most orders (smallest key on ties), as a 1-row frame."""
+    c = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"))
+    return c.orderBy(F.desc("n"), F.asc("o_custkey")).limit(1).select(_key("customer", "o_custkey").alias("source"))
+
+
+_SP_SQL = f"""
+WITH RECURSIVE {KG},
+src AS (SELECT 'customer:' || o_custkey AS source FROM orders GROUP BY o_custkey
+        ORDER BY count(*) DESC, o_custkey LIMIT 1),
+r(node, depth, path_text, path) AS (
+  SELECT source, 0, source, []::STRUCT(src VARCHAR, type VARCHAR, dst VARCHAR)[] FROM src
+  UNION ALL
+  SELECT e.dst, r.depth + 1, r.path_text || ' -' || e.type || '-> ' || e.dst,
+         list_append(r.path, {{'src': r.node, 'type': e.type, 'dst': e.dst}})
+  FROM r JOIN edges e ON e.src = r.node WHERE r.depth < 4),
+md AS (SELECT node, min(depth) AS depth FROM r GROUP BY node),
+best AS (SELECT r.node, r.depth, min(r.path_text) AS path_text FROM r JOIN md USING (node, depth) GROUP BY ALL),
+bp AS (SELECT b.node, b.depth, b.path_text, any_value(r.path) AS path FROM best b
+       JOIN r ON r.node = b.node AND r.path_text = b.path_text GROUP BY ALL)
+"""
+
+
+@register("kg_shortest_path", _SP_SQL + """
+SELECT node, depth::INTEGER AS depth, path_text FROM bp WHERE node LIKE 'nation:%'
+""")
+def kg_shortest_path(t):
+    """Shortest typed path from the most active customer to every
+    nation within 4 hops (smallest path text among equals)."""
+    _, edges = tpch_graph(t)
+    p = G.shortest_paths(_top_customer(t), edges, 4)
+    return p.filter(F.col("node").startswith("nation:")).select("node", "depth", "path_text")
+
+
+@register("kg_path_edges", _SP_SQL + """,
+ex AS (SELECT node, unnest(generate_series(0, len(path) - 1)) AS hop, unnest(path) AS h FROM bp
+       WHERE node LIKE 'nation:%')
+SELECT node, hop::INTEGER AS hop, h.src AS src, h.type AS type, h.dst AS dst FROM ex
+""")
+def kg_path_edges(t):
+    """K8: the hops of each shortest path in order."""
+    _, edges = tpch_graph(t)
+    p = G.shortest_paths(_top_customer(t), edges, 4).filter(F.col("node").startswith("nation:"))
+    x = p.select("node", F.posexplode("path").alias("hop", "h"))
+    return x.select("node", F.col("hop").cast("int").alias("hop"), "h.src", "h.type", "h.dst")
+
+
+@register("kg_pattern_lookup", f"""
+WITH {KG}
+SELECT c.id AS customer, n.definition AS nation, r.definition AS region
+FROM nodes c JOIN edges e1 ON e1.src = c.id AND e1.type = 'in_nation'
+JOIN nodes n ON n.id = e1.dst JOIN edges e2 ON e2.src = n.id AND e2.type = 'in_region'
+JOIN nodes r ON r.id = e2.dst WHERE c.category = 'customer'
+""")
+def kg_pattern_lookup(t):
+    """Pattern (customer)-[in_nation]->(nation)-[in_region]->(region)
+    answered with filters and equi joins."""
+    nodes, edges = tpch_graph(t)
+    c = nodes.filter(G.node_group() == "customer").select(F.col("id").alias("customer"))
+    e1 = edges.filter(F.col("type") == "in_nation").select(F.col("src").alias("customer"), F.col("dst").alias("nid"))
+    e2 = edges.filter(F.col("type") == "in_region").select(F.col("src").alias("nid"), F.col("dst").alias("rid"))
+    n = nodes.select(F.col("id").alias("nid"), F.col("definition").alias("nation"))
+    r = nodes.select(F.col("id").alias("rid"), F.col("definition").alias("region"))
+    return c.join(e1, "customer").join(n, "nid").join(e2, "nid").join(r, "rid").select("customer", "nation", "region")
+
+
+@register("chunk_nodes", f"""
+WITH {S.doc_tokens_cte()}, {S.token_chunks_cte(200)}, {S.hashed_vectors_ctes('chunks', 'doc_id, chunk_id', 'chunk_text')},
+sig AS (SELECT doc_id, chunk_id, count_if(v <> 0)::BIGINT AS nnz FROM h_vec GROUP BY ALL)
+SELECT 'chunk:' || c.doc_id || ':' || c.chunk_id AS id, 'Chunk' AS label, c.chunk_text AS text,
+       64::BIGINT AS dim, coalesce(s.nnz, 0)::BIGINT AS nnz
+FROM chunks c LEFT JOIN sig s USING (doc_id, chunk_id)
+""")
+def chunk_nodes(t):
+    """Chunks as graph nodes with label, text and textEmbedding."""
+    from docweave.plans.q_vectors import chunk_vectors
+    v = chunk_vectors(t)
+    return v.select(F.concat(F.lit("chunk:"), F.col("doc_id").cast("string"), F.lit(":"),
+                             F.col("chunk_id").cast("string")).alias("id"),
+                    F.lit("Chunk").alias("label"), F.col("chunk_text").alias("text"),
+                    F.size("values").cast("bigint").alias("dim"),
+                    F.size(F.filter("values", lambda x: x != 0)).cast("bigint").alias("nnz"))
