@@ -1,3 +1,157 @@
-"""Registered queries."""
+"""Registered prompt, chat, JSON-output and test-case queries."""
 
-from docweave.plans.registry import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from docweave.functions import templates as TP
+from docweave.functions import text as tx
+from docweave.plans import sqlgen as S
+from docweave.plans.q_graph import KG, tpch_graph
+from docweave.plans.registry import register
+
+
+def test_cases(t):
+    """One definition case per node, one relationship case per edge."""
+    nodes, edges = tpch_graph(t)
+    d = nodes.select(F.lit("definition").alias("type"),
+                     F.concat(F.lit("What is "), F.col("id"), F.lit("?")).alias("question"),
+                     F.col("id").alias("concepts"), F.col("definition").alias("ground_truth"),
+                     F.col("id").alias("concept"), F.lit(None).cast("string").alias("concept2"),
+                     F.coalesce(F.col("definition"), F.lit("")).alias("context"))
+    r = edges.select(F.lit("relationship").alias("type"),
+                     F.concat(F.lit("How are "), F.col("src"), F.lit(" and "), F.col("dst"), F.lit(" related?"))
+                     .alias("question"),
+                     F.concat_ws("|", "src", "dst").alias("concepts"), F.col("type").alias("ground_truth"),
+                     F.col("src").alias("concept"), F.col("dst").alias("concept2"),
+                     F.concat(F.col("src"), F.lit(" -"), F.col("type"), F.lit("-> "), F.col("dst")).alias("context"))
+    return d.unionByName(r)
+
+
+_CASES = f"""{KG},
+cases AS (
+  SELECT 'definition' AS type, 'What is ' || id || '?' AS question, id AS concepts, definition AS ground_truth,
+         id AS concept, NULL::VARCHAR AS concept2, coalesce(definition, '') AS context FROM nodes
+  UNION ALL
+  SELECT 'relationship', 'How are ' || src || ' and ' || dst || ' related?', src || '|' || dst, type,
+         src, dst, src || ' -' || type || '-> ' || dst FROM edges)"""
+
+
+@register("gen_test_cases", f"WITH {_CASES} SELECT type, question, concepts, ground_truth FROM cases")
+def gen_test_cases(t):
+    """Generated evaluation cases with their ground truth."""
+    return test_cases(t).select("type", "question", "concepts", "ground_truth")
+
+
+def _sql_fill(tpl: str, values: dict[str, str]) -> str:
+    out = tpl
+    for slot, val in values.items():
+        out = f"replace({out}, '{{{slot}}}', coalesce({val}, ''))"
+    return out
+
+
+_TEMPLATES_SQL = "tpl(name, template) AS (VALUES " + ", ".join(
+    f"({S.q(k)}, {S.q(v)})" for k, v in sorted(TP.PROMPT_TEMPLATES.items())) + ")"
+
+
+@register("render_prompts", f"""
+WITH {_CASES}, {_TEMPLATES_SQL}
+SELECT c.type, c.question,
+       {_sql_fill('tp.template', {'context': 'c.context', 'concept': 'c.concept', 'concept1': 'c.concept',
+                                   'concept2': 'c.concept2', 'question': 'c.question'})} AS prompt
+FROM cases c LEFT JOIN tpl tp ON tp.name = c.type
+""")
+def render_prompts(t):
+    """Template chosen by case type (fixed 3-row template table,
+    broadcast), slots filled by column expressions."""
+    cases = test_cases(t)
+    tpl = F.broadcast(TP.templates_frame(t.spark))  # 3 rows by construction
+    j = cases.join(tpl, cases["type"] == tpl["name"], "left")
+    prompt = TP.fill("template", {"context": F.col("context"), "concept": F.col("concept"),
+                                  "concept1": F.col("concept"), "concept2": F.col("concept2"),
+                                  "question": F.col("question")})
+    return j.select("type", "question", prompt.alias("prompt"))
+
+
+@register("kg_prompt", f"""
+WITH {KG}, {_TEMPLATES_SQL},
+cnt AS (SELECT src, type, count(*) AS n FROM edges GROUP BY src, type),
+facts AS (SELECT src, string_agg(type || ': ' || n, '; ' ORDER BY type) AS facts FROM cnt GROUP BY src),
+ctx AS (SELECT n.id, coalesce(n.definition, '') || '. ' || coalesce(f.facts, '') AS context
+        FROM nodes n LEFT JOIN facts f ON f.src = n.id WHERE n.category = 'customer')
+SELECT id, {_sql_fill('(SELECT template FROM tpl WHERE name = ' + S.q('definition') + ')',
+                       {'context': 'context', 'concept': 'id'})} AS prompt FROM ctx
+""")
+def kg_prompt(t):
+    """per customer concept, a context of its definition and its
+    relationship counts by type (aggregated map-side; never a list of all
+    targets), rendered with the definition template."""
+    nodes, edges = tpch_graph(t)
+    cnt = edges.groupBy("src", "type").agg(F.count("*").alias("n"))
+    facts = (cnt.groupBy("src")
+             .agg(F.array_sort(F.collect_list(F.struct("type", "n"))).alias("f"))
+             .select(F.col("src").alias("id"),
+                     F.array_join(F.transform("f", lambda s: F.concat(s["type"], F.lit(": "), s["n"].cast("string"))),
+                                  "; ").alias("facts")))
+    cust = nodes.filter(F.col("properties")["category"] == "customer")
+    ctx = cust.join(facts, "id", "left").select(
+        "id", F.concat(F.coalesce("definition", F.lit("")), F.lit(". "), F.coalesce("facts", F.lit(""))).alias("context"))
+    prompt = TP.fill(F.lit(TP.PROMPT_TEMPLATES["definition"]), {"context": F.col("context"), "concept": F.col("id")})
+    return ctx.select("id", prompt.alias("prompt"))
+
+
+@register("render_chat", """
+SELECT conv_id, count(*)::BIGINT AS n_messages,
+       string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS chat FROM conversations GROUP BY conv_id
+""")
+def render_chat(t):
+    """F16: ordered (role, text) messages of each conversation as one prompt."""
+    c = t.conversations
+    ordered = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    return c.groupBy("conv_id").agg(
+        F.count("*").cast("bigint").alias("n_messages"),
+        F.array_join(F.transform(ordered, lambda m: TP.render_messages(m["role"], m["text"])), "\n").alias("chat"))
+
+
+@register("parse_json_output", """
+SELECT event_id, try_cast(json_extract_string(props, '$.k') AS INTEGER) AS k,
+       json_extract_string(props, '$.k') AS k_text,
+       try_cast(json_extract_string(props, '$.k') AS INTEGER) IS NOT NULL AS parsed_ok FROM events
+""")
+def parse_json_output(t):
+    """permissive JSON parsing of a text column (malformed -> nulls)."""
+    parsed = F.from_json("props", "k int", {"mode": "PERMISSIVE"})
+    return t.events.select("event_id", parsed["k"].alias("k"),
+                           F.get_json_object("props", "$.k").alias("k_text"),
+                           parsed["k"].isNotNull().alias("parsed_ok"))
+
+
+_NGRAMS = (1, 2, 3)
+
+
+@register("concept_mentions", f"""
+WITH {_CASES},
+q AS (SELECT concept AS qid, {S.tokens(S.clean('question'))} AS tok FROM cases WHERE type = 'definition'),
+g AS (SELECT qid, tok, unnest(generate_series(1, len(tok))) AS i FROM q),
+ng AS (SELECT qid, array_to_string(tok[i:i + n - 1], ' ') AS gram FROM g, (SELECT unnest([{', '.join(map(str, _NGRAMS))}]) AS n)
+       WHERE i + n - 1 <= len(tok)),
+dict AS (SELECT DISTINCT {S.clean('id')} AS key, id AS concept FROM nodes
+         UNION SELECT DISTINCT {S.clean('definition')}, definition FROM nodes WHERE definition IS NOT NULL)
+SELECT DISTINCT ng.qid, dict.concept FROM ng JOIN dict ON dict.key = ng.gram
+""")
+def concept_mentions(t):
+    """Concepts named in each generated definition question: whole-token
+    (1..3-gram) match of cleaned question text against cleaned concept ids
+    and names; the join strategy is left to AQE (broadcast only if small)."""
+    nodes, _ = tpch_graph(t)
+    q = test_cases(t).filter(F.col("type") == "definition").select(
+        F.col("concept").alias("qid"), tx.tokenize(tx.clean_text("question")).alias("tok"))
+    g = q.select("qid", "tok", F.posexplode("tok").alias("i0", "_w")) \
+         .select("qid", "tok", (F.col("i0") + 1).alias("i"), F.explode(F.array(*map(F.lit, _NGRAMS))).alias("n"))
+    ng = g.filter(F.col("i") + F.col("n") - 1 <= F.size("tok")).select(
+        "qid", F.array_join(F.slice("tok", F.col("i"), F.col("n")), " ").alias("gram"))
+    dct = (nodes.select(tx.clean_text("id").alias("key"), F.col("id").alias("concept"))
+           .unionByName(nodes.filter(F.col("definition").isNotNull())
+                        .select(tx.clean_text("definition").alias("key"), F.col("definition").alias("concept")))
+           .distinct())
+    return ng.join(dct, ng["gram"] == dct["key"]).select("qid", "concept").distinct()
