@@ -1,3 +1,33 @@
-"""Registered queries."""
+"""Registered streaming queries (run to completion with availableNow)."""
 
-from docweave.plans.registry import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from docweave.plans.q_text import _token_chunk_sql
+from docweave.plans.registry import register
+from docweave.session import scratch_path
+from docweave.streaming import ingest as SI
+
+
+@register("stream_ingest", _token_chunk_sql(200))
+def stream_ingest(t):
+    """The documents file consumed as a stream, chunked per micro-batch
+    by the batch functions, written idempotently per batch id; equals the
+    batch token_chunks result."""
+    schema = t.documents.schema
+    out = SI.stream_ingest(t.spark, t.sf_dir, schema, scratch_path(t.spark, "stream-sink"),
+                           scratch_path(t.spark, "stream-ckpt"), file_glob="documents.parquet")
+    return out.select("doc_id", F.col("chunk_id").cast("bigint").alias("chunk_id"),
+                      F.size(F.split("chunk_text", " ")).cast("bigint").alias("n_tokens"), "chunk_text")
+
+
+@register("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedup(t):
+    """(user_id, event_type) repeats suppressed within a 10-minute
+    watermark on the event time; one micro-batch here, so one row per key."""
+    schema = t.events.schema
+    out = SI.stream_dedup(t.spark, t.sf_dir, schema, ["user_id", "event_type"], "ts", "10 minutes",
+                          scratch_path(t.spark, "dedup-sink"), scratch_path(t.spark, "dedup-ckpt"),
+                          file_glob="events.parquet")
+    return out.select("user_id", "event_type")
