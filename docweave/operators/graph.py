@@ -10,6 +10,7 @@ frontier is empty.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,6 +79,15 @@ def neighbors(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return edges.join(tgt, "dst", "left").select("src", "type", "dst", "dst_definition")
 
 
+def _hop_table(e: DataFrame) -> DataFrame:
+    """The edge table every hop joins against: hash-partitioned by the join
+    key once and kept (memory, spilling to disk), so each hop shuffles only
+    the frontier. Lost blocks are recomputed from the edge lineage."""
+    spark = e.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return e.repartition(n, "_from").persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def expand(sources: DataFrame, edges: DataFrame, max_depth: int, reverse: bool = False,
            checkpoint_every: int = 1) -> DataFrame:
     """Multi-source breadth-first expansion.
@@ -88,7 +98,7 @@ def expand(sources: DataFrame, edges: DataFrame, max_depth: int, reverse: bool =
     spark = sources.sparkSession
     ensure_checkpoint_dir(spark)
     a, b = ("dst", "src") if reverse else ("src", "dst")
-    e = edges.select(F.col(a).alias("_from"), F.col(b).alias("_to"), "type")
+    e = _hop_table(edges.select(F.col(a).alias("_from"), F.col(b).alias("_to"), "type"))
     visited = sources.select("source", "node").distinct()
     frontier = visited
     found = None
@@ -121,7 +131,7 @@ def shortest_paths(sources: DataFrame, edges: DataFrame, max_depth: int) -> Data
     is the empty path (depth 0)."""
     spark = sources.sparkSession
     ensure_checkpoint_dir(spark)
-    e = edges.select(F.col("src").alias("_from"), F.col("dst").alias("_to"), "type")
+    e = _hop_table(edges.select(F.col("src").alias("_from"), F.col("dst").alias("_to"), "type"))
     hop = F.struct(F.col("node").alias("src"), F.col("type"), F.col("_to").alias("dst"))
     start = sources.select("source", F.col("source").alias("node"),
                            F.col("source").alias("path_text"),

@@ -66,5 +66,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def load_table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
+    """Read one table. ``min_partitions`` (default: the cluster's default
+    parallelism) guards against inputs stored as one large row group, which
+    Spark cannot split: only then is the scan spread round-robin over that
+    many partitions. Large inputs already have more splits and are left
+    untouched (no extra shuffle)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df, min_partitions)
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
