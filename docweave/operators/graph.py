@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from docweave.session import ensure_checkpoint_dir
 
-EMPTY_PROPS = F.create_map().cast("map<string,string>")
+def empty_props() -> F.Column:
+    return F.create_map().cast("map<string,string>")
 
 
 # --- building -------------------------------------------------------------------
@@ -43,7 +44,7 @@ def build_graph(concepts: DataFrame, extra_edges: DataFrame | None = None,
              .agg(F.max_by("type", F.struct("_seq", "type")).alias("type")))
     endpoints = edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id"))).distinct()
     bare = (endpoints.join(declared.select("id"), "id", "left_anti")
-            .select("id", F.lit(None).cast("string").alias("definition"), EMPTY_PROPS.alias("properties")))
+            .select("id", F.lit(None).cast("string").alias("definition"), empty_props().alias("properties")))
     nodes = declared.unionByName(bare).withColumn("verified", F.lit(False))
     return nodes, edges
 
