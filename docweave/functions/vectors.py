@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -99,3 +101,18 @@ def hashed_embedding(codes: Column | str, dim: int = DEFAULT_DIM) -> Column:
 
 def embed_tokens(tokens: Column | str, dim: int = DEFAULT_DIM) -> Column:
     return hashed_embedding(token_codes(tokens, dim), dim)
+
+
+def plugin_encoder(factory, dim: int):
+    """Encoder plug-in: ``factory()`` returns ``encode(list[str]) -> array-like
+    (n, dim)``. The model is built once per Python worker (iterator pandas
+    UDF) and fed Arrow batches, never one text at a time."""
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = factory()
+        for texts in batches:
+            out = np.asarray(encode(texts.fillna("").tolist()), dtype=np.float32).reshape(len(texts), dim)
+            yield pd.Series(list(out))
+
+    return _encode

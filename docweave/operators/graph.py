@@ -158,3 +158,11 @@ def shortest_paths(sources: DataFrame, edges: DataFrame, max_depth: int) -> Data
         visited = visited.unionByName(best.select("source", "node")).checkpoint(eager=True)
         frontier = best
     return out.select("source", "node", F.col("depth").cast("int"), "path_text", "path")
+
+
+def lookup(nodes: DataFrame, requested: DataFrame, id_col: str = "id") -> DataFrame:
+    """Membership test: every requested id with its node attributes; an
+    unknown id yields a row with null attributes and known = false."""
+    n = nodes.withColumn("known", F.lit(True))
+    return (requested.select(F.col(id_col).alias("id")).distinct().join(n, "id", "left")
+            .withColumn("known", F.coalesce(F.col("known"), F.lit(False))))

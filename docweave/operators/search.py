@@ -174,3 +174,19 @@ def top_k_single(vectors: DataFrame, query_vec: DataFrame, k: int = 5, metric: s
 def format_matches(matches: DataFrame, score_col: str = "score") -> DataFrame:
     """Score as text with 4 decimals, as a match listing prints it."""
     return matches.withColumn("score_text", F.format_string("%.4f", F.col(score_col).cast("double")))
+
+
+def search_store(store: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cosine",
+                 namespace: str | None = None, include_metadata: bool = False,
+                 qid_col: str = "qid", qvec_col: str = "values") -> DataFrame:
+    """Query a vector store table (namespace, id, values[, metadata]).
+
+    The namespace filter prunes partitions before the scan; ranking reads
+    only (id, values) and metadata is joined for the k survivors per query
+    only when asked for (it is never read otherwise)."""
+    s = store if namespace is None else store.filter(F.col("namespace") == namespace)
+    res = top_k(s.select("id", "values"), queries, k=k, metric=metric, id_col="id", vec_col="values",
+                qid_col=qid_col, qvec_col=qvec_col)
+    if include_metadata:
+        res = res.join(s.select("id", "metadata").dropDuplicates(["id"]), "id", "left")
+    return res

@@ -77,6 +77,18 @@ def json_vectors_roundtrip(t):
     return _flat_objects(json_io.read_vectors_json(t.spark, path))
 
 
+@register("metadata_defaults", """
+SELECT doc_id, 'doc_' || doc_id::VARCHAR || '.pdf' AS filename, coalesce(source, 'Unknown') AS author,
+       'Unknown' AS creation_date_pdf FROM documents
+""")
+def metadata_defaults(t):
+    """author / PDF creation date default to 'Unknown' when the info
+    record lacks them (the stand-in info record carries the source as author
+    and no creation date)."""
+    m = _doc_meta(t)
+    return m.select("doc_id", "filename", "author", "creation_date_pdf")
+
+
 # --- ids, batches, namespaces -------------------------------------------------
 
 def _emb_items(t):

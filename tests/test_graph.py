@@ -70,3 +70,10 @@ def test_shortest_paths(spark, small_graph):
 
 def test_schema_of_concepts():
     assert schemas.CONCEPT["relationships"].dataType.elementType.names == ["type", "target"]
+
+
+def test_lookup_unknown_gives_null_row(spark, small_graph):
+    nodes, _ = small_graph
+    req = spark.createDataFrame([("a",), ("nope",)], "id string")
+    got = {r.id: (r.known, r.definition) for r in G.lookup(nodes, req).collect()}
+    assert got == {"a": (True, "first again"), "nope": (False, None)}

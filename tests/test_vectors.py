@@ -81,3 +81,32 @@ def test_mean_vectors(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0]), (1, [3.0, 4.0]), (2, [5.0, 5.0])], "g int, v array<double>")
     got = {r.g: r.centroid for r in mean_vectors(df, ["g"], "v").collect()}
     assert got == {1: [2.0, 3.0], 2: [5.0, 5.0]}
+
+
+def test_plugin_encoder_batches(spark):
+    def factory():
+        def encode(texts):
+            return [[float(len(t)), float(t.count(" "))] for t in texts]
+        return encode
+    df = spark.createDataFrame([("a b c",), ("",)], "t string")
+    got = [r.v for r in df.select(vx.plugin_encoder(factory, 2)("t").alias("v")).collect()]
+    assert got == [[5.0, 2.0], [0.0, 0.0]]
+
+
+def test_search_store_namespace_and_metadata(spark):
+    store = spark.createDataFrame(
+        [("ns0", "a", [1.0, 0.0], "A"), ("ns0", "b", [0.0, 1.0], "B"), ("ns1", "c", [1.0, 0.1], "C")],
+        "namespace string, id string, values array<double>, metadata string")
+    q = spark.createDataFrame([(1, [1.0, 0.0])], "qid int, values array<double>")
+    r = search.search_store(store, q, k=1, namespace="ns1", include_metadata=True).first()
+    assert (r.id, r.metadata) == ("c", "C")
+    r0 = search.search_store(store, q, k=1).first()
+    assert r0.id == "a" and "metadata" not in r0.asDict()
+
+
+def test_empty_inputs_give_empty_results(spark):
+    v = spark.createDataFrame([], "id long, values array<double>")
+    q = spark.createDataFrame([], "qid long, values array<double>")
+    assert search.top_k(v, q).count() == 0
+    with pytest.raises(ValueError):
+        search.top_k(v, q, k=0)
