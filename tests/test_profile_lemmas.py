@@ -37,3 +37,16 @@ def test_lemmas_rules_need_dictionary_word(spark):
     # the shuffle path (table too large to broadcast) gives the same answer
     big = lemmas.apply_lemmas(docs, lemmas.lemma_table(docs), max_broadcast=1).first().tokens
     assert big == out
+
+
+def test_exact_percentiles_match_numpy(spark):
+    import numpy as np
+    from docweave.operators.evaluate import exact_percentiles
+    rng = np.random.default_rng(3)
+    rows = [("a", float(x)) for x in rng.normal(size=101)] + [("b", float(x)) for x in rng.integers(0, 5, 40)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    got = {r.g: (r.p50, r.p95) for r in exact_percentiles(df, ["g"], "v", {"p50": 0.5, "p95": 0.95}).collect()}
+    for g in ("a", "b"):
+        vals = np.array([v for k, v in rows if k == g])
+        assert got[g][0] == np.percentile(vals, 50) or abs(got[g][0] - np.percentile(vals, 50)) < 1e-12
+        assert abs(got[g][1] - np.percentile(vals, 95)) < 1e-12
