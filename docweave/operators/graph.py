@@ -42,8 +42,12 @@ def build_graph(concepts: DataFrame, extra_edges: DataFrame | None = None,
         rel = rel.unionByName(extra_edges.select("src", "dst", "type").withColumn("_seq", F.lit(0)))
     edges = (rel.groupBy("src", "dst")
              .agg(F.max_by("type", F.struct("_seq", "type")).alias("type")))
-    endpoints = edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id"))).distinct()
-    bare = (endpoints.join(declared.select("id"), "id", "left_anti")
+    # one pass over the edges for both endpoints (a union of two projections
+    # lets the optimizer push the anti join into each branch and recompute
+    # the edge aggregation per branch)
+    endpoints = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    declared_ids = c.select(F.col("concept").alias("id")).distinct()   # hash distinct, no payload
+    bare = (endpoints.join(declared_ids, "id", "left_anti")
             .select("id", F.lit(None).cast("string").alias("definition"), empty_props().alias("properties")))
     nodes = declared.unionByName(bare).withColumn("verified", F.lit(False))
     return nodes, edges

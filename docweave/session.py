@@ -67,17 +67,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
-    """Read one table. ``min_partitions`` (default: the cluster's default
-    parallelism) guards against inputs stored as one large row group, which
-    Spark cannot split: only then is the scan spread round-robin over that
-    many partitions. Large inputs already have more splits and are left
-    untouched (no extra shuffle)."""
+    """Read one table, see ``ensure_parallelism``."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return ensure_parallelism(df, min_partitions)
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
+                       min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Guard against an input stored as one unsplittable row group: if the
+    scan yields fewer partitions than the cluster's default parallelism and
+    the input is not tiny, hash-partition it by its first (key) column.
+    Inputs that already have enough splits - every large table on a cluster -
+    are returned untouched, so this never adds a shuffle at scale. Hashing by
+    key (not round-robin) avoids the sort Spark does before a round-robin
+    repartition and keeps rows of one key together."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - statistics unavailable: assume large
+        size = min_bytes
+    if size < min_bytes:
+        return df
+    return df.repartition(target, df.columns[0])
