@@ -24,10 +24,16 @@ from docweave.session import ensure_checkpoint_dir
 
 MAX_BROADCAST_QUERIES = 4096
 MAX_BROADCAST_BYTES = 64 << 20
-# Candidates within this much of the k-th score survive the partial step, so
-# the final rounding-based order (score rounded to 6 places, then id) sees
-# every possible tie.
-_TIE_SLACK = 2e-6
+# Scores are ranked by an integer key, round-half-up of score * 1e6, that is
+# computed once next to the score and used both for the per-partition
+# selection and for the final window, so both steps agree exactly; ties on
+# the key are broken by id.
+KEY_SCALE = 1e6
+_MAX_CELLS = 4_000_000  # score-matrix cells per block product (~32 MB)
+
+
+def rank_key(scores: np.ndarray) -> np.ndarray:
+    return np.floor(scores * KEY_SCALE + 0.5).astype(np.int64)
 
 
 def _score_matrix(vecs: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
@@ -43,43 +49,49 @@ def _score_matrix(vecs: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
     raise ValueError(metric)
 
 
+def _exact_topk(cand: pd.DataFrame, k: int) -> pd.DataFrame:
+    """k best per query column by (key desc, id asc) - exact, ties included
+    only as far as the id order admits them."""
+    cand = cand.assign(_nk=-cand["_key"])
+    return cand.sort_values(["_c", "_nk", "_id"], kind="stable").groupby("_c", sort=False).head(k) \
+               .drop(columns="_nk")
+
+
 def _partial_topk_fn(bq, k, metric, id_col, vec_col, dim):
     def run(batches):
         qids, qmat = bq.value  # broadcast variable, fetched once per task
-        best_ids = [None] * len(qids)
-        best_scores = [None] * len(qids)
+        nq = len(qids)
+        step = max(1, _MAX_CELLS // max(1, nq))
+        kept, pending = [], 0
         for pdf in batches:
             if pdf.empty:
                 continue
-            vecs = np.zeros((len(pdf), dim), dtype=np.float64)
+            vecs_all = np.zeros((len(pdf), dim), dtype=np.float64)
             for i, v in enumerate(pdf[vec_col]):
                 if v is not None:
                     a = np.asarray(v, dtype=np.float64)[:dim]
-                    vecs[i, :len(a)] = a
-            ids = pdf[id_col].to_numpy()
-            scores = _score_matrix(vecs, qmat, metric)
-            for j in range(len(qids)):
-                s = scores[:, j]
-                if best_ids[j] is not None:
-                    s = np.concatenate([best_scores[j], s])
-                    cand_ids = np.concatenate([best_ids[j], ids])
+                    vecs_all[i, :len(a)] = a
+            ids_all = pdf[id_col].to_numpy()
+            for lo in range(0, len(pdf), step):
+                vecs, ids = vecs_all[lo:lo + step], ids_all[lo:lo + step]
+                sc = _score_matrix(vecs, qmat, metric)
+                key = rank_key(sc)
+                m = len(ids)
+                if m > k:  # per query: everything at or above its k-th key
+                    kth = np.partition(key, m - k, axis=0)[m - k]
+                    r, c = np.nonzero(key >= kth[None, :])
                 else:
-                    cand_ids = ids
-                if len(s) > k:
-                    kth = np.partition(s, len(s) - k)[len(s) - k]
-                    keep = s >= kth - _TIE_SLACK
-                    s, cand_ids = s[keep], cand_ids[keep]
-                best_scores[j], best_ids[j] = s, cand_ids
-        out_q, out_id, out_s = [], [], []
-        for j, qid in enumerate(qids):
-            if best_ids[j] is None:
-                continue
-            out_q.append(np.full(len(best_ids[j]), qid, dtype=object))
-            out_id.append(best_ids[j])
-            out_s.append(best_scores[j])
-        if out_q:
-            yield pd.DataFrame({"qid": np.concatenate(out_q), id_col: np.concatenate(out_id),
-                                "score": np.concatenate(out_s)})
+                    r, c = np.nonzero(np.ones_like(key, dtype=bool))
+                kept.append(pd.DataFrame({"_c": c, "_key": key[r, c], "_s": sc[r, c], "_id": ids[r]}))
+                pending += len(r)
+                if pending > 4 * _MAX_CELLS // 10:
+                    kept, pending = [_exact_topk(pd.concat(kept, ignore_index=True), k)], 0
+        if not kept:
+            return
+        best = _exact_topk(pd.concat(kept, ignore_index=True), k)
+        qarr = np.asarray(qids, dtype=object)
+        yield pd.DataFrame({"qid": qarr[best["_c"].to_numpy()], id_col: best["_id"].to_numpy(),
+                            "score": best["_s"].to_numpy(), "_key": best["_key"].to_numpy()})
     return run
 
 
@@ -101,8 +113,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cos
     """For every query row, the ``k`` nearest vectors.
 
     Returns ``qid, rank, <id_col>, score`` with rank 1..k ordered by score
-    (descending; ascending distance for euclidean) rounded to 6 places,
-    then id. Scores are doubles at full precision.
+    (descending; ascending distance for euclidean) rounded half-up to 6
+    places, then id. Scores are doubles at full precision. Each partition
+    ships exactly min(k, rows) candidates per query, however many vectors
+    tie (duplicates), so the final rank step is bounded by k x partitions.
     """
     if k <= 0:
         raise ValueError("k must be positive")
@@ -111,7 +125,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cos
     qid_type = queries.schema[qid_col].dataType
     id_type = vectors.schema[id_col].dataType
     schema = T.StructType([T.StructField("qid", qid_type), T.StructField(id_col, id_type),
-                           T.StructField("score", T.DoubleType())])
+                           T.StructField("score", T.DoubleType()), T.StructField("_key", T.LongType())])
     vsel = vectors.select(id_col, vec_col)
     # One bounded fetch decides the path: if the query set fits in one block
     # (row count and bytes checked) it is broadcast as a matrix.
@@ -144,8 +158,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cos
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)
-    order_key = F.round(F.col("score"), 6)
-    w = Window.partitionBy("qid").orderBy(order_key.desc(), F.col(id_col).asc())
+    w = Window.partitionBy("qid").orderBy(F.col("_key").desc(), F.col(id_col).asc())
     ranked = (cand.withColumn("rank", F.row_number().over(w))
               .filter(F.col("rank") <= k))
     if metric == "euclidean":

@@ -110,3 +110,20 @@ def test_empty_inputs_give_empty_results(spark):
     assert search.top_k(v, q).count() == 0
     with pytest.raises(ValueError):
         search.top_k(v, q, k=0)
+
+
+def test_partial_topk_is_bounded_under_massive_ties(spark):
+    # a third of the vectors are the same copy: each partition still ships k rows per query
+    import pandas as pd
+    from docweave.operators.search import _partial_topk_fn
+
+    class B:  # stand-in for a broadcast variable
+        value = ([10, 11], np.array([[1.0, 0.0], [0.0, 1.0]]))
+
+    n = 3000
+    vecs = [[1.0, 0.0] if i % 3 == 0 else [0.5, 0.5 + i / n] for i in range(n)]
+    pdf = pd.DataFrame({"id": np.arange(n), "values": vecs})
+    out = list(_partial_topk_fn(B(), 5, "dot", "id", "values", 2)(iter([pdf.iloc[:1700], pdf.iloc[1700:]])))
+    res = pd.concat(out)
+    assert len(res) == 10
+    assert sorted(res[res.qid == 10]["id"]) == [0, 3, 6, 9, 12]      # ties broken by smallest id
