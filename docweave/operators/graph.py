@@ -84,6 +84,21 @@ def neighbors(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return edges.join(tgt, "dst", "left").select("src", "type", "dst", "dst_definition")
 
 
+def context(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Depth-1 context of every concept in long form: one row per outgoing
+    relationship, or one row with null type/target and depth 0 for a concept
+    without any. Written as an inner join (the edge side streams, so AQE can
+    split a hub's skewed partition) plus an anti join for the concepts
+    without edges, instead of a left join whose build side would be the hub."""
+    with_rel = (edges.select(F.col("src").alias("id"), "type", F.col("dst").alias("target"))
+                .join(nodes, "id").withColumn("depth", F.lit(1)))
+    outs = edges.select(F.col("src").alias("id")).distinct()
+    without = (nodes.join(outs, "id", "left_anti")
+               .withColumn("type", F.lit(None).cast("string"))
+               .withColumn("target", F.lit(None).cast("string")).withColumn("depth", F.lit(0)))
+    return with_rel.unionByName(without)
+
+
 def _hop_table(e: DataFrame) -> DataFrame:
     """The edge table every hop joins against: hash-partitioned by the join
     key once and kept (memory, spilling to disk), so each hop shuffles only

@@ -7,8 +7,9 @@
 * batches / namespaces: closed form over the position (batch B, namespace
   size S): flush index j = min((i div B + 1) * B - 1, n - 1), namespace
   ``namespace_{j div S}``.
-* upsert: last write wins per (namespace, id) via ``max_by`` (hash
-  aggregate with map-side partial aggregation, no sort).
+* upsert: the incoming run wins per (namespace, id); only the namespaces it
+  writes to are read back and rewritten (partition pruning + dynamic
+  partition overwrite), duplicates inside the run resolved by ``max_by``.
 * writes: dynamic partition overwrite per namespace into a fresh path; a
   task retry rewrites the same files, so the write is idempotent.
 """
@@ -70,13 +71,37 @@ def assign_ids(df: DataFrame, id_col: str, pos_col: str = "pos") -> DataFrame:
                                             F.concat(F.lit("auto_id_"), F.col(pos_col).cast("string"))))
 
 
+def latest(df: DataFrame, keys=("namespace", "id"), seq_col: str = "seq") -> DataFrame:
+    """One row per key: the one with the highest ``seq``."""
+    payload = [c for c in df.columns if c not in keys]
+    win = df.groupBy(*keys).agg(F.max_by(F.struct(*payload), F.col(seq_col)).alias("_w"))
+    return win.select(*keys, "_w.*")
+
+
+def merge_touched(existing: DataFrame, incoming: DataFrame, keys=("namespace", "id"),
+                  seq_col: str = "seq") -> DataFrame:
+    """The new content of every namespace the incoming run writes to.
+
+    Only those namespaces of the existing store are read (semi join on the
+    partition column -> partition pruning); the incoming run is deduplicated
+    on its own (latest seq per key) and replaces existing rows with the same
+    key; the aggregation never sees the existing store."""
+    inc = latest(incoming, keys, seq_col)
+    touched = inc.select("namespace").distinct()
+    ex = existing.join(touched, "namespace", "left_semi")
+    keep = ex.join(inc.select(*keys), list(keys), "left_anti")
+    return keep.unionByName(inc.select(*existing.columns))
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, keys=("namespace", "id"),
            seq_col: str = "seq") -> DataFrame:
-    """Last write wins per key: the row with the highest ``seq``."""
-    both = existing.unionByName(incoming, allowMissingColumns=True)
-    payload = [c for c in both.columns if c not in keys]
-    win = both.groupBy(*keys).agg(F.max_by(F.struct(*payload), F.col(seq_col)).alias("_w"))
-    return win.select(*keys, "_w.*")
+    """Whole store after the upsert: untouched namespaces as they are plus
+    the merged content of the touched ones (incoming wins per key). For a
+    write, ``merge_touched`` + ``write_store`` (dynamic overwrite) rewrites
+    only the touched namespaces."""
+    touched = incoming.select("namespace").distinct()
+    untouched = existing.join(touched, "namespace", "left_anti")
+    return untouched.unionByName(merge_touched(existing, incoming, keys, seq_col))
 
 
 def write_store(store: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -175,10 +175,8 @@ def kg_context(t):
     long form (depth 0 and null type/target for a concept without any) (no per-concept list is materialised, so a hub cannot blow up
     one row)."""
     nodes, edges = tpch_graph(t)
-    j = nodes.join(edges.withColumnRenamed("src", "id"), "id", "left")
-    return j.select("id", "definition", G.node_group().alias("category"), "type",
-                    F.col("dst").alias("target"),
-                    F.when(F.col("dst").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("depth"))
+    return G.context(nodes, edges).select("id", "definition", G.node_group().alias("category"), "type",
+                                          "target", F.col("depth").cast("bigint"))
 
 
 @register("kg_context_depth", f"""

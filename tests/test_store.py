@@ -68,3 +68,19 @@ def test_write_store_dynamic_overwrite(spark, tmp_path):
     assert got == [("namespace_0", "a"), ("namespace_1", "c")]
     idx = store.index_stats(spark.read.parquet(path).withColumn("values", F.array(F.lit(1.0))), capacity=100).first()
     assert idx.total_vector_count == 2 and idx.fullness_text == "2.00%"
+
+
+def test_merge_touched_rewrites_only_touched_namespaces(spark, tmp_path):
+    path = str(tmp_path / "s")
+    old = spark.createDataFrame([("ns0", "a", 1, 1), ("ns1", "b", 1, 1), ("ns1", "c", 1, 1)],
+                                "namespace string, id string, v int, seq int")
+    store.write_store(old, path)
+    inc = spark.createDataFrame([("ns1", "b", 5, 2), ("ns1", "b", 6, 3), ("ns1", "d", 7, 2)],
+                                "namespace string, id string, v int, seq int")
+    existing = spark.read.parquet(path).select("namespace", "id", "v", "seq")
+    merged = store.merge_touched(existing, inc)
+    out_path = str(tmp_path / "s2")
+    store.write_store(store.upsert(existing, inc), out_path)
+    got = sorted((r.namespace, r.id, r.v) for r in spark.read.parquet(out_path).collect())
+    assert got == [("ns0", "a", 1), ("ns1", "b", 6), ("ns1", "c", 1), ("ns1", "d", 7)]
+    assert sorted(r.namespace for r in merged.select("namespace").distinct().collect()) == ["ns1"]
