@@ -100,12 +100,13 @@ def context(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _hop_table(e: DataFrame) -> DataFrame:
-    """The edge table every hop joins against: hash-partitioned by the join
-    key once and kept (memory, spilling to disk), so each hop shuffles only
-    the frontier. Lost blocks are recomputed from the edge lineage."""
-    spark = e.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return e.repartition(n, "_from").persist(StorageLevel.MEMORY_AND_DISK)
+    """The edge table every hop joins against, kept (memory, spilling to
+    disk) so its lineage is not recomputed per hop; lost blocks are rebuilt
+    from that lineage. It is deliberately not pre-partitioned: each hop's
+    join then reads both sides from shuffles, which lets AQE split the
+    partition of a hub node (skew join) - or broadcast a small frontier, in
+    which case the edges are not shuffled at all."""
+    return e.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def expand(sources: DataFrame, edges: DataFrame, max_depth: int, reverse: bool = False,
