@@ -138,6 +138,7 @@ def expand(sources: DataFrame, edges: DataFrame, max_depth: int, reverse: bool =
         if depth % checkpoint_every == 0:
             visited = visited.checkpoint(eager=True)
         frontier = step.select("source", "node")
+    e.unpersist()  # every kept step is checkpointed: nothing below depends on it
     if found is None:
         return sources.sparkSession.createDataFrame(
             [], "source string, node string, type string, depth int")
@@ -177,6 +178,7 @@ def shortest_paths(sources: DataFrame, edges: DataFrame, max_depth: int) -> Data
         out = out.unionByName(best)
         visited = visited.unionByName(best.select("source", "node")).checkpoint(eager=True)
         frontier = best
+    e.unpersist()
     return out.select("source", "node", F.col("depth").cast("int"), "path_text", "path")
 
 
