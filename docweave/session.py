@@ -67,8 +67,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
-    """Read one table, see ``ensure_parallelism``."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one table with its declared schema (no inference job), see
+    ``ensure_parallelism``."""
+    from docweave.schemas import TABLE_DDL
+    reader = spark.read.schema(TABLE_DDL[name]) if name in TABLE_DDL else spark.read
+    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return ensure_parallelism(df, min_partitions)
 
 
