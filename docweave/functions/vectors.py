@@ -92,6 +92,9 @@ def _pool_codes(codes: pd.Series, dim: int) -> pd.Series:
 def hashed_embedding(codes: Column | str, dim: int = DEFAULT_DIM) -> Column:
     """Mean-pooled, L2-normalised signed one-hot vectors (Arrow batched)."""
 
+    from docweave.session import ship_package
+    ship_package()
+
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def _pool(s: pd.Series) -> pd.Series:
         return _pool_codes(s, dim)
@@ -107,6 +110,8 @@ def plugin_encoder(factory, dim: int):
     """Encoder plug-in: ``factory()`` returns ``encode(list[str]) -> array-like
     (n, dim)``. The model is built once per Python worker (iterator pandas
     UDF) and fed Arrow batches, never one text at a time."""
+    from docweave.session import ship_package
+    ship_package()
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -62,6 +62,8 @@ def _apply_dict_udf(bdict):
 def apply_lemmas(docs: DataFrame, lemmas: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens",
                  max_broadcast: int = MAX_BROADCAST_LEMMAS) -> DataFrame:
     spark = docs.sparkSession
+    from docweave.session import ship_package
+    ship_package(spark)
     head = lemmas.limit(max_broadcast + 1).toPandas()  # bounded fetch decides the path
     if len(head) <= max_broadcast:
         bdict = spark.sparkContext.broadcast(dict(zip(head["word"], head["lemma"])))

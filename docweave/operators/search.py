@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docweave.session import ensure_checkpoint_dir
+from docweave.session import ensure_checkpoint_dir, ship_package
 
 MAX_BROADCAST_QUERIES = 4096
 MAX_BROADCAST_BYTES = 64 << 20
@@ -121,6 +121,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cos
     if k <= 0:
         raise ValueError("k must be positive")
     spark = vectors.sparkSession
+    ship_package(spark)
     qsel = queries.select(F.col(qid_col).alias("qid"), F.col(qvec_col).alias("qv"))
     qid_type = queries.schema[qid_col].dataType
     id_type = vectors.schema[id_col].dataType

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.session import ensure_checkpoint_dir, load_table
+from docweave.session import ensure_checkpoint_dir, load_table, ship_package
 
 _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -19,6 +19,7 @@ def register(name: str, sql: str | None = None):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
             ensure_checkpoint_dir(spark)
+            ship_package(spark)
             return fn(Tables(spark, sf_dir))
 
         run.__name__ = name

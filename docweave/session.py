@@ -87,8 +87,11 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
     are returned untouched, so this never adds a shuffle at scale. Hashing by
     key (not round-robin) avoids the sort Spark does before a round-robin
     repartition and keeps rows of one key together."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
         return df
     try:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -97,3 +100,32 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
     if size < min_bytes:
         return df
     return df.repartition(target, df.columns[0])
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make ``docweave`` importable in the Python workers (pandas UDFs and
+    mapInPandas functions refer to its modules): zip the package once per
+    application and register it with ``addPyFile``, the programmatic form of
+    ``--py-files``. Skipped when the package was already shipped."""
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="docweave-pyfiles-"), "docweave.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)

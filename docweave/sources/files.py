@@ -46,6 +46,9 @@ def read_pages(spark: SparkSession, files: DataFrame, extractor, schema: str =
     with status 'error' (quarantine) instead of failing the job."""
     import pandas as pd
 
+    from docweave.session import ship_package
+    ship_package(spark)
+
     def run(batches):
         for pdf in batches:
             rows = []
