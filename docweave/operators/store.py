@@ -111,6 +111,21 @@ def write_store(store: DataFrame, path: str, mode: str = "overwrite") -> None:
      .partitionBy("namespace").parquet(path))
 
 
+def upsert_table(spark, path: str, incoming: DataFrame, keys=("namespace", "id"),
+                 seq_col: str = "seq") -> DataFrame:
+    """Upsert into a namespace-partitioned parquet table in place.
+
+    The merged content of the touched namespaces is materialised first (a
+    reliable checkpoint), so the table is never overwritten while a job still
+    reads it; then only those namespace directories are replaced (dynamic
+    partition overwrite). Re-running the same upsert gives the same table."""
+    existing = spark.read.parquet(path)
+    cols = existing.columns
+    merged = merge_touched(existing, incoming.select(*cols), keys, seq_col).checkpoint(eager=True)
+    write_store(merged, path)
+    return spark.read.parquet(path)
+
+
 def fetch(store: DataFrame, ids: DataFrame, namespace: str | None = None) -> DataFrame:
     """Vectors by id (semi join); a namespace filter prunes partitions."""
     s = store if namespace is None else store.filter(F.col("namespace") == namespace)

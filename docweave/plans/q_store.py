@@ -190,6 +190,23 @@ def upsert_merge(t):
                     F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + F.abs(x.cast("double"))), 6).alias("l1"))
 
 
+@register("upsert_table", f"""
+WITH {_UPSERT_CTES}
+SELECT namespace, id, seq::BIGINT AS seq, dim, round(l1, 6) AS l1 FROM merged
+""")
+def upsert_table(t):
+    """S10 write path: the existing vectors written as a namespace-partitioned
+    table, then the incoming run upserted in place (only touched namespaces
+    rewritten), read back."""
+    path = scratch_path(t.spark, "vector-store")
+    cols = ["namespace", "id", "values", "seq"]
+    store.write_store(_existing(t).select(*cols), path)
+    out = store.upsert_table(t.spark, path, _incoming(t).select(*cols))
+    return out.select("namespace", "id", F.col("seq").cast("bigint").alias("seq"),
+                      F.size("values").cast("bigint").alias("dim"),
+                      F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + F.abs(x.cast("double"))), 6).alias("l1"))
+
+
 @register("upsert_reconcile", f"""
 WITH {_UPSERT_CTES}
 SELECT (SELECT count(*) FROM inc)::BIGINT AS expected,
@@ -198,12 +215,11 @@ SELECT (SELECT count(*) FROM inc)::BIGINT AS expected,
 """)
 def upsert_reconcile(t):
     """Expected vs actually stored from the incoming run."""
-    inc = _incoming(t)
-    m = _merged(t)
-    exp = inc.agg(F.count("*").cast("bigint").alias("expected"), F.lit(1).alias("_k"))
-    act = m.agg(F.count_if(F.col("seq") == 2).cast("bigint").alias("upserted"), F.lit(1).alias("_k"))
-    return exp.join(act, "_k").select("expected", "upserted",
-                                      (F.col("expected") - F.col("upserted")).alias("failed"))
+    inc = _incoming(t).select(F.lit(1).alias("_exp"), F.lit(0).alias("_got"))
+    got = _merged(t).filter(F.col("seq") == 2).select(F.lit(0).alias("_exp"), F.lit(1).alias("_got"))
+    tot = inc.unionByName(got).agg(F.sum("_exp").cast("bigint").alias("expected"),
+                                   F.sum("_got").cast("bigint").alias("upserted"))
+    return tot.select("expected", "upserted", (F.col("expected") - F.col("upserted")).alias("failed"))
 
 
 @register("namespace_counts", f"""
