@@ -46,8 +46,11 @@ def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str,
     is found by a filter on its position. Only 2 rows per (group, p) are
     fetched; the rest stays where it is."""
     from docweave.operators.store import with_positions
-    v = df.select(*group_cols, F.col(value_col).alias("_v")).filter(F.col("_v").isNotNull())
-    pos = with_positions(v, [*group_cols, "_v"], out_col="_pos")
+    # a per-row tie-break keeps a hot value (many equal rows) splittable by
+    # the range partitioner; equal values are interchangeable for quantiles
+    v = (df.select(*group_cols, F.col(value_col).alias("_v")).filter(F.col("_v").isNotNull())
+         .withColumn("_tb", F.monotonically_increasing_id()))
+    pos = with_positions(v, [*group_cols, "_v", "_tb"], out_col="_pos")
     g = pos.groupBy(*group_cols).agg(F.min("_pos").alias("_first"), F.count("*").alias("_n"))
     tgt = g.select(*group_cols, "_first", F.explode(F.array(*[
         F.struct(F.lit(name).alias("p"), (F.lit(p) * (F.col("_n") - 1)).alias("x"))

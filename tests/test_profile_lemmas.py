@@ -50,3 +50,12 @@ def test_exact_percentiles_match_numpy(spark):
         vals = np.array([v for k, v in rows if k == g])
         assert got[g][0] == np.percentile(vals, 50) or abs(got[g][0] - np.percentile(vals, 50)) < 1e-12
         assert abs(got[g][1] - np.percentile(vals, 95)) < 1e-12
+
+
+def test_exact_percentiles_with_a_hot_value(spark):
+    from docweave.operators.evaluate import exact_percentiles
+    rows = [("m", 0.0)] * 500 + [("m", float(i)) for i in range(1, 1001)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(8)
+    r = exact_percentiles(df, ["g"], "v", {"p50": 0.5}).first()
+    import numpy as np
+    assert r.p50 == np.percentile([v for _, v in rows], 50)
