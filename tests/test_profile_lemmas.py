@@ -59,3 +59,12 @@ def test_exact_percentiles_with_a_hot_value(spark):
     r = exact_percentiles(df, ["g"], "v", {"p50": 0.5}).first()
     import numpy as np
     assert r.p50 == np.percentile([v for _, v in rows], 50)
+
+
+def test_empty_and_all_stopword_documents_give_no_chunks(spark):
+    from docweave.operators import ingest
+    docs = spark.createDataFrame([(1, ""), (2, "the and of it"), (3, "real words here")], "doc_id long, text string")
+    chunks = ingest.ingest_chunks(docs, 200).collect()
+    assert [r.doc_id for r in chunks] == [3]
+    q = {r.doc_id: r.status for r in ingest.quarantine(docs).collect()}
+    assert q == {1: "error", 2: "error", 3: "ok"}
