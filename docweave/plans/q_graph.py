@@ -50,13 +50,16 @@ def tpch_graph(t):
         .unionByName(t.part.select(_key("part", "p_partkey").alias("concept"), F.col("p_name").alias("definition"),
                                    m(L("category"), L("part"), L("brand"), F.col("p_brand"), L("type"), F.col("p_type"))
                                    .alias("properties"), _no_rel().alias("relationships"))))
-    li = t.lineitem
+    # both lineitem edge kinds come from one scan of lineitem (explode of a
+    # two-element array), not from two scans of the largest table
+    li_edges = t.lineitem.select(F.explode(F.array(
+        F.struct(_key("order", "l_orderkey").alias("src"), _key("part", "l_partkey").alias("dst"),
+                 L("contains").alias("type")),
+        F.struct(_key("part", "l_partkey").alias("src"), _key("supplier", "l_suppkey").alias("dst"),
+                 L("supplied_by").alias("type")))).alias("e")).select("e.*")
     extra = (t.orders.select(_key("customer", "o_custkey").alias("src"), _key("order", "o_orderkey").alias("dst"),
                              L("placed").alias("type"))
-             .unionByName(li.select(_key("order", "l_orderkey").alias("src"), _key("part", "l_partkey").alias("dst"),
-                                    L("contains").alias("type")))
-             .unionByName(li.select(_key("part", "l_partkey").alias("src"), _key("supplier", "l_suppkey").alias("dst"),
-                                    L("supplied_by").alias("type"))))
+             .unionByName(li_edges))
     return G.build_graph(concepts, extra)
 
 
