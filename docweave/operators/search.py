@@ -147,6 +147,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cos
         keyed = qstable.withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(nblocks)))
         query_blocks = (keyed.filter(F.col("_qb") == b).drop("_qb").toPandas()
                         for b in range(nblocks))
+        # every block scans the vectors once: materialise (id, values) so an
+        # encoder upstream runs once, not once per block
+        vsel = vsel.checkpoint(eager=True)
     parts = []
     for qpdf in query_blocks:
         if qpdf.empty:
