@@ -12,11 +12,54 @@ checks are row-local array expressions (no token explode, no shuffle).
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
 
+_ANSWER_TYPE = "struct<response:string,response_time:double>"
+
+
+def answer_plugin(factory):
+    """Answer-model plug-in: ``factory()`` returns ``answer(prompt) -> str``.
+    The model is built once per Python worker (iterator pandas UDF fed Arrow
+    batches); each answer is timed on its own, as a benchmark run times each
+    response. Column -> struct<response, response_time (seconds)>."""
+    from docweave.session import ship_package
+    ship_package()
+
+    @F.pandas_udf(_ANSWER_TYPE)
+    def _answer(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        answer = factory()
+        for prompts in batches:
+            out, took = [], []
+            for p in prompts.fillna("").tolist():
+                t0 = time.perf_counter()
+                out.append(answer(p))
+                took.append(time.perf_counter() - t0)
+            yield pd.DataFrame({"response": out, "response_time": took})
+
+    return _answer
+
+
+def run_models(cases: DataFrame, models: dict, prompt_col: str = "prompt") -> DataFrame:
+    """Every case answered by every model: one pass over the cases per model
+    (a handful of models), rows (<case columns>, model, response,
+    response_time), the input of the accuracy and latency reports."""
+    if not models:
+        raise ValueError("at least one model is needed")
+    runs = None
+    for name, factory in models.items():
+        r = (cases.withColumn("_a", answer_plugin(factory)(F.col(prompt_col)))
+             .select(*cases.columns, F.lit(name).alias("model"),
+                     F.col("_a.response").alias("response"), F.col("_a.response_time").alias("response_time")))
+        runs = r if runs is None else runs.unionByName(r)
+    return runs
+
 
 def accuracy_by_model(runs: DataFrame) -> DataFrame:
     return runs.groupBy("model").agg(F.count("*").cast("bigint").alias("n_cases"),

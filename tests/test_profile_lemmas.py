@@ -68,3 +68,26 @@ def test_empty_and_all_stopword_documents_give_no_chunks(spark):
     assert [r.doc_id for r in chunks] == [3]
     q = {r.doc_id: r.status for r in ingest.quarantine(docs).collect()}
     assert q == {1: "error", 2: "error", 3: "ok"}
+
+
+def _echo_model():
+    return lambda prompt: prompt
+
+
+def _upper_model():
+    return lambda prompt: prompt.upper()
+
+
+def test_answer_plugin_runs_every_case_per_model(spark):
+    from pyspark.sql import functions as F
+
+    from docweave.operators.evaluate import accuracy_by_model, run_models
+    cases = spark.createDataFrame([(i, f"q{i}", f"q{i}") for i in range(20)], "case_id int, prompt string, expected string")
+    runs = run_models(cases, {"echo": _echo_model, "upper": _upper_model})
+    rows = runs.collect()
+    assert len(rows) == 40
+    assert {r.response for r in rows if r.model == "upper"} == {f"Q{i}" for i in range(20)}
+    assert all(r.response_time >= 0 for r in rows)
+    acc = {r.model: r.accuracy for r in accuracy_by_model(
+        runs.withColumn("correct", F.col("response") == F.col("expected"))).collect()}
+    assert acc == {"echo": 1.0, "upper": 0.0}
