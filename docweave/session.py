@@ -82,11 +82,12 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
                        min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     """Guard against an input stored as one unsplittable row group: if the
     scan yields fewer partitions than the cluster's default parallelism and
-    the input is not tiny, hash-partition it by its first (key) column.
+    the input is not tiny, hash-partition it over the default parallelism.
     Inputs that already have enough splits - every large table on a cluster -
-    are returned untouched, so this never adds a shuffle at scale. Hashing by
-    key (not round-robin) avoids the sort Spark does before a round-robin
-    repartition and keeps rows of one key together."""
+    are returned untouched, so this never adds a shuffle at scale. Rows are
+    hashed on all their atomic columns (not round-robin, which sorts first;
+    not on a key alone, which would leave a key holding a third of the rows
+    in one partition)."""
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() >= target:
@@ -99,7 +100,10 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
         size = min_bytes
     if size < min_bytes:
         return df
-    return df.repartition(target, df.columns[0])
+    from pyspark.sql.types import ArrayType, MapType, StructType
+    atomic = [f.name for f in df.schema.fields
+              if not isinstance(f.dataType, (ArrayType, MapType, StructType))]
+    return df.repartition(target, *(atomic or df.columns[:1]))
 
 
 _SHIPPED: set[str] = set()
