@@ -60,8 +60,8 @@ def node_group(properties_col: str = "properties", key: str = "category") -> F.C
 # --- validation ------------------------------------------------------------------
 
 def validate(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Issues: missing definition; no successor (no outgoing edge, the
-    reference's 'isolated'); truly isolated (no edge at all)."""
+    """Issues: missing definition; no successor (no outgoing edge, what the
+    plan's check calls 'isolated'); truly isolated (no edge at all)."""
     outs = edges.select(F.col("src").alias("id")).distinct()
     ins = edges.select(F.col("dst").alias("id")).distinct()
     missing = nodes.filter(F.col("definition").isNull()).select(

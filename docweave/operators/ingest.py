@@ -20,8 +20,8 @@ def split_pages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def assemble_documents(pages: DataFrame, id_col: str = "doc_id", sep: str = "") -> DataFrame:
-    """Concatenate page texts in page order (the reference glues pages with
-    no separator). Pages are sorted inside each group, not globally."""
+    """Concatenate page texts in page order (by default pages are glued
+    with no separator). Pages are sorted inside each group, not globally."""
     ordered = F.array_sort(F.collect_list(F.struct(F.col("page_no"), F.col("text"))))
     return (pages.groupBy(id_col)
             .agg(F.array_join(F.transform(ordered, lambda s: s["text"]), sep).alias("text"),
