@@ -24,6 +24,7 @@ from docweave.session import ensure_checkpoint_dir, ship_package
 
 MAX_BROADCAST_QUERIES = 4096
 MAX_BROADCAST_BYTES = 64 << 20
+MAX_BROADCAST_HITS = 1_000_000  # hit ids (k x queries) shipped to a semi join
 # Scores are ranked by an integer key, round-half-up of score * 1e6, that is
 # computed once next to the score and used both for the per-partition
 # selection and for the final window, so both steps agree exactly; ties on
@@ -110,7 +111,17 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cos
           id_col: str = "id", vec_col: str = "values", qid_col: str = "qid",
           qvec_col: str = "values", dim: int | None = None,
           max_broadcast_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
-    """For every query row, the ``k`` nearest vectors.
+    """For every query row, the ``k`` nearest vectors (see ``top_k_counted``)."""
+    return top_k_counted(vectors, queries, k, metric, id_col, vec_col, qid_col, qvec_col, dim,
+                         max_broadcast_queries)[0]
+
+
+def top_k_counted(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cosine",
+                  id_col: str = "id", vec_col: str = "values", qid_col: str = "qid",
+                  qvec_col: str = "values", dim: int | None = None,
+                  max_broadcast_queries: int = MAX_BROADCAST_QUERIES) -> tuple[DataFrame, int]:
+    """(matches, number of query rows): for every query row, the ``k``
+    nearest vectors. The query count bounds the matches (k per query).
 
     Returns ``qid, rank, <id_col>, score`` with rank 1..k ordered by score
     (descending; ascending distance for euclidean) rounded half-up to 6
@@ -134,9 +145,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cos
     block = max(1, min(max_broadcast_queries, MAX_BROADCAST_BYTES // row_bytes))
     head = qsel.limit(block + 1).toPandas()
     if head.empty:
-        return _empty_result(spark, vectors, queries, id_col, qid_col)
+        return _empty_result(spark, vectors, queries, id_col, qid_col), 0
     if len(head) <= block:
         query_blocks = [head]
+        nq = len(head)
     else:
         # Too many queries for one broadcast: persist the query set once in
         # the shared checkpoint directory, then stream it block by block.
@@ -167,7 +179,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cos
               .filter(F.col("rank") <= k))
     if metric == "euclidean":
         ranked = ranked.withColumn("score", -F.col("score"))
-    return ranked.select(F.col("qid").alias(qid_col), "rank", id_col, "score")
+    return ranked.select(F.col("qid").alias(qid_col), "rank", id_col, "score"), nq
+
+
+def rows_for_hits(table: DataFrame, hits: DataFrame, n_hits_bound: int, id_col: str = "id") -> DataFrame:
+    """The rows of a (large) table whose id is among the hits. The hit ids
+    are at most ``n_hits_bound`` (k x queries): under MAX_BROADCAST_HITS they
+    are broadcast into a semi join, so the table is filtered where it lies
+    and never shuffled; above it, a shuffle semi join."""
+    ids = hits.select(id_col).distinct()
+    if n_hits_bound <= MAX_BROADCAST_HITS:
+        ids = F.broadcast(ids)
+    return table.join(ids, id_col, "left_semi")
 
 
 def _empty_result(spark, vectors, queries, id_col, qid_col):
@@ -202,8 +225,13 @@ def search_store(store: DataFrame, queries: DataFrame, k: int = 5, metric: str =
     only (id, values) and metadata is joined for the k survivors per query
     only when asked for (it is never read otherwise)."""
     s = store if namespace is None else store.filter(F.col("namespace") == namespace)
-    res = top_k(s.select("id", "values"), queries, k=k, metric=metric, id_col="id", vec_col="values",
-                qid_col=qid_col, qvec_col=qvec_col)
+    res, nq = top_k_counted(s.select("id", "values"), queries, k=k, metric=metric, id_col="id",
+                            vec_col="values", qid_col=qid_col, qvec_col=qvec_col)
     if include_metadata:
-        res = res.join(s.select("id", "metadata").dropDuplicates(["id"]), "id", "left")
+        # the hits (<= k x queries rows) feed two joins: materialise them once
+        # so the vector scan and scoring run once
+        ensure_checkpoint_dir(s.sparkSession)
+        res = res.checkpoint(eager=True)
+        meta = rows_for_hits(s.select("id", "metadata"), res, k * nq).dropDuplicates(["id"])
+        res = res.join(meta, "id", "left")
     return res

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
 from docweave.functions import vectors as vx
-from docweave.operators import ingest, search
+from docweave.operators import ingest, search, store
 from docweave.operators.vectorops import mean_vectors, signature
 from docweave.plans import sqlgen as S
 from docweave.plans.registry import register
@@ -82,9 +82,13 @@ def retrieve_with_sources(t):
     """the top-5 chunk texts joined in rank order, plus distinct sources."""
     cv = chunk_vectors(t)
     qv = query_vectors(t).select("item_id", "values")
-    res = search.top_k(cv.select("id", "values"), qv, k=5, metric="cosine", id_col="id",
-                       vec_col="values", qid_col="item_id", qvec_col="values", dim=vx.DEFAULT_DIM)
-    hits = (res.join(cv.select("id", "doc_id", "chunk_text"), "id")
+    res, nq = search.top_k_counted(cv.select("id", "values"), qv, k=5, metric="cosine", id_col="id",
+                                   vec_col="values", qid_col="item_id", qvec_col="values", dim=vx.DEFAULT_DIM)
+    # chunk rows of the <= 5 x queries hits only (broadcast semi join, size
+    # bound checked); the hits feed two joins, so they are materialised once
+    res = res.checkpoint(eager=True)
+    hit_rows = search.rows_for_hits(cv.select("id", "doc_id", "chunk_text"), res, 5 * nq)
+    hits = (res.join(hit_rows, "id")
             .join(t.documents.select("doc_id", "source"), "doc_id"))
     ordered = F.array_sort(F.collect_list(F.struct("rank", "chunk_text")))
     return hits.groupBy("item_id").agg(
@@ -211,3 +215,32 @@ def mean_pool(t):
     doc = mean_vectors(v, ["doc_id"], "values", "doc_vec")
     sig = doc.select("doc_id", *signature("doc_vec"))
     return n.join(sig, "doc_id").select("doc_id", "n_chunks", "l1", "wsum")
+
+
+@register("topk_store_metadata", f"""
+WITH {_EMB_LONG},
+cn AS (SELECT label, sqrt(sum(m * m)) AS n FROM c GROUP BY label),
+vn AS (SELECT vec_id, sqrt(sum(x * x)) AS n FROM e GROUP BY vec_id),
+dp AS (SELECT c.label, e.vec_id, sum(c.m * e.x) AS d FROM e JOIN c USING (pos) GROUP BY ALL),
+sc AS (SELECT dp.label, 'vec_' || dp.vec_id::VARCHAR AS id, d / (cn.n * vn.n) AS score
+       FROM dp JOIN cn USING (label) JOIN vn USING (vec_id)),
+rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY round(score, 6) DESC, id) AS rank FROM sc)
+SELECT rk.label, rank::BIGINT AS rank, rk.id, round(score, 4) AS score, printf('%.4f', score) AS score_text,
+       em.label AS meta_label, len(em.embedding)::BIGINT AS meta_dim
+FROM rk JOIN embeddings em ON 'vec_' || em.vec_id::VARCHAR = rk.id WHERE rank <= 5
+""")
+def topk_store_metadata(t):
+    """Search a vector store table (namespace, id, values, metadata)
+    with include_metadata: ranking reads (id, values) only; the metadata of
+    the k hits per query is fetched afterwards by a semi join."""
+    emb = t.embeddings
+    st = emb.select(F.concat(F.lit("vec_"), F.col("vec_id").cast("string")).alias("id"),
+                    F.col("embedding").alias("values"),
+                    F.struct(F.col("label").alias("label"),
+                             F.size("embedding").cast("bigint").alias("dim")).alias("metadata"))
+    st = store.assign_batches(st, ["id"]).select("namespace", "id", "values", "metadata")
+    cent = mean_vectors(emb, ["label"], "embedding")
+    res = search.search_store(st, cent, k=5, include_metadata=True, qid_col="label", qvec_col="centroid")
+    return search.format_matches(res).select(
+        "label", F.col("rank").cast("bigint").alias("rank"), "id", F.round("score", 4).alias("score"),
+        "score_text", F.col("metadata.label").alias("meta_label"), F.col("metadata.dim").alias("meta_dim"))
