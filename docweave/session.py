@@ -113,7 +113,9 @@ def ship_package(spark: SparkSession | None = None) -> None:
     """Make ``docweave`` importable in the Python workers (pandas UDFs and
     mapInPandas functions refer to its modules): zip the package once per
     application and register it with ``addPyFile``, the programmatic form of
-    ``--py-files``. Skipped when the package was already shipped."""
+    ``--py-files``. Skipped when the package was already shipped. The zip
+    is staged on the driver only (like a ``--py-files`` argument); Spark's
+    file server hands it to every executor, no executor reads a local path."""
     spark = spark or SparkSession.getActiveSession()
     if spark is None:
         return
