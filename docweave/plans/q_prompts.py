@@ -11,11 +11,15 @@ from docweave.plans.q_graph import KG, tpch_graph
 from docweave.plans.registry import register
 
 
+def _definition_question(id_col: str = "id"):
+    return F.concat(F.lit("What is "), F.col(id_col), F.lit("?"))
+
+
 def test_cases(t):
     """One definition case per node, one relationship case per edge."""
     nodes, edges = tpch_graph(t)
     d = nodes.select(F.lit("definition").alias("type"),
-                     F.concat(F.lit("What is "), F.col("id"), F.lit("?")).alias("question"),
+                     _definition_question().alias("question"),
                      F.col("id").alias("concepts"), F.col("definition").alias("ground_truth"),
                      F.col("id").alias("concept"), F.lit(None).cast("string").alias("concept2"),
                      F.coalesce(F.col("definition"), F.lit("")).alias("context"))
@@ -144,8 +148,12 @@ def concept_mentions(t):
     (1..3-gram) match of cleaned question text against cleaned concept ids
     and names; the join strategy is left to AQE (broadcast only if small)."""
     nodes, _ = tpch_graph(t)
-    q = test_cases(t).filter(F.col("type") == "definition").select(
-        F.col("concept").alias("qid"), tx.tokenize(tx.clean_text("question")).alias("tok"))
+    # the nodes feed both the questions and the dictionary: materialised once
+    # (a reliable checkpoint) instead of re-deriving the concept union, and
+    # the edge endpoints behind it, once per consumer
+    nodes = nodes.select("id", "definition").checkpoint(eager=True)
+    q = nodes.select(F.col("id").alias("qid"),
+                     tx.tokenize(tx.clean_text(_definition_question())).alias("tok"))
     g = q.select("qid", "tok", F.posexplode("tok").alias("i0", "_w")) \
          .select("qid", "tok", (F.col("i0") + 1).alias("i"), F.explode(F.array(*map(F.lit, _NGRAMS))).alias("n"))
     ng = g.filter(F.col("i") + F.col("n") - 1 <= F.size("tok")).select(
