@@ -7,11 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from docweave.plans import registry
 from docweave.session import TABLES
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
 
 
 def _norm(v):
