@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from docweave.llm import mixing, packing, quality, sharding
+from docweave.llm import chat, langid, mixing, packing, quality, sharding, vectors, warc
 
 QUERIES = {
     "op1_histogram_shards": sharding.op1_histogram_shards,
+    "op4_language_id": langid.op4_language_id,
     "op5_mix_sources": mixing.op5_mix_sources,
+    "op6_reply_trees": chat.op6_reply_trees,
+    "op7_vector_near_duplicates": vectors.op7_vector_near_duplicates,
+    "op8_warc_revisits": warc.op8_warc_revisits,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
 ORACLE_SQL = {
     "op5_mix_sources": mixing.OP5_SQL,
+    "op8_warc_revisits": warc.OP8_SQL,
     "op9_quality_rules": quality.OP9_SQL,
 }
