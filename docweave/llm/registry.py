@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from docweave.llm import chat, langid, mixing, packing, quality, sharding, vectors, warc
+from docweave.llm import chat, jaccard, langid, mixing, packing, quality, sharding, vectors, warc
 
 QUERIES = {
     "op1_histogram_shards": sharding.op1_histogram_shards,
+    "op2_ngram_jaccard_join": jaccard.op2_ngram_jaccard_join,
     "op4_language_id": langid.op4_language_id,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_reply_trees": chat.op6_reply_trees,
