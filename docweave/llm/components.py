@@ -8,6 +8,7 @@ never gathered into one task; every round is written to the shared folder.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,3 +39,17 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         e = materialize(small.distinct(), "components")
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def min_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest index of each of n nodes' component under edges a - b."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from docweave.llm import chat, jaccard, langid, mixing, packing, quality, sharding, vectors, warc
+from docweave.llm import chat, jaccard, langid, mixing, packing, quality, rollup, sharding, vectors, warc
 
 QUERIES = {
     "op1_histogram_shards": sharding.op1_histogram_shards,
     "op2_ngram_jaccard_join": jaccard.op2_ngram_jaccard_join,
+    "op3_token_counts": rollup.op3_token_counts,
     "op4_language_id": langid.op4_language_id,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_reply_trees": chat.op6_reply_trees,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_token_counts": rollup.OP3_SQL,
     "op5_mix_sources": mixing.OP5_SQL,
     "op8_warc_revisits": warc.OP8_SQL,
     "op9_quality_rules": quality.OP9_SQL,

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.llm.common import materialize, prepare, table
-from docweave.llm.components import connected_components
+from docweave.llm.components import connected_components, min_labels
 
 THRESHOLD = 0.95
 SAMPLE = 20_000
@@ -130,20 +130,6 @@ def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", a, b)
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest index of each of n nodes' component under edges a - b."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def link_classes(classes: DataFrame, dim: int, count: int, threshold: float) -> DataFrame:
     """(cid, links, root) rows: links of a class found in one unit (in vectors of
     other classes) and a class of the same component."""
@@ -215,7 +201,7 @@ def link_classes(classes: DataFrame, dim: int, count: int, threshold: float) ->
         a, b = a[ok], b[ok]
         n = f["n"].to_numpy()
         links = np.bincount(a, n[b], len(f)) + np.bincount(b, n[a], len(f))
-        root = _roots(len(f), a, b)
+        root = min_labels(len(f), a, b)
         hit = links > 0
         cid = f["cid"].to_numpy()
         return pd.DataFrame({"cid": cid[hit], "links": links[hit].astype("int64"), "root": cid[root[hit]]})
