@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm import mixing, packing, quality
+from docweave.llm import jaccard, langid, mixing, packing, quality
 from docweave.llm.common import materialize, table
 
 STAGES = [
     ("quality rules", quality.kept_documents),
+    ("language identification", langid.identified_documents),
+    ("n-gram Jaccard join", jaccard.distinct_documents),
     ("mixing sources", mixing.mixed_documents),
     ("best-fit packing", packing.packed_documents),
 ]
