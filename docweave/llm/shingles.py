@@ -20,6 +20,8 @@ MIX_2 = 0x94D049BB133111EB
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _BYTE = np.random.default_rng(20240501).integers(0, 1 << 64, 256, dtype=np.uint64)
+#: One odd multiplier per place in a shingle.
+_PLACE = np.random.default_rng(20240502).integers(0, 1 << 64, 16, dtype=np.uint64) | U(1)
 PIECE = 1 << 20  # bytes hashed at a time
 
 
@@ -79,5 +81,25 @@ def shingle_set(text: str | None, k: int = 5) -> np.ndarray:
     n = len(w) - size + 1
     h = np.full(n, size, np.uint64)
     for i in range(size):
-        h = mix(h + U(GOLDEN)) + w[i:i + n]
-    return np.unique(mix(h))
+        h += w[i:i + n] * _PLACE[i]
+    h = np.sort(mix(h))
+    return h[np.concatenate(([True], h[1:] != h[:-1]))]
+
+
+def sketch(s: np.ndarray) -> bytes:
+    """How many of a set's hashes fall into each of B equal ranges, one byte each;
+    B is a power of two, 2 to 4 hashes a range on average. Empty if a range holds
+    over 255."""
+    bits = max(4, len(s).bit_length() - 2)
+    counts = np.bincount((s >> U(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+
+
+def overlap_bound(a: np.ndarray, b: np.ndarray) -> int | None:
+    """The most hashes that two sets with these sketches can share; None: unknown."""
+    if not len(a) or not len(b):
+        return None
+    if len(a) > len(b):
+        a, b = b, a
+    folded = b.reshape(len(a), -1).sum(1, dtype=np.int64) if len(b) > len(a) else b
+    return int(np.minimum(a, folded).sum(dtype=np.int64))
