@@ -18,18 +18,22 @@ all groups); an empty table gives no rows; extra columns are ignored.
 
 Token ids are those of the ``tokenizers`` library for the whole text. The
 vocabulary drops white space, so a text is cut at ASCII blanks first and the
-ids of each distinct chunk are looked up in a bounded per-task cache; strings
+ids of each distinct chunk are looked up in a bounded cache per worker; strings
 of special tokens inside a text count as ordinary text.
 """
 
 from __future__ import annotations
 
+import gc
 import random
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +44,8 @@ CAPACITY = 4096
 END_ID = 1
 OPEN_BINS = 64
 GROUP_SEQUENCES = 2048
-CACHE_CHUNKS = 400_000  # distinct chunks kept per task; then the cache starts anew
+TEXTS = 500             # texts encoded together
+CACHE_CHUNKS = 300_000  # chunks, and words, kept by a worker before the cache starts anew (the one before is kept too)
 CACHE_CHARS = 64        # longer chunks are not kept
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ord long"
@@ -53,7 +58,10 @@ def default_tokenizer() -> str:
 
 
 class ChunkEncoder:
-    """ids of a text as little-endian unsigned 32-bit bytes."""
+    """ids of texts as little-endian unsigned 32-bit bytes, chunk by chunk. A new
+    chunk of Latin letters is cut into words as the vocabulary's own rule does, and
+    new words are encoded together: the last id of each word is marked as such in
+    the vocabulary. Any other chunk is encoded by itself."""
 
     def __init__(self, path: str):
         import os
@@ -61,28 +69,86 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        import numpy as np
-        return [np.asarray(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
-
-    def ids(self, text: str) -> bytes:
-        chunks, cache = _BLANK.split(text), self.cache
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.chunks, self.old_chunks = {}, {}
+        self.words, self.old_words = {}, {}
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_words(self, words: list[str]) -> None:
+        for at in range(0, len(words), 1000):
+            part = words[at:at + 1000]
+            ids = self._encode([" ".join(part)])[0]
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(part):
+                raise ValueError("the vocabulary does not mark the ends of words")
+            data, before = ids.tobytes(), 0
+            for w, cut in zip(part, (4 * cuts).tolist(), strict=True):
+                self.words[w] = data[before:cut]
+                before = cut
+
+    def _learn(self, chunks: list[str]) -> None:
+        parts, alone, new, words, old = [], [], [], self.words, self.old_words
+        for c in chunks:
+            if c.isascii():
+                p = _ASCII_WORD.findall(c.lower())
+            elif max(c) < "\u0250" and "\u0130" not in c:
+                p = _LATIN_WORD.findall(unicodedata.normalize("NFC", c).lower())
+            else:
+                alone.append(c)
+                continue
+            parts.append((c, p))
+            for w in p:
+                if w not in words:
+                    if w in old:
+                        words[w] = old[w]
+                    else:
+                        words[w] = b""
+                        new.append(w)
+        self._learn_words(new)
+        known = self.chunks
+        for c, p in parts:
+            known[c] = words[p[0]] if len(p) == 1 else b"".join([words[w] for w in p])
+        if alone:
+            known.update(zip(alone, (i.tobytes() for i in self._encode(alone)), strict=True))
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        gc.disable()  # many small strings, no cycles: collections would only walk the caches
         try:
-            return b"".join([cache[c] for c in chunks])
-        except KeyError:
-            pass
-        if len(cache) > CACHE_CHUNKS:
-            cache.clear()
-        new = [c for c in dict.fromkeys(chunks) if c not in cache]
-        found = dict(zip(new, self._encode(new), strict=True))
-        cache.update((c, i) for c, i in found.items() if len(c) <= CACHE_CHARS)
-        return b"".join([found[c] if c in found else cache[c] for c in chunks])
-
-
-_BLANK = re.compile("[\\x20\\x09-\\x0d]+")
+            return self._ids(texts)
+        finally:
+            gc.enable()
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        if len(self.chunks) > CACHE_CHUNKS:
+            self.chunks, self.old_chunks = {}, self.chunks
+        if len(self.words) > CACHE_CHUNKS:
+            self.words, self.old_words = {}, self.words
+        split = [_BLANK.split(t) if _ODD.search(t) else t.split() for t in texts]
+        new, chunks, old = [], self.chunks, self.old_chunks
+        for c in set().union(*split):
+            if c not in chunks:
+                if c in old:
+                    chunks[c] = old[c]
+                else:
+                    new.append(c)
+        self._learn(new)
+        out = [b"".join([chunks[c] for c in part]) for part in split]
+        for c in new:
+            if len(c) > CACHE_CHARS:
+                del chunks[c]
+        return out
+
+
+_BLANK = re.compile("[\x20\x09-\x0d]+")
+_ODD = re.compile("[\x1c-\x1f]")  # blanks for str.split, not for the vocabulary
+# How the vocabulary's file cuts words, for ASCII text and in general.
+_ASCII_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+_LATIN_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+_ENCODERS: dict[str, ChunkEncoder] = {}  # of this worker
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY,
@@ -92,17 +158,22 @@ def tokenize(docs: DataFrame, tokenizer_path: str | None = None, capacity: int =
     end = END_ID.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(path)
+        if path not in _ENCODERS:
+            _ENCODERS[path] = ChunkEncoder(path)
+        encoder = _ENCODERS[path]
         part = TaskContext.get().partitionId()
         deal = random.Random(part)
         for batch in batches:
             out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ord")}
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids, doc_id = encoder.ids(text.as_py() or "") + end, doc_id.as_py()
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    piece = ids[at:at + 4 * capacity]
-                    for name, v in zip(out, (doc_id, k, at // 4, len(piece) // 4, zlib.crc32(piece), deal.getrandbits(62)), strict=True):
-                        out[name].append(v)
+            for first in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(first, TEXTS)
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.ids(texts), strict=True):
+                    ids += end
+                    for k, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        piece = ids[at:at + 4 * capacity]
+                        for name, v in zip(out, (doc_id, k, at // 4, len(piece) // 4, zlib.crc32(piece), deal.getrandbits(62)), strict=True):
+                            out[name].append(v)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, pa.int32() if k == "piece" else pa.int64()) for k, v in out.items()], names=list(out))
 
