@@ -26,10 +26,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch: whole texts, sets and vectors are kilobytes each.
+BATCH_ROWS = 1000
+
+
 def prepare(spark: SparkSession) -> None:
-    """Checkpoint directory set and the package importable in Python workers."""
+    """Checkpoint directory set, the package importable in Python workers, and
+    Arrow batches of at most BATCH_ROWS rows unless the session asks for fewer."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
 
 
 def words(text) -> F.Column:
