@@ -68,21 +68,24 @@ def chosen_paths(messages: DataFrame, top: int = 1) -> DataFrame:
     known = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("known"))
     step = nodes.join(known, ["tree", "parent"], "left").select(
         "tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), F.coalesce("score", F.lit(0.0)).alias("score"))
-    steps = [materialize(step, "chat-step")]
-    n = steps[0].count()
-    leaves = steps[0].join(steps[0].select("tree", F.col("up").alias("node")), ["tree", "node"], "left_anti")
-    while steps[-1].where("up IS NOT NULL").limit(1).count() and len(steps) <= math.ceil(math.log2(max(2, n))) + 1:
-        last = steps[-1]
-        far = last.select("tree", F.col("node").alias("up"), F.col("up").alias("far"), F.col("score").alias("more"))
-        steps.append(materialize(last.join(far, ["tree", "up"], "left").select(
-            "tree", "node", F.col("far").alias("up"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score")), "chat-step"))
+    state = materialize(step, "chat-step")
+    n = state.count()
+    leaves = state.join(state.select("tree", F.col("up").alias("node")), ["tree", "node"], "left_anti").select("tree", "node")
+    done, active = state.where("up IS NULL"), state.where("up IS NOT NULL")
+    steps = []  # only nodes that are not at their root yet go on
+    while active.limit(1).count() and len(steps) <= math.ceil(math.log2(max(2, n))) + 1:
+        steps.append(active)
+        far = active.unionByName(done).select("tree", F.col("node").alias("up"), F.col("up").alias("far"), F.col("score").alias("more"))
+        state = materialize(active.join(far, ["tree", "up"]).select(
+            "tree", "node", F.col("far").alias("up"), (F.col("score") + F.col("more")).alias("score")), "chat-step")
+        done, active = done.unionByName(state.where("up IS NULL")), state.where("up IS NOT NULL")
     rank = Window.partitionBy("tree").orderBy(F.col("score").desc(), "node")
-    whole = steps[-1].where("up IS NULL").join(leaves.select("tree", "node"), ["tree", "node"])
+    whole = done.select("tree", "node", "score").join(leaves, ["tree", "node"])
     best = whole.withColumn("branch_rank", F.row_number().over(rank)).where(F.col("branch_rank") <= top)
     path = best.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up"), "branch_rank",
                        F.col("score").alias("branch_score"))
-    for k, jump in enumerate(steps[:-1]):
-        far = jump.where("up IS NOT NULL").select("tree", "node", F.col("up").alias("to"))
+    for k, jump in enumerate(steps):
+        far = jump.select("tree", "node", F.col("up").alias("to"))
         path = path.unionByName(path.join(far, ["tree", "node"]).select(
             "tree", "leaf", F.col("to").alias("node"), (F.col("up") + (1 << k)).alias("up"), "branch_rank", "branch_score"))
         path = materialize(path, "chat-path")

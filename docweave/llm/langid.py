@@ -182,7 +182,7 @@ class Trees:
         cuts = np.empty(2 * len(group), np.int64)
         cuts[0::2] = starts[:-1]             # a slice's own bytes ...
         cuts[1::2] = starts[1:] - ORDER      # ... end where the next one's context begins
-        sums = np.add.reduceat(cost, np.minimum(cuts, len(cost) - 1), axis=0, dtype=np.float64)[0::2]
+        sums = np.add.reduceat(cost, cuts[:-1], axis=0, dtype=np.float64)[0::2]
         np.add.at(out, [g[0] for g in group], sums)
 
 
