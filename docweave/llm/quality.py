@@ -75,7 +75,9 @@ def measures(df: DataFrame, text_col: str = "text") -> DataFrame:
         "n_stop_words": F.size(F.filter("__words", lambda w: bare(w).isin(STOP_WORDS))),
         "n_lines": F.size("__lines"),
     }
-    return d.select(*keep, *[v.cast("long").alias(k) for k, v in out.items()])
+    # through a generator of one row, so that a filter on a measure is not pushed below, where
+    # its expressions would replace the columns they are built from, again and again
+    return d.select(*keep, F.inline(F.array(F.struct(*[v.cast("long").alias(k) for k, v in out.items()]))))
 
 
 def verdict(rules=RULES) -> F.Column:
