@@ -42,8 +42,8 @@ from docweave.llm.common import prepare, table, without
 ORDER = 3
 SAMPLE_BYTES = 400_000
 MAX_TEXT_BYTES = 50_000
-MAX_CELLS = 20_000_000  # float32 cells of the workers' table
-SLICE = 1 << 19         # bytes scored at a time
+MAX_CELLS = 8_000_000   # float32 cells of the workers' table
+SLICE = 1 << 18         # bytes scored at a time
 OUT = ("lang_pred", "score")
 
 
@@ -119,18 +119,19 @@ class Trees:
         for k in range(1, ORDER + 1):
             first[k] = states
             states += len(known[k][0])
-        prob = np.empty((langs, states, 256))
-        self.state = np.zeros(1, np.int32)
+        prob = np.empty((langs, states, 256), np.float32)
+        number = np.uint16 if states < 1 << 16 else np.int32
+        self.state = np.zeros(1, number)
         parents = np.zeros(1, np.int64)
         for k in range(ORDER + 1):
             if k:
                 ctx = known[k][0]
                 parents = self.state[ctx & (256 ** (k - 1) - 1)].astype(np.int64)
                 self.state = np.tile(self.state, 256)
-                self.state[ctx] = np.arange(first[k], first[k] + len(ctx), dtype=np.int32)
+                self.state[ctx] = np.arange(first[k], first[k] + len(ctx), dtype=number)
             for x in range(langs):
                 if k:
-                    rows = prob[x, parents]
+                    rows = prob[x, parents].astype(np.float64)
                 else:
                     rows = np.full((1, 256), 1 / 256)
                 mine = (model["lang"] == x) & (model["k"] == k)
@@ -151,7 +152,9 @@ class Trees:
                 rest[hit] *= (escape[hit] / np.maximum(mass[hit], 1e-300))[:, None]
                 rest[at, sym] = n / total[at] * (1 - escape[at])
                 prob[x, first.get(k, 0):first.get(k, 0) + len(rows)] = np.where(hit[:, None], rest, rows)
-        self.cost = np.ascontiguousarray(-np.log2(prob).transpose(1, 2, 0), dtype=np.float32).reshape(states * 256, langs)
+        np.log2(prob, out=prob)
+        np.negative(prob, out=prob)
+        self.cost = np.ascontiguousarray(prob.transpose(1, 2, 0)).reshape(states * 256, langs)
         self.langs = langs
 
     def lengths(self, texts: list[bytes]) -> np.ndarray:
@@ -177,7 +180,7 @@ class Trees:
             return
         b = np.frombuffer(b"".join(g[1] for g in group), np.uint8).astype(np.int32)
         before = (b[:-3] << 16) | (b[1:-2] << 8) | b[2:-1]
-        cost = self.cost[self.state[before] * 256 + b[3:]]
+        cost = self.cost[self.state[before].astype(np.int64) * 256 + b[3:]]
         starts = np.cumsum([0, *(len(g[1]) for g in group)])
         cuts = np.empty(2 * len(group), np.int64)
         cuts[0::2] = starts[:-1]             # a slice's own bytes ...
