@@ -52,8 +52,9 @@ def strip_non_content(html: Column | str) -> Column:
 
 
 def title(html: Column | str) -> Column:
-    """Title text, entities decoded, not stripped; '' when absent."""
-    raw = F.regexp_extract(_c(html), TITLE, 2)
+    """Title text outside scripts, styles and comments, entities decoded, not
+    stripped; '' when absent."""
+    raw = F.regexp_extract(strip_non_content(html), TITLE, 2)
     return decode_entities(raw)
 
 

@@ -41,11 +41,13 @@ def templates_frame(spark: SparkSession, templates: dict | None = None) -> DataF
 
 
 def fill(template: Column | str, values: dict[str, Column]) -> Column:
-    """Replace every ``{slot}`` by its value (null value -> empty text)."""
+    """Replace every ``{slot}`` by its value (null value -> empty text). Braces of a
+    value are masked until the end, so a value is never expanded again."""
     out = F.col(template) if isinstance(template, str) else template
     out = F.replace(F.replace(out, F.lit("{{"), F.lit(_OPEN)), F.lit("}}"), F.lit(_CLOSE))
     for slot, val in values.items():
-        out = F.replace(out, F.lit("{" + slot + "}"), F.coalesce(val.cast("string"), F.lit("")))
+        masked = F.replace(F.replace(F.coalesce(val.cast("string"), F.lit("")), F.lit("{"), F.lit(_OPEN)), F.lit("}"), F.lit(_CLOSE))
+        out = F.replace(out, F.lit("{" + slot + "}"), masked)
     return F.replace(F.replace(out, F.lit(_OPEN), F.lit("{")), F.lit(_CLOSE), F.lit("}"))
 
 

@@ -74,4 +74,4 @@ def apply_lemmas(docs: DataFrame, lemmas: DataFrame, id_col: str = "doc_id", tok
     back = j.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("_p", "w"))).alias("_s"))
     back = back.select(id_col, F.transform("_s", lambda s: s["w"]).alias("_lt"))
     return (docs.join(back, id_col, "left")
-            .withColumn(tokens_col, F.coalesce(F.col("_lt"), F.array().cast("array<string>"))).drop("_lt"))
+            .withColumn(tokens_col, F.when(F.col(tokens_col).isNotNull(), F.coalesce(F.col("_lt"), F.array().cast("array<string>")))).drop("_lt"))

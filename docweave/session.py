@@ -54,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:
             configured = None
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         configured = tempfile.mkdtemp(prefix="docweave-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -66,44 +68,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
-    """Read one table with its declared schema (no inference job), see
-    ``ensure_parallelism``."""
+def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one table with its declared schema (no inference job). The plan is the
+    scan alone, so filters and column choices reach it."""
     from docweave.schemas import TABLE_DDL
     reader = spark.read.schema(TABLE_DDL[name]) if name in TABLE_DDL else spark.read
-    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df, min_partitions)
-
-
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
-                       min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Guard against an input stored as one unsplittable row group: if the
-    scan yields fewer partitions than the cluster's default parallelism and
-    the input is not tiny, hash-partition it over the default parallelism.
-    Inputs that already have enough splits - every large table on a cluster -
-    are returned untouched, so this never adds a shuffle at scale. Rows are
-    hashed on all their atomic columns (not round-robin, which sorts first;
-    not on a key alone, which would leave a key holding a third of the rows
-    in one partition)."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
-        return df
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - statistics unavailable: assume large
-        size = min_bytes
-    if size < min_bytes:
-        return df
-    from pyspark.sql.types import ArrayType, MapType, StructType
-    atomic = [f.name for f in df.schema.fields
-              if not isinstance(f.dataType, (ArrayType, MapType, StructType))]
-    return df.repartition(target, *(atomic or df.columns[:1]))
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 _SHIPPED: set[str] = set()

@@ -75,3 +75,12 @@ def test_sectioned_page_json_schema(spark):
     back = json.loads(js)
     assert back["title"] == " A & B " and back["sections"][0] == {"type": "h1", "content": 'Head "line"'}
     assert schemas.SECTIONED_PAGE.names == ["title", "sections"]
+
+
+def test_title_ignores_comments_and_values_are_not_expanded_again(spark):
+    from docweave.functions import templates
+    html = "<!-- <title>no</title> --><script>var t='<title>no</title>'</script><title>yes</title>"
+    df = spark.createDataFrame([(html, "see {concept}", "X")], "h string, c string, k string")
+    from docweave.functions import html as hx
+    filled = templates.fill(F.lit("{context}: {concept} {{}}"), {"context": F.col("c"), "concept": F.col("k")})
+    assert tuple(df.select(hx.title("h"), filled).first()) == ("yes", "see {concept}: X {}")
