@@ -57,3 +57,16 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns whose names (in any case) an operator is about to set."""
     low = {n.lower() for n in names}
     return df.drop(*[c for c in df.columns if c.lower() in low])
+
+
+_HELD: dict[str, object] = {}
+
+
+def hold(key: str, make):
+    """What this Python worker keeps between tasks: one object at a time, made by
+    ``make()`` unless the key is that of the one held. Workers are shared by all
+    operators of an application, so what another one left is let go first."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]

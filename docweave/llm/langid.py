@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm.common import prepare, table, without
+from docweave.llm.common import hold, prepare, table, without
 
 ORDER = 3
 SAMPLE_BYTES = 400_000
@@ -189,9 +189,6 @@ class Trees:
         np.add.at(out, [g[0] for g in group], sums)
 
 
-_TREES: dict[str, Trees] = {}  # of this worker, by the model's name
-
-
 def predict(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """``docs`` plus lang_pred and score."""
     import uuid
@@ -203,10 +200,7 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _TREES:
-            _TREES.clear()
-            _TREES[name] = Trees(shared.value)
-        trees = _TREES[name]
+        trees = hold(name, lambda: Trees(shared.value))
         for batch in batches:
             *kept, text, letters = batch.columns
             texts = [t.as_py().encode() if ok.as_py() else b"" for t, ok in zip(text, letters, strict=True)]

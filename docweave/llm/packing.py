@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm.common import materialize, prepare, table
+from docweave.llm.common import hold, materialize, prepare, table
 
 CAPACITY = 4096
 END_ID = 1
@@ -148,7 +148,6 @@ _ODD = re.compile("[\x1c-\x1f]")  # blanks for str.split, not for the vocabulary
 # How the vocabulary's file cuts words, for ASCII text and in general.
 _ASCII_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _LATIN_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-_ENCODERS: dict[str, ChunkEncoder] = {}  # of this worker
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY,
@@ -158,9 +157,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str | None = None, capacity: int =
     end = END_ID.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _ENCODERS:
-            _ENCODERS[path] = ChunkEncoder(path)
-        encoder = _ENCODERS[path]
+        encoder = hold(path, lambda: ChunkEncoder(path))
         part = TaskContext.get().partitionId()
         deal = random.Random(part)
         for batch in batches:
