@@ -6,8 +6,8 @@ Plan shape (many queries, ``top_k``):
     against the broadcast query matrix, keep a k-candidate superset per
     query--> shuffle of <= k*Q rows per partition on qid --> window rank.
 
-The query side is broadcast only after its row count and byte size were
-checked; larger query sets are processed in query blocks, each of which is
+The query side is broadcast only after its row count and vector length, and
+so its bytes, were counted; larger query sets are processed in query blocks, each of which is
 one more scan of the vectors (no vector is ever replicated or broadcast, no
 query x vector pair is materialised as a row).
 """
@@ -31,6 +31,7 @@ MAX_BROADCAST_HITS = 1_000_000  # hit ids (k x queries) shipped to a semi join
 # the key are broken by id.
 KEY_SCALE = 1e6
 _MAX_CELLS = 4_000_000  # score-matrix cells per block product (~32 MB)
+_RANK_SALTS = 32  # tasks that share the candidates of one query before its last rank
 
 
 def rank_key(scores: np.ndarray) -> np.ndarray:
@@ -50,15 +51,23 @@ def _score_matrix(vecs: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
     raise ValueError(metric)
 
 
-def _exact_topk(cand: pd.DataFrame, k: int) -> pd.DataFrame:
-    """k best per query column by (key desc, id asc) - exact, ties included
+def _exact_topk(cand: pd.DataFrame, k: int, id_cols: list[str]) -> pd.DataFrame:
+    """k best per query column by (key desc, ids asc) - exact, ties included
     only as far as the id order admits them."""
     cand = cand.assign(_nk=-cand["_key"])
-    return cand.sort_values(["_c", "_nk", "_id"], kind="stable").groupby("_c", sort=False).head(k) \
+    return cand.sort_values(["_c", "_nk", *id_cols], kind="stable").groupby("_c", sort=False).head(k) \
                .drop(columns="_nk")
 
 
-def _partial_topk_fn(bq, k, metric, id_col, vec_col, dim):
+def _matrix(vectors: pd.Series, dim: int) -> np.ndarray:
+    """Stacked vectors; one of another length is refused, never cut or padded."""
+    lens = vectors.map(len).to_numpy()
+    if (lens != dim).any():
+        raise ValueError(f"a vector has {lens[lens != dim][0]} values, the queries have {dim}: fit them first")
+    return np.concatenate(vectors.to_numpy()).astype(np.float64).reshape(len(vectors), dim)
+
+
+def _partial_topk_fn(bq, k, metric, id_cols, vec_col, dim):
     def run(batches):
         qids, qmat = bq.value  # broadcast variable, fetched once per task
         nq = len(qids)
@@ -67,14 +76,9 @@ def _partial_topk_fn(bq, k, metric, id_col, vec_col, dim):
         for pdf in batches:
             if pdf.empty:
                 continue
-            vecs_all = np.zeros((len(pdf), dim), dtype=np.float64)
-            for i, v in enumerate(pdf[vec_col]):
-                if v is not None:
-                    a = np.asarray(v, dtype=np.float64)[:dim]
-                    vecs_all[i, :len(a)] = a
-            ids_all = pdf[id_col].to_numpy()
+            vecs_all = _matrix(pdf[vec_col], dim)
             for lo in range(0, len(pdf), step):
-                vecs, ids = vecs_all[lo:lo + step], ids_all[lo:lo + step]
+                vecs, ids = vecs_all[lo:lo + step], pdf[id_cols].iloc[lo:lo + step]
                 sc = _score_matrix(vecs, qmat, metric)
                 key = rank_key(sc)
                 m = len(ids)
@@ -83,24 +87,20 @@ def _partial_topk_fn(bq, k, metric, id_col, vec_col, dim):
                     r, c = np.nonzero(key >= kth[None, :])
                 else:
                     r, c = np.nonzero(np.ones_like(key, dtype=bool))
-                kept.append(pd.DataFrame({"_c": c, "_key": key[r, c], "_s": sc[r, c], "_id": ids[r]}))
+                kept.append(ids.iloc[r].reset_index(drop=True).assign(_c=c, _key=key[r, c], score=sc[r, c]))
                 pending += len(r)
                 if pending > 4 * _MAX_CELLS // 10:
-                    kept, pending = [_exact_topk(pd.concat(kept, ignore_index=True), k)], 0
+                    kept, pending = [_exact_topk(pd.concat(kept, ignore_index=True), k, id_cols)], 0
         if not kept:
             return
-        best = _exact_topk(pd.concat(kept, ignore_index=True), k)
-        qarr = np.asarray(qids, dtype=object)
-        yield pd.DataFrame({"qid": qarr[best["_c"].to_numpy()], id_col: best["_id"].to_numpy(),
-                            "score": best["_s"].to_numpy(), "_key": best["_key"].to_numpy()})
+        best = _exact_topk(pd.concat(kept, ignore_index=True), k, id_cols)
+        best.insert(0, "qid", np.asarray(qids, dtype=object)[best["_c"].to_numpy()])
+        yield best[["qid", *id_cols, "score", "_key"]]
     return run
 
 
-def _query_matrix(qpdf: pd.DataFrame, qvec_col: str, dim: int, metric: str) -> np.ndarray:
-    q = np.zeros((len(qpdf), dim), dtype=np.float64)
-    for i, v in enumerate(qpdf[qvec_col]):
-        a = np.asarray(v, dtype=np.float64)[:dim]
-        q[i, :len(a)] = a
+def _query_matrix(vectors: pd.Series, dim: int, metric: str) -> np.ndarray:
+    q = _matrix(vectors, dim)
     if metric == "cosine":
         n = np.linalg.norm(q, axis=1)
         q = q / np.where(n > 0, n, 1.0)[:, None]
@@ -108,95 +108,100 @@ def _query_matrix(qpdf: pd.DataFrame, qvec_col: str, dim: int, metric: str) -> n
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cosine",
-          id_col: str = "id", vec_col: str = "values", qid_col: str = "qid",
-          qvec_col: str = "values", dim: int | None = None,
-          max_broadcast_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
+          id_col: str | list[str] = "id", vec_col: str = "values", qid_col: str = "qid",
+          qvec_col: str = "values", max_broadcast_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
     """For every query row, the ``k`` nearest vectors (see ``top_k_counted``)."""
-    return top_k_counted(vectors, queries, k, metric, id_col, vec_col, qid_col, qvec_col, dim,
+    return top_k_counted(vectors, queries, k, metric, id_col, vec_col, qid_col, qvec_col,
                          max_broadcast_queries)[0]
 
 
 def top_k_counted(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cosine",
-                  id_col: str = "id", vec_col: str = "values", qid_col: str = "qid",
-                  qvec_col: str = "values", dim: int | None = None,
+                  id_col: str | list[str] = "id", vec_col: str = "values", qid_col: str = "qid",
+                  qvec_col: str = "values",
                   max_broadcast_queries: int = MAX_BROADCAST_QUERIES) -> tuple[DataFrame, int]:
     """(matches, number of query rows): for every query row, the ``k``
     nearest vectors. The query count bounds the matches (k per query).
 
-    Returns ``qid, rank, <id_col>, score`` with rank 1..k ordered by score
+    Returns ``qid, rank, <id columns>, score`` with rank 1..k ordered by score
     (descending; ascending distance for euclidean) rounded half-up to 6
-    places, then id. Scores are doubles at full precision. Each partition
-    ships exactly min(k, rows) candidates per query, however many vectors
-    tie (duplicates), so the final rank step is bounded by k x partitions.
+    places, then the id columns in the order given. Scores are doubles at full
+    precision. Null vectors and null query vectors match nothing. All vectors
+    and queries must have one length: another one is an error (fit them with
+    ``functions.vectors.fit_dimension`` first), so the answer does not depend
+    on how the queries fall into blocks. Each partition ships min(k, rows)
+    candidates per query, however many vectors tie (duplicates); they are
+    ranked within salted groups before the ranks per query.
     """
     if k <= 0:
         raise ValueError("k must be positive")
+    id_cols = [id_col] if isinstance(id_col, str) else list(id_col)
     spark = vectors.sparkSession
     ship_package(spark)
-    qsel = queries.select(F.col(qid_col).alias("qid"), F.col(qvec_col).alias("qv"))
+    qsel = (queries.select(F.col(qid_col).alias("qid"), F.col(qvec_col).alias("qv"))
+            .filter(F.col("qv").isNotNull()))
     qid_type = queries.schema[qid_col].dataType
-    id_type = vectors.schema[id_col].dataType
-    schema = T.StructType([T.StructField("qid", qid_type), T.StructField(id_col, id_type),
+    schema = T.StructType([T.StructField("qid", qid_type), *(vectors.schema[c] for c in id_cols),
                            T.StructField("score", T.DoubleType()), T.StructField("_key", T.LongType())])
-    vsel = vectors.select(id_col, vec_col)
-    # One bounded fetch decides the path: if the query set fits in one block
-    # (row count and bytes checked) it is broadcast as a matrix.
-    row_bytes = 8 * (dim or 1024) + 64
-    block = max(1, min(max_broadcast_queries, MAX_BROADCAST_BYTES // row_bytes))
-    head = qsel.limit(block + 1).toPandas()
-    if head.empty:
-        return _empty_result(spark, vectors, queries, id_col, qid_col), 0
-    if len(head) <= block:
-        query_blocks = [head]
-        nq = len(head)
+    vsel = vectors.select(*id_cols, vec_col).filter(F.col(vec_col).isNotNull())
+    # the query set is read once: its length, count and byte size are known
+    # before anything is broadcast
+    ensure_checkpoint_dir(spark)
+    qstable = qsel.checkpoint(eager=True)
+    stats = qstable.agg(F.count("*").alias("n"), F.min(F.size("qv")).alias("lo"), F.max(F.size("qv")).alias("hi")).first()
+    nq, d = stats.n, stats.hi
+    if not nq:
+        return _empty_result(spark, vectors, queries, id_cols, qid_col), 0
+    if stats.lo != d:
+        raise ValueError(f"query vectors of {stats.lo} and of {d} values: fit them first")
+    block = max(1, min(max_broadcast_queries, MAX_BROADCAST_BYTES // (8 * d + 64)))
+    if nq <= block:
+        query_blocks = [qstable.toPandas()]
     else:
-        # Too many queries for one broadcast: persist the query set once in
-        # the shared checkpoint directory, then stream it block by block.
-        ensure_checkpoint_dir(spark)
-        qstable = qsel.checkpoint(eager=True)
-        nq = qstable.count()
+        # too many queries for one broadcast: block by block
         nblocks = -(-nq // block)
         keyed = qstable.withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(nblocks)))
         query_blocks = (keyed.filter(F.col("_qb") == b).drop("_qb").toPandas()
                         for b in range(nblocks))
-        # every block scans the vectors once: materialise (id, values) so an
+        # every block scans the vectors once: materialise (ids, values) so an
         # encoder upstream runs once, not once per block
         vsel = vsel.checkpoint(eager=True)
     parts = []
     for qpdf in query_blocks:
         if qpdf.empty:
             continue
-        d = dim or int(max(len(v) for v in qpdf["qv"] if v is not None))
-        qmat = _query_matrix(qpdf, "qv", d, metric)
-        bq = spark.sparkContext.broadcast((list(qpdf["qid"]), qmat))
-        fn = _partial_topk_fn(bq, k, metric, id_col, vec_col, d)
-        parts.append(vsel.mapInPandas(fn, schema))
+        bq = spark.sparkContext.broadcast((list(qpdf["qid"]), _query_matrix(qpdf["qv"], d, metric)))
+        parts.append(vsel.mapInPandas(_partial_topk_fn(bq, k, metric, id_cols, vec_col, d), schema))
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)
-    w = Window.partitionBy("qid").orderBy(F.col("_key").desc(), F.col(id_col).asc())
-    ranked = (cand.withColumn("rank", F.row_number().over(w))
-              .filter(F.col("rank") <= k))
+    best_first = [F.col("_key").desc(), *(F.col(c).asc() for c in id_cols)]
+    salted = Window.partitionBy("qid", "_salt").orderBy(*best_first)
+    w = Window.partitionBy("qid").orderBy(*best_first)
+    ranked = (cand.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(_RANK_SALTS)))
+              .withColumn("rank", F.row_number().over(salted)).filter(F.col("rank") <= k)
+              .withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k))
     if metric == "euclidean":
         ranked = ranked.withColumn("score", -F.col("score"))
-    return ranked.select(F.col("qid").alias(qid_col), "rank", id_col, "score"), nq
+    return ranked.select(F.col("qid").alias(qid_col), "rank", *id_cols, "score"), nq
 
 
-def rows_for_hits(table: DataFrame, hits: DataFrame, n_hits_bound: int, id_col: str = "id") -> DataFrame:
+def rows_for_hits(table: DataFrame, hits: DataFrame, n_hits_bound: int,
+                  id_col: str | list[str] = "id") -> DataFrame:
     """The rows of a (large) table whose id is among the hits. The hit ids
     are at most ``n_hits_bound`` (k x queries): under MAX_BROADCAST_HITS they
     are broadcast into a semi join, so the table is filtered where it lies
     and never shuffled; above it, a shuffle semi join."""
-    ids = hits.select(id_col).distinct()
+    id_cols = [id_col] if isinstance(id_col, str) else list(id_col)
+    ids = hits.select(*id_cols).distinct()
     if n_hits_bound <= MAX_BROADCAST_HITS:
         ids = F.broadcast(ids)
-    return table.join(ids, id_col, "left_semi")
+    return table.join(ids, id_cols, "left_semi")
 
 
-def _empty_result(spark, vectors, queries, id_col, qid_col):
+def _empty_result(spark, vectors, queries, id_cols, qid_col):
     schema = T.StructType([T.StructField(qid_col, queries.schema[qid_col].dataType),
                            T.StructField("rank", T.IntegerType()),
-                           T.StructField(id_col, vectors.schema[id_col].dataType),
+                           *(vectors.schema[c] for c in id_cols),
                            T.StructField("score", T.DoubleType())])
     return spark.createDataFrame([], schema)
 
@@ -221,17 +226,18 @@ def search_store(store: DataFrame, queries: DataFrame, k: int = 5, metric: str =
                  qid_col: str = "qid", qvec_col: str = "values") -> DataFrame:
     """Query a vector store table (namespace, id, values[, metadata]).
 
-    The namespace filter prunes partitions before the scan; ranking reads
-    only (id, values) and metadata is joined for the k survivors per query
-    only when asked for (it is never read otherwise)."""
+    A vector is known by (namespace, id); matches carry both, ties go to the
+    smaller id, then namespace. The namespace filter prunes partitions before
+    the scan; ranking reads only (namespace, id, values) and the metadata of
+    the k survivors per query is joined on both columns only when asked for."""
     s = store if namespace is None else store.filter(F.col("namespace") == namespace)
-    res, nq = top_k_counted(s.select("id", "values"), queries, k=k, metric=metric, id_col="id",
+    key = ["id", "namespace"]
+    res, nq = top_k_counted(s.select(*key, "values"), queries, k=k, metric=metric, id_col=key,
                             vec_col="values", qid_col=qid_col, qvec_col=qvec_col)
     if include_metadata:
         # the hits (<= k x queries rows) feed two joins: materialise them once
         # so the vector scan and scoring run once
         ensure_checkpoint_dir(s.sparkSession)
         res = res.checkpoint(eager=True)
-        meta = rows_for_hits(s.select("id", "metadata"), res, k * nq).dropDuplicates(["id"])
-        res = res.join(meta, "id", "left")
+        res = res.join(rows_for_hits(s.select(*key, "metadata"), res, k * nq, key), key, "left")
     return res

@@ -65,6 +65,21 @@ def assign_batches(df: DataFrame, order_cols: list[str], batch_size: int = BATCH
                 F.col("n_total") / namespace_size).cast("bigint").cast("string"))))
 
 
+def place_incoming(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
+    """incoming (id, values) with its ``namespace``: an id that the store holds
+    stays where it is (in every namespace that holds it), so the write replaces
+    it; only new ids are numbered, without their vectors. ``last_namespace`` is
+    that of the new ids, null for stored ones."""
+    ids = incoming.select("id").distinct()
+    if existing is not None:
+        stored = existing.select("namespace", "id").join(ids, "id", "left_semi")
+        ids = ids.join(existing.select("id"), "id", "left_anti")
+    places = assign_batches(ids, ["id"]).select("id", "namespace", "last_namespace")
+    if existing is not None:
+        places = places.unionByName(stored.withColumn("last_namespace", F.lit(None).cast("string")))
+    return incoming.join(places, "id")
+
+
 def assign_ids(df: DataFrame, id_col: str, pos_col: str = "pos") -> DataFrame:
     """Missing id -> ``auto_id_{position}``."""
     return df.withColumn(id_col, F.coalesce(F.col(id_col).cast("string"),
@@ -104,10 +119,12 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys=("namespace", "id"),
     return untouched.unionByName(merge_touched(existing, incoming, keys, seq_col))
 
 
-def write_store(store: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_store(store: DataFrame, path: str, mode: str = "overwrite", files_per_namespace: int = 1) -> None:
     """Partitioned by namespace; dynamic overwrite replaces only the
-    namespaces present in ``store``."""
-    (store.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    namespaces present in ``store``. Rows are clustered by namespace first, so
+    a namespace gets ``files_per_namespace`` files, not one per writing task."""
+    part = F.pmod(F.xxhash64("id"), F.lit(files_per_namespace))
+    (store.repartition("namespace", part).write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy("namespace").parquet(path))
 
 
@@ -162,4 +179,5 @@ def namespace_counts(store: DataFrame) -> DataFrame:
 
 
 def fit_store_dimension(df: DataFrame, dim: int, vec_col: str = "values") -> DataFrame:
-    return df.withColumn("_old_dim", F.size(vec_col)).withColumn(vec_col, vx.fit_dimension(vec_col, dim))
+    """Every vector cut or zero-padded to the store's dimension before it is written."""
+    return df.withColumn(vec_col, vx.fit_dimension(vec_col, dim))

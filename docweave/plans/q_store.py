@@ -144,35 +144,50 @@ def assign_ids(t):
 
 # --- upsert scenario ------------------------------------------------------------
 # existing store: the embeddings (seq 1); incoming run: every document chunk
-# vector plus every embedding re-sent cut to 48 dimensions (seq 2).
+# vector plus every embedding re-sent cut to 48 values (seq 2). A re-sent id
+# keeps its namespace, new ids are numbered among themselves, and all vectors
+# are fitted to the store's dimension.
+
+STORE_DIM = 64
+_STORE_COLS = ["namespace", "id", "values", "seq"]
+
 
 def _existing(t):
     return store.assign_batches(_emb_items(t), ["id"]).withColumn("seq", F.lit(1))
 
 
-def _incoming(t):
+def _incoming(t, existing):
     ch = chunk_vectors(t).select("id", "values")
     emb = _emb_items(t).withColumn("values", vx.fit_dimension("values", 48))
-    return store.assign_batches(ch.unionByName(emb), ["id"]).withColumn("seq", F.lit(2))
+    run = store.place_incoming(existing, ch.unionByName(emb)).withColumn("seq", F.lit(2))
+    return store.fit_store_dimension(run, STORE_DIM)
+
+
+def _existing_and_incoming(t):
+    """Both sides read the stored ids, so the existing store is materialised once."""
+    existing = _existing(t).select(*_STORE_COLS).checkpoint(eager=True)
+    return existing, _incoming(t, existing)
 
 
 def _merged(t):
-    cols = ["namespace", "id", "values", "seq"]
-    return store.upsert(_existing(t).select(*cols), _incoming(t).select(*cols))
+    existing, incoming = _existing_and_incoming(t)
+    return store.upsert(existing, incoming.select(*_STORE_COLS))
 
 
 _UPSERT_CTES = f"""
 {_CH}, {_HV},
 csig AS (SELECT doc_id, chunk_id, sum(abs(v)) AS l1 FROM h_vec GROUP BY ALL),
-inc0 AS (SELECT c.doc_id::VARCHAR || '_chunk_' || c.chunk_id::VARCHAR AS id, 64::BIGINT AS dim,
-                coalesce(s.l1, 0.0) AS l1 FROM chunks c LEFT JOIN csig s USING (doc_id, chunk_id)
-         UNION ALL
-         SELECT 'vec_' || vec_id::VARCHAR AS id, least(len(embedding), 48)::BIGINT AS dim,
-                list_sum(list_transform(embedding[1:48], lambda x: abs(x::DOUBLE))) AS l1 FROM embeddings),
-{_batches_sql('inc0', 'inc')},
 ex0 AS (SELECT 'vec_' || vec_id::VARCHAR AS id, len(embedding)::BIGINT AS dim,
                list_sum(list_transform(embedding, lambda x: abs(x::DOUBLE))) AS l1 FROM embeddings),
 {_batches_sql('ex0', 'ex')},
+new0 AS (SELECT c.doc_id::VARCHAR || '_chunk_' || c.chunk_id::VARCHAR AS id, 64::BIGINT AS dim,
+                coalesce(s.l1, 0.0) AS l1 FROM chunks c LEFT JOIN csig s USING (doc_id, chunk_id)),
+{_batches_sql('new0', 'new1')},
+inc AS (SELECT namespace, id, dim, l1, last_namespace FROM new1
+        UNION ALL
+        SELECT ex.namespace, ex.id, 64::BIGINT,
+               list_sum(list_transform(e.embedding[1:48], lambda x: abs(x::DOUBLE))), NULL
+        FROM embeddings e JOIN ex ON ex.id = 'vec_' || e.vec_id::VARCHAR),
 allv AS (SELECT namespace, id, dim, l1, 1 AS seq FROM ex UNION ALL SELECT namespace, id, dim, l1, 2 AS seq FROM inc),
 merged AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY namespace, id ORDER BY seq DESC) AS rn FROM allv) WHERE rn = 1)
 """
@@ -199,29 +214,14 @@ def upsert_table(t):
     table, then the incoming run upserted in place (only touched namespaces
     rewritten), read back."""
     path = scratch_path(t.spark, "vector-store")
-    cols = ["namespace", "id", "values", "seq"]
-    store.write_store(_existing(t).select(*cols), path)
-    out = store.upsert_table(t.spark, path, _incoming(t).select(*cols))
+    store.write_store(_existing(t).select(*_STORE_COLS), path)
+    incoming = _incoming(t, t.spark.read.parquet(path))
+    out = store.upsert_table(t.spark, path, incoming.select(*_STORE_COLS))
     return out.select("namespace", "id", F.col("seq").cast("bigint").alias("seq"),
                       F.size("values").cast("bigint").alias("dim"),
                       F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + F.abs(x.cast("double"))), 6).alias("l1"))
 
 
-@register("upsert_reconcile", f"""
-WITH {_UPSERT_CTES}
-SELECT (SELECT count(*) FROM inc)::BIGINT AS expected,
-       (SELECT count(*) FROM merged WHERE seq = 2)::BIGINT AS upserted,
-       ((SELECT count(*) FROM inc) - (SELECT count(*) FROM merged WHERE seq = 2))::BIGINT AS failed
-""")
-def upsert_reconcile(t):
-    """Expected vs actually stored from the incoming run."""
-    inc = _incoming(t).select(F.lit(1).alias("_exp"), F.lit(0).alias("_got"))
-    got = _merged(t).filter(F.col("seq") == 2).select(F.lit(0).alias("_exp"), F.lit(1).alias("_got"))
-    tot = inc.unionByName(got).agg(F.sum("_exp").cast("bigint").alias("expected"),
-                                   F.sum("_got").cast("bigint").alias("upserted"))
-    return tot.select("expected", "upserted", (F.col("expected") - F.col("upserted")).alias("failed"))
-
-
 @register("namespace_counts", f"""
 WITH {_UPSERT_CTES}
 SELECT namespace, count(*)::BIGINT AS vector_count FROM merged GROUP BY namespace
@@ -271,13 +271,14 @@ rk AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6
 SELECT item_id, rank::BIGINT AS rank, id, round(score, 4) AS score FROM rk WHERE rank <= 5
 """)
 def topk_namespace(t):
-    """Search restricted to one namespace (partition filter first)."""
+    """Search restricted to one namespace of a written store: the
+    filter is on the partition column, so only that folder is read."""
     from docweave.operators import search
     from docweave.plans.q_vectors import query_vectors
-    cv = chunk_vectors(t).select("id", "values")
-    b = store.assign_batches(cv, ["id"]).filter(F.col("namespace") == "namespace_1")
-    res = search.top_k(b.select("id", "values"), query_vectors(t).select("item_id", "values"), k=5,
-                       id_col="id", qid_col="item_id", dim=vx.DEFAULT_DIM)
+    path = scratch_path(t.spark, "chunk-store")
+    store.write_store(store.place_incoming(None, chunk_vectors(t).select("id", "values")), path)
+    res = search.search_store(t.spark.read.parquet(path), query_vectors(t).select("item_id", "values"), k=5,
+                              namespace="namespace_1", qid_col="item_id")
     return res.select("item_id", F.col("rank").cast("bigint").alias("rank"), "id",
                       F.round("score", 4).alias("score"))
 
@@ -285,15 +286,34 @@ def topk_namespace(t):
 # --- verification -----------------------------------------------------------------
 # The incoming run is verified against a store whose namespace_1 write was lost.
 
-def _damaged_store(t):
-    return _merged(t).filter(F.col("namespace") != "namespace_1")
-
-
 _VERIFY_CTES = _UPSERT_CTES + """,
 damaged AS (SELECT * FROM merged WHERE namespace <> 'namespace_1')
 """
 
 
+def _damaged_and_incoming(t):
+    existing, incoming = _existing_and_incoming(t)
+    incoming = incoming.checkpoint(eager=True)  # read by the merge and by the comparison
+    merged = store.upsert(existing, incoming.select(*_STORE_COLS))
+    return merged.filter(F.col("namespace") != "namespace_1"), incoming
+
+
+@register("upsert_reconcile", f"""
+WITH {_VERIFY_CTES}
+SELECT (SELECT count(*) FROM inc)::BIGINT AS expected,
+       (SELECT count(*) FROM damaged WHERE seq = 2)::BIGINT AS upserted,
+       ((SELECT count(*) FROM inc) - (SELECT count(*) FROM damaged WHERE seq = 2))::BIGINT AS failed
+""")
+def upsert_reconcile(t):
+    """Expected vs actually stored from the incoming run."""
+    damaged, incoming = _damaged_and_incoming(t)
+    inc = incoming.select(F.lit(1).alias("_exp"), F.lit(0).alias("_got"))
+    got = damaged.filter(F.col("seq") == 2).select(F.lit(0).alias("_exp"), F.lit(1).alias("_got"))
+    tot = inc.unionByName(got).agg(F.sum("_exp").cast("bigint").alias("expected"),
+                                   F.sum("_got").cast("bigint").alias("upserted"))
+    return tot.select("expected", "upserted", (F.col("expected") - F.col("upserted")).alias("failed"))
+
+
 @register("verify_missing", f"""
 WITH {_VERIFY_CTES}
 SELECT i.namespace, i.id FROM inc i
@@ -301,7 +321,7 @@ WHERE NOT EXISTS (SELECT 1 FROM damaged d WHERE d.namespace = i.namespace AND d.
 """)
 def verify_missing(t):
     """Incoming ids not present in their own namespace (anti join)."""
-    missing, _ = store.verify(_damaged_store(t), _incoming(t))
+    missing, _ = store.verify(*_damaged_and_incoming(t))
     return missing.select("namespace", "id")
 
 
@@ -314,5 +334,5 @@ FROM f
 """)
 def verify_summary(t):
     """Verified / failed / total, plus the last-namespace-only count."""
-    _, summary = store.verify(_damaged_store(t), _incoming(t))
+    _, summary = store.verify(*_damaged_and_incoming(t))
     return summary

@@ -65,7 +65,7 @@ def semantic_search(t):
     vec = chunk_vectors(t).select("id", "values")
     qv = query_vectors(t).select("item_id", "values")
     res = search.top_k(vec, qv, k=5, metric="cosine", id_col="id", vec_col="values",
-                       qid_col="item_id", qvec_col="values", dim=vx.DEFAULT_DIM)
+                       qid_col="item_id", qvec_col="values")
     return res.select("item_id", F.col("rank").cast("bigint").alias("rank"), "id",
                       F.round("score", 4).alias("score"))
 
@@ -83,7 +83,7 @@ def retrieve_with_sources(t):
     cv = chunk_vectors(t)
     qv = query_vectors(t).select("item_id", "values")
     res, nq = search.top_k_counted(cv.select("id", "values"), qv, k=5, metric="cosine", id_col="id",
-                                   vec_col="values", qid_col="item_id", qvec_col="values", dim=vx.DEFAULT_DIM)
+                                   vec_col="values", qid_col="item_id", qvec_col="values")
     # chunk rows of the <= 5 x queries hits only (broadcast semi join, size
     # bound checked); the hits feed two joins, so they are materialised once
     res = res.checkpoint(eager=True)

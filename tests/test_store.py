@@ -84,3 +84,25 @@ def test_merge_touched_rewrites_only_touched_namespaces(spark, tmp_path):
     got = sorted((r.namespace, r.id, r.v) for r in spark.read.parquet(out_path).collect())
     assert got == [("ns0", "a", 1), ("ns1", "b", 6), ("ns1", "c", 1), ("ns1", "d", 7)]
     assert sorted(r.namespace for r in merged.select("namespace").distinct().collect()) == ["ns1"]
+
+
+def test_resent_ids_keep_their_namespace(spark, tmp_path):
+    old = spark.createDataFrame([("namespace_7", "b", [1.0, 1.0], 1)],
+                                "namespace string, id string, values array<float>, seq int")
+    run = spark.createDataFrame([("a", [3.0]), ("b", [2.0])], "id string, values array<float>")
+    placed = store.fit_store_dimension(store.place_incoming(old, run), 2).withColumn("seq", F.lit(2))
+    path = str(tmp_path / "s")
+    store.write_store(old, path)
+    got = store.upsert_table(spark, path, placed.select("namespace", "id", "values", "seq"))
+    assert {(r.namespace, r.id): (r["values"], r.seq) for r in got.collect()} == {
+        ("namespace_7", "b"): ([2.0, 0.0], 2), ("namespace_0", "a"): ([3.0, 0.0], 2)}
+
+
+def test_one_file_per_namespace_and_a_pruned_read(spark, tmp_path):
+    path = str(tmp_path / "s")
+    store.write_store(store.assign_batches(_items(spark, 2500), ["id"]).select("namespace", "id"), path)
+    for n in ("namespace_0", "namespace_1", "namespace_2"):
+        assert len(list((tmp_path / "s" / f"namespace={n}").glob("*.parquet"))) == 1
+    one = spark.read.parquet(path).filter(F.col("namespace") == "namespace_1")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(namespace" in plan

@@ -123,7 +123,34 @@ def test_partial_topk_is_bounded_under_massive_ties(spark):
     n = 3000
     vecs = [[1.0, 0.0] if i % 3 == 0 else [0.5, 0.5 + i / n] for i in range(n)]
     pdf = pd.DataFrame({"id": np.arange(n), "values": vecs})
-    out = list(_partial_topk_fn(B(), 5, "dot", "id", "values", 2)(iter([pdf.iloc[:1700], pdf.iloc[1700:]])))
+    out = list(_partial_topk_fn(B(), 5, "dot", ["id"], "values", 2)(iter([pdf.iloc[:1700], pdf.iloc[1700:]])))
     res = pd.concat(out)
     assert len(res) == 10
     assert sorted(res[res.qid == 10]["id"]) == [0, 3, 6, 9, 12]      # ties broken by smallest id
+
+
+def test_mixed_lengths_are_refused_whatever_the_block(spark):
+    v = spark.createDataFrame([("a", [1.0, 0.0, 9.0]), ("b", [0.8, 0.6, 0.0])], "id string, values array<double>")
+    mixed = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0])], "qid int, values array<double>")
+    for block in (1, 4096):
+        with pytest.raises(ValueError):
+            search.top_k(v, mixed, k=1, max_broadcast_queries=block)
+    short = spark.createDataFrame([(1, [1.0, 0.0])], "qid int, values array<double>")
+    with pytest.raises(Exception, match="fit them first"):
+        search.top_k(v, short, k=1).collect()
+
+
+def test_null_vectors_match_nothing(spark):
+    v = spark.createDataFrame([("a", [1.0, 0.0]), ("n", None)], "id string, values array<double>")
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "qid int, values array<double>")
+    assert [(r.qid, r.id) for r in search.top_k(v, q, k=5).collect()] == [(1, "a")]
+
+
+def test_one_id_in_two_namespaces_keeps_both_metadata(spark):
+    st = spark.createDataFrame(
+        [("ns0", "a", [1.0, 0.0], "first"), ("ns1", "a", [1.0, 0.0], "second"), ("ns1", "b", [0.0, 1.0], "third")],
+        "namespace string, id string, values array<double>, metadata string")
+    q = spark.createDataFrame([(1, [1.0, 0.0])], "qid int, values array<double>")
+    rows = sorted(search.search_store(st, q, k=2, include_metadata=True).collect(), key=lambda r: r["rank"])
+    assert [(r["rank"], r.namespace, r.id, r.metadata) for r in rows] == [(1, "ns0", "a", "first"),
+                                                                          (2, "ns1", "a", "second")]
