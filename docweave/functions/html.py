@@ -12,6 +12,9 @@ Method (all regexp_replace/split, no parser):
 
 from __future__ import annotations
 
+import json
+from html import entities
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,24 +30,38 @@ BLOCK_TAG = (r"(?i)</?(h[1-6]|p|div|article|section|header|footer|nav|ul|ol|li|t
 ANY_TAG = r"<[^>]*>"
 TITLE = r"(?is)<title(\s[^>]*)?>(.*?)</title\s*>"
 
-# Named character references decoded in sections and titles
-# (name, character); "&amp;" is decoded last so "&amp;lt;" stays "&lt;".
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"), ("&reg;", "®"),
-    ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"),
-)
-
-
 def _c(col):
     return F.col(col) if isinstance(col, str) else col
 
 
+def _references() -> Column:
+    """map<name, text> of all named references, from Python's table of them."""
+    named = {n[:-1]: text for n, text in entities.html5.items() if n.endswith(";")}
+    return F.from_json(F.lit(json.dumps(named)), "map<string,string>")
+
+
+def _code_point(n: Column) -> Column:
+    """The character of a code point; U+FFFD where there is none."""
+    valid = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+    utf32 = F.unhex(F.lpad(F.hex(F.when(valid, n).otherwise(F.lit(0xFFFD))), 8, "0"))
+    return F.decode(utf32, "UTF-32")
+
+
 def decode_entities(col: Column) -> Column:
-    out = col
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    """Named (``&name;``), decimal and hexadecimal references replaced once, from
+    left to right, so "&amp;lt;" stays "&lt;"; an unknown name stays as it is."""
+    def decoded(piece):
+        ref = F.regexp_extract(piece, r"^(#[0-9]{1,9}|#[xX][0-9A-Fa-f]{1,7}|[A-Za-z][A-Za-z0-9]*);", 1)
+        digits = F.regexp_extract(ref, r"^#[xX]?([0-9A-Fa-f]+)$", 1)
+        number = F.when(ref.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+        char = F.when(ref.startswith("#"), _code_point(number)).otherwise(F.try_element_at(_references(), ref))
+        rest = F.substring(piece, F.length(ref) + 2, F.length(piece))
+        return F.when(ref == "", F.concat(F.lit("&"), piece)).otherwise(
+            F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece)))
+
+    pieces = F.split(col, "&", -1)
+    later = F.transform(F.slice(pieces, 2, F.size(pieces)), decoded)
+    return F.when(F.instr(col, "&") == 0, col).otherwise(F.concat(pieces[0], F.array_join(later, "")))
 
 
 def strip_non_content(html: Column | str) -> Column:

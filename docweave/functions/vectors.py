@@ -55,11 +55,11 @@ def similarity(a, b, metric: str = "cosine") -> Column:
 
 # --- hashed encoder -------------------------------------------------------
 
-def token_codes(tokens: Column | str, dim: int = DEFAULT_DIM, max_tokens: int | None = 512) -> Column:
+def token_codes(tokens: Column | str, dim: int = DEFAULT_DIM, max_tokens: int | None = None) -> Column:
     """Signed bucket code per token, computed in the JVM: bucket is the first
     32 bits of md5(token) mod ``dim``; the sign comes from the ninth hex
-    digit (< 8 positive). Code = +/-(bucket + 1). Input is cut to
-    ``max_tokens`` tokens like a model's input window."""
+    digit (< 8 positive). Code = +/-(bucket + 1). ``max_tokens``, where given,
+    is a model's input window: only that many leading tokens are encoded."""
     t = _c(tokens)
     if max_tokens:
         t = F.slice(t, 1, max_tokens)
@@ -102,8 +102,8 @@ def hashed_embedding(codes: Column | str, dim: int = DEFAULT_DIM) -> Column:
     return _pool(_c(codes))
 
 
-def embed_tokens(tokens: Column | str, dim: int = DEFAULT_DIM) -> Column:
-    return hashed_embedding(token_codes(tokens, dim), dim)
+def embed_tokens(tokens: Column | str, dim: int = DEFAULT_DIM, max_tokens: int | None = None) -> Column:
+    return hashed_embedding(token_codes(tokens, dim, max_tokens), dim)
 
 
 def plugin_encoder(factory, dim: int):

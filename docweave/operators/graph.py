@@ -182,6 +182,15 @@ def shortest_paths(sources: DataFrame, edges: DataFrame, max_depth: int) -> Data
     return out.select("source", "node", F.col("depth").cast("int"), "path_text", "path")
 
 
+def paths_between(pairs: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
+    """pairs(start, end) -> (start, end, depth, path_text, path): the shortest
+    path of each pair; empty with depth 0 where both are the same, null where
+    the end is unknown or not reached within ``max_depth`` hops."""
+    found = shortest_paths(pairs.select(F.col("start").alias("source")).distinct(), edges, max_depth)
+    return (pairs.select("start", "end").distinct()
+            .join(found.withColumnsRenamed({"source": "start", "node": "end"}), ["start", "end"], "left"))
+
+
 def lookup(nodes: DataFrame, requested: DataFrame, id_col: str = "id") -> DataFrame:
     """Membership test: every requested id with its node attributes; an
     unknown id yields a row with null attributes and known = false."""

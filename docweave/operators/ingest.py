@@ -50,10 +50,11 @@ def chunk_chars(docs: DataFrame, size: int = 1000, overlap: int = 200, id_col: s
 
 
 def embed_texts(df: DataFrame, text_col: str = "chunk_text", out_col: str = "values",
-                dim: int = vx.DEFAULT_DIM) -> DataFrame:
-    """Built-in hashed encoder over already cleaned, space-joined text."""
+                dim: int = vx.DEFAULT_DIM, max_tokens: int | None = None) -> DataFrame:
+    """Built-in hashed encoder over already cleaned, space-joined text, whole
+    unless ``max_tokens`` gives an input window."""
     toks = F.filter(F.split(F.col(text_col), " "), lambda t: t != F.lit(""))
-    return df.withColumn(out_col, vx.embed_tokens(toks, dim))
+    return df.withColumn(out_col, vx.embed_tokens(toks, dim, max_tokens))
 
 
 def ingest_chunks(docs: DataFrame, size: int = 200, id_col: str = "doc_id", text_col: str = "text",

@@ -7,19 +7,16 @@
 4. lemma = shortest candidate, then alphabetical; words without a valid
    candidate keep their form.
 
-Applying the (word -> lemma) table: when it is small enough (row count
-checked) it is shipped once per executor as a broadcast dict and applied by
-an Arrow-batched pandas UDF, so the token stream is never shuffled;
-otherwise tokens are exploded with their position, joined on the word and
-regrouped in order per document (a shuffle, but unbounded in size).
+Applying the (word -> lemma) table: the distinct words of each document are
+joined with it (AQE broadcasts a small table, splits a hot word's partition
+otherwise), and the few words that have a lemma go back to their document as
+one map, looked up in the JVM. Tokens themselves are never shuffled one by one.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Noun suffix substitutions of the WordNet morphology rules,
 # in their usual order (suffix, replacement).
@@ -28,8 +25,6 @@ NOUN_RULES = (
     ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y"),
 )
 
-MAX_BROADCAST_LEMMAS = 500_000
-
 
 def vocabulary(docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     return docs.select(F.explode(F.array_distinct(tokens_col)).alias("word")).distinct()
@@ -51,27 +46,15 @@ def lemma_table(docs: DataFrame, tokens_col: str = "tokens", dictionary: DataFra
     return best.select("word", F.col("b.c").alias("lemma")).filter(F.col("lemma") != F.col("word"))
 
 
-def _apply_dict_udf(bdict):
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def apply(tokens: pd.Series) -> pd.Series:
-        d = bdict.value
-        return tokens.map(lambda ts: None if ts is None else [d.get(w, w) for w in ts])
-    return apply
-
-
-def apply_lemmas(docs: DataFrame, lemmas: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens",
-                 max_broadcast: int = MAX_BROADCAST_LEMMAS) -> DataFrame:
-    spark = docs.sparkSession
-    from docweave.session import ship_package
-    ship_package(spark)
-    head = lemmas.limit(max_broadcast + 1).toPandas()  # bounded fetch decides the path
-    if len(head) <= max_broadcast:
-        bdict = spark.sparkContext.broadcast(dict(zip(head["word"], head["lemma"])))
-        return docs.withColumn(tokens_col, _apply_dict_udf(bdict)(F.col(tokens_col)))
-    # large table: shuffle-join path, order restored by position
-    ex = docs.select(id_col, F.posexplode(tokens_col).alias("_p", "word"))
-    j = ex.join(lemmas, "word", "left").select(id_col, "_p", F.coalesce("lemma", "word").alias("w"))
-    back = j.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("_p", "w"))).alias("_s"))
-    back = back.select(id_col, F.transform("_s", lambda s: s["w"]).alias("_lt"))
-    return (docs.join(back, id_col, "left")
-            .withColumn(tokens_col, F.when(F.col(tokens_col).isNotNull(), F.coalesce(F.col("_lt"), F.array().cast("array<string>")))).drop("_lt"))
+def apply_lemmas(docs: DataFrame, lemmas: DataFrame, id_col: str = "doc_id",
+                 tokens_col: str = "tokens") -> DataFrame:
+    """docs with every token replaced by its lemma; null tokens stay null, and
+    rows that share an id (or have none) stay separate rows."""
+    hits = (docs.select(id_col, F.explode(F.array_distinct(tokens_col)).alias("word"))
+            .join(lemmas.select("word", "lemma"), "word")
+            .groupBy(F.col(id_col).alias("_id"))
+            .agg(F.map_from_entries(F.collect_set(F.struct("word", "lemma"))).alias("_lemmas")))
+    looked_up = F.transform(F.col(tokens_col), lambda w: F.coalesce(F.try_element_at(F.col("_lemmas"), w), w))
+    return (docs.join(hits, docs[id_col].eqNullSafe(hits["_id"]), "left")
+            .withColumn(tokens_col, F.when(F.col("_lemmas").isNull(), F.col(tokens_col)).otherwise(looked_up))
+            .drop("_id", "_lemmas"))

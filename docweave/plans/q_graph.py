@@ -265,6 +265,38 @@ def kg_path_edges(t):
     return x.select("node", F.col("hop").cast("int").alias("hop"), "h.src", "h.type", "h.dst")
 
 
+@register("kg_path_pairs", """
+WITH s AS (SELECT 'supplier:' || s_suppkey AS start, s_nationkey, n_regionkey
+           FROM supplier JOIN nation ON n_nationkey = s_nationkey)
+SELECT start, 'region:' || n_regionkey AS "end", 2 AS depth,
+       start || ' -in_nation-> nation:' || s_nationkey || ' -in_region-> region:' || n_regionkey AS path_text FROM s
+UNION ALL SELECT start, 'region:' || ((n_regionkey + 1) % 5), -1, NULL FROM s
+UNION ALL SELECT start, start, 0, start FROM s
+""")
+def kg_path_pairs(t):
+    """The path between two given concepts: every supplier to its region, to
+    another region (no path: null, depth shown as -1) and to itself (empty path)."""
+    _, edges = tpch_graph(t)
+    s = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        _key("supplier", "s_suppkey").alias("start"), "n_regionkey")
+    ends = F.array(F.concat(F.lit("region:"), F.col("n_regionkey").cast("string")),
+                   F.concat(F.lit("region:"), ((F.col("n_regionkey") + 1) % 5).cast("string")), F.col("start"))
+    pairs = s.select("start", F.explode(ends).alias("end"))
+    return G.paths_between(pairs, edges, 4).select(
+        "start", "end", F.coalesce("depth", F.lit(-1)).alias("depth"), "path_text")
+
+
+@register("kg_lookup", f"""
+WITH {KG}, req AS (SELECT 'part:' || (p_partkey * 2) AS id FROM part)
+SELECT r.id, n.definition, n.id IS NOT NULL AS known FROM req r LEFT JOIN nodes n USING (id)
+""")
+def kg_lookup(t):
+    """Membership of requested ids; an unknown id gives a row of nulls."""
+    nodes, _ = tpch_graph(t)
+    asked = t.part.select(F.concat(F.lit("part:"), (F.col("p_partkey") * 2).cast("string")).alias("id"))
+    return G.lookup(nodes, asked).select("id", "definition", "known")
+
+
 @register("kg_pattern_lookup", f"""
 WITH {KG}
 SELECT c.id AS customer, n.definition AS nation, r.definition AS region

@@ -10,8 +10,12 @@ from docweave.plans.registry import register
 from docweave.plans.sqlgen import q
 
 
+# The character references that occur in `pages`, "&amp;" decoded after them.
+_REFERENCES = (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"))
+
+
 def _sql_decode(e: str) -> str:
-    for ent, ch in H.ENTITIES:
+    for ent, ch in _REFERENCES:
         e = f"replace({e}, {q(ent)}, {q(ch)})"
     return f"replace({e}, '&amp;', '&')"
 

@@ -130,36 +130,49 @@ def parse_json_output(t):
                            parsed["k"].isNotNull().alias("parsed_ok"))
 
 
-_NGRAMS = (1, 2, 3)
+_NAMES = """
+names AS (SELECT r_name AS name, 'region:' || r_regionkey AS concept FROM region
+          UNION ALL SELECT n_name, 'nation:' || n_nationkey FROM nation
+          UNION ALL SELECT p_name, 'part:' || p_partkey FROM part)"""
 
 
 @register("concept_mentions", f"""
-WITH {_CASES},
-q AS (SELECT concept AS qid, {S.tokens(S.clean('question'))} AS tok FROM cases WHERE type = 'definition'),
-g AS (SELECT qid, tok, unnest(generate_series(1, len(tok))) AS i FROM q),
-ng AS (SELECT qid, array_to_string(tok[i:i + n - 1], ' ') AS gram FROM g, (SELECT unnest([{', '.join(map(str, _NGRAMS))}]) AS n)
-       WHERE i + n - 1 <= len(tok)),
-dict AS (SELECT DISTINCT {S.clean('id')} AS key, id AS concept FROM nodes
-         UNION SELECT DISTINCT {S.clean('definition')}, definition FROM nodes WHERE definition IS NOT NULL)
-SELECT DISTINCT ng.qid, dict.concept FROM ng JOIN dict ON dict.key = ng.gram
+WITH {_NAMES},
+texts AS (SELECT 'doc:' || doc_id AS text_id, text FROM documents
+          UNION ALL SELECT DISTINCT 'name:' || name, 'How do ' || name || ' parts compare?' FROM names),
+tk AS (SELECT text_id, {S.tokens(S.clean('text'))} AS tok FROM texts),
+dict AS (SELECT DISTINCT {S.tokens(S.clean('name'))} AS words, concept FROM names),
+hit AS (SELECT text_id, concept FROM tk JOIN dict
+        ON contains(' ' || array_to_string(tok, ' ') || ' ', ' ' || array_to_string(words, ' ') || ' '))
+SELECT DISTINCT text_id, concept FROM hit
 """)
 def concept_mentions(t):
-    """Concepts named in each generated definition question: whole-token
-    (1..3-gram) match of cleaned question text against cleaned concept ids
-    and names; the join strategy is left to AQE (broadcast only if small)."""
-    nodes, _ = tpch_graph(t)
-    # the nodes feed both the questions and the dictionary: materialised once
-    # (a reliable checkpoint) instead of re-deriving the concept union, and
-    # the edge endpoints behind it, once per consumer
-    nodes = nodes.select("id", "definition").checkpoint(eager=True)
-    q = nodes.select(F.col("id").alias("qid"),
-                     tx.tokenize(tx.clean_text(_definition_question())).alias("tok"))
-    g = q.select("qid", "tok", F.posexplode("tok").alias("i0", "_w")) \
-         .select("qid", "tok", (F.col("i0") + 1).alias("i"), F.explode(F.array(*map(F.lit, _NGRAMS))).alias("n"))
-    ng = g.filter(F.col("i") + F.col("n") - 1 <= F.size("tok")).select(
-        "qid", F.array_join(F.slice("tok", F.col("i"), F.col("n")), " ").alias("gram"))
-    dct = (nodes.select(tx.clean_text("id").alias("key"), F.col("id").alias("concept"))
-           .unionByName(nodes.filter(F.col("definition").isNotNull())
-                        .select(tx.clean_text("definition").alias("key"), F.col("definition").alias("concept")))
-           .distinct())
-    return ng.join(dct, ng["gram"] == dct["key"]).select("qid", "concept").distinct()
+    """Regions, nations and parts whose whole cleaned name, of any number of
+    words, occurs in a document or in a question about a name. The phrases to cut
+    are as long as the names are (a handful of lengths); names are made distinct
+    before the join, and ids follow after it."""
+    def named(table, kind, key, name):
+        return table.select(F.concat(F.lit(kind + ":"), F.col(key).cast("string")).alias("concept"),
+                            F.col(name).alias("name"))
+    names = (named(t.region, "region", "r_regionkey", "r_name")
+             .unionByName(named(t.nation, "nation", "n_nationkey", "n_name"))
+             .unionByName(named(t.part, "part", "p_partkey", "p_name"))
+             .filter(F.col("name").isNotNull())
+             .withColumn("words", tx.tokenize(tx.clean_text("name"))).filter(F.size("words") > 0)
+             .withColumn("key", F.array_join("words", " ")).checkpoint(eager=True))
+    texts = (t.documents.select(F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("text_id"), "text")
+             .unionByName(names.select("name").distinct().select(
+                 F.concat(F.lit("name:"), "name").alias("text_id"),
+                 F.concat(F.lit("How do "), "name", F.lit(" parts compare?")).alias("text"))))
+    lengths = sorted(r.n for r in names.select(F.size("words").alias("n")).distinct().collect())
+    tok = texts.select("text_id", tx.tokenize(tx.clean_text("text")).alias("tok"))
+    phrases = F.array_distinct(F.concat(*[_phrases("tok", n) for n in lengths]))
+    grams = tok.select("text_id", F.explode(phrases).alias("key"))
+    return (grams.join(names.select("key").distinct(), "key")
+            .join(names.select("key", "concept"), "key").select("text_id", "concept").distinct())
+
+
+def _phrases(tok: str, n: int):
+    """All runs of ``n`` tokens, joined by spaces."""
+    starts = F.when(F.size(tok) >= n, F.sequence(F.lit(1), F.size(tok) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.array_join(F.slice(F.col(tok), i, n), " "))

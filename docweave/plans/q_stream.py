@@ -12,9 +12,8 @@ from docweave.streaming import ingest as SI
 
 @register("stream_ingest", _token_chunk_sql(200))
 def stream_ingest(t):
-    """The documents file consumed as a stream, chunked per micro-batch
-    by the batch functions, written idempotently per batch id; equals the
-    batch token_chunks result."""
+    """The documents consumed as a stream, chunked per micro-batch by the
+    batch functions and upserted by document; equals the batch token_chunks result."""
     schema = t.documents.schema
     out = SI.stream_ingest(t.spark, t.sf_dir, schema, scratch_path(t.spark, "stream-sink"),
                            scratch_path(t.spark, "stream-ckpt"), file_glob="documents.parquet")
@@ -24,10 +23,10 @@ def stream_ingest(t):
 
 @register("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(t):
-    """(user_id, event_type) repeats suppressed within a 10-minute
-    watermark on the event time; one micro-batch here, so one row per key."""
+    """Repeats of (user_id, event_type) suppressed over the whole stream,
+    whatever the batches."""
     schema = t.events.schema
-    out = SI.stream_dedup(t.spark, t.sf_dir, schema, ["user_id", "event_type"], "ts", "10 minutes",
+    out = SI.stream_dedup(t.spark, t.sf_dir, schema, ["user_id", "event_type"], "ts", None,
                           scratch_path(t.spark, "dedup-sink"), scratch_path(t.spark, "dedup-ckpt"),
                           file_glob="events.parquet")
     return out.select("user_id", "event_type")

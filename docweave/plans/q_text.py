@@ -200,7 +200,7 @@ SELECT d.doc_id, len(d.toks)::BIGINT AS n_tokens,
 FROM dtok d
 """)
 def lemmatize(t):
-    """Every token replaced by its lemma (broadcast lookup when the table is small)."""
+    """Every token replaced by its lemma (a map of its lemmas per document)."""
     from docweave.operators.lemmas import apply_lemmas, lemma_table
     d = ingest.with_tokens(t.documents.select("doc_id", "text"))
     out = apply_lemmas(d, lemma_table(d))

@@ -38,11 +38,30 @@ SELECT c.doc_id, c.chunk_id, coalesce(s.nnz, 0)::BIGINT AS nnz, coalesce(s.l1, 0
 FROM chunks c LEFT JOIN sig s USING (doc_id, chunk_id)
 """)
 def embed_hash(t):
-    """Built-in hashed encoder per 200-token chunk (signature columns)."""
+    """built-in hashed encoder per 200-token chunk (signature columns)."""
     v = chunk_vectors(t)
     return v.select("doc_id", F.col("chunk_id").cast("bigint").alias("chunk_id"), *signature("values"))
 
 
+@register("embed_window", f"""
+WITH {S.doc_tokens_cte()}, d AS (SELECT doc_id, len(toks) AS n, array_to_string(toks, ' ') AS txt FROM dtok),
+{S.hashed_vectors_ctes('d', 'doc_id', 'txt', max_tokens=512)},
+sig AS (SELECT doc_id, count_if(v <> 0)::BIGINT AS nnz, round(sum(abs(v)), 6) AS l1,
+               round(sum((b + 1) * v), 6) AS wsum FROM h_vec GROUP BY ALL)
+SELECT d.doc_id, n::BIGINT AS n_tokens, n > 512 AS cut, coalesce(s.nnz, 0)::BIGINT AS nnz, coalesce(s.l1, 0.0) AS l1,
+       coalesce(s.wsum, 0.0) AS wsum
+FROM d LEFT JOIN sig s USING (doc_id)
+""")
+def embed_window(t):
+    """F8: whole documents through an encoder whose input window is 512 tokens
+    (the window is the feature; every other query encodes whole texts)."""
+    d = ingest.with_tokens(t.documents.select("doc_id", "text"))
+    return d.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"),
+                    (F.size("tokens") > 512).alias("cut"),
+                    vx.embed_tokens("tokens", max_tokens=512).alias("values")) \
+            .select("doc_id", "n_tokens", "cut", *signature("values"))
+
+
 _SEARCH_SQL = f"""
 WITH {_CHUNK_CTES},
 cv AS (SELECT doc_id, doc_id::VARCHAR || '_chunk_' || chunk_id::VARCHAR AS id, chunk_text FROM chunks),

@@ -49,12 +49,14 @@ def token_chunks_cte(size: int, src: str = "dtok", id_col: str = "doc_id", name:
 
 
 def hashed_vectors_ctes(src: str, key_cols: str, text_col: str, dim: int = 64, prefix: str = "h",
-                        max_tokens: int = 512) -> str:
+                        max_tokens: int | None = None) -> str:
     """Sparse hashed vectors: rows (<keys>, b, v) with v a FLOAT like the
     Spark encoder, plus <prefix>_norm(<keys>, n) over all keys."""
+    words = f"list_filter(string_split({text_col}, ' '), lambda t: t <> '')"
+    if max_tokens:
+        words = f"list_slice({words}, 1, {max_tokens})"
     return (
-        f"{prefix}_tok AS (SELECT {key_cols}, unnest(list_slice(list_filter(string_split({text_col}, ' '), "
-        f"lambda t: t <> ''), 1, {max_tokens})) AS w FROM {src}), "
+        f"{prefix}_tok AS (SELECT {key_cols}, unnest({words}) AS w FROM {src}), "
         f"{prefix}_code AS (SELECT {key_cols}, (('0x' || substr(md5(w), 1, 8))::BIGINT) % {dim} AS b, "
         f"CASE WHEN ('0x' || substr(md5(w), 9, 1))::INTEGER < 8 THEN 1 ELSE -1 END AS s FROM {prefix}_tok), "
         f"{prefix}_cnt AS (SELECT {key_cols}, b, sum(s)::DOUBLE AS c FROM {prefix}_code GROUP BY ALL), "

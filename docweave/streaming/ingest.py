@@ -3,10 +3,9 @@
 * ``stream_ingest``: newly arriving document files -> the same chunking
   functions as the batch path -> ``foreachBatch`` writes each micro-batch
   into ``<sink>/batch_id=<n>`` with overwrite, so a replayed batch (after a
-  failure, the checkpoint makes Spark re-run it) replaces its own output:
-  exactly-once results on an idempotent sink.
-* ``stream_dedup``: watermark + dropDuplicatesWithinWatermark for ids that
-  arrive more than once.
+  failure, the checkpoint makes Spark re-run it) replaces its own output; readers
+  take each document's last batch, so a document delivered again is upserted.
+* ``stream_dedup``: ids that arrive more than once, exactly or within a watermark.
 """
 
 from __future__ import annotations
@@ -27,24 +26,48 @@ def _source(spark: SparkSession, source_dir: str, schema, file_glob: str | None,
 
 
 def stream_ingest(spark: SparkSession, source_dir: str, schema, sink_path: str, checkpoint: str,
-                  chunk_size: int = 200, max_files_per_trigger: int = 1,
+                  chunk_size: int = 200, max_files_per_trigger: int = 1000,
                   file_glob: str | None = None) -> DataFrame:
+    """Chunks of every document delivered so far. A document delivered again,
+    in the same or a later batch, replaces its chunks: by batch, within a batch
+    by file time, then file name, then text. Rows without doc_id are dropped,
+    as there is nothing that a later delivery could replace."""
     src = _source(spark, source_dir, schema, file_glob, maxFilesPerTrigger=max_files_per_trigger)
+    src = src.select("doc_id", "text", F.struct("_metadata.file_modification_time", "_metadata.file_path",
+                                                F.col("text").alias("t")).alias("_order"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        chunks = ingest.ingest_chunks(batch, size=chunk_size)
-        (chunks.write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}"))
+        last = (batch.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
+                .agg(F.max_by("text", "_order").alias("text")))
+        chunks = ingest.ingest_chunks(last, size=chunk_size)
+        # a document without chunks keeps one row, so that it replaces an earlier delivery
+        rows = last.select("doc_id").join(chunks, "doc_id", "left")
+        rows.write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
 
     q = (src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(sink_path)
+    return latest_deliveries(spark.read.parquet(sink_path))
+
+
+def latest_deliveries(sink: DataFrame) -> DataFrame:
+    """The chunks of each document's last batch."""
+    last = sink.groupBy("doc_id").agg(F.max("batch_id").alias("batch_id"))
+    return sink.join(last, ["doc_id", "batch_id"]).filter(F.col("chunk_id").isNotNull()).drop("batch_id")
 
 
 def stream_dedup(spark: SparkSession, source_dir: str, schema, keys: list[str], ts_col: str,
-                 delay: str, sink_path: str, checkpoint: str, file_glob: str | None = None) -> DataFrame:
-    src = timestamp_col(_source(spark, source_dir, schema, file_glob), ts_col)
-    dedup = src.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(keys)
+                 delay: str | None, sink_path: str, checkpoint: str, file_glob: str | None = None,
+                 max_files_per_trigger: int = 1000) -> DataFrame:
+    """One row per key. Without ``delay`` every key seen is kept as state (in
+    the state store, which grows with the distinct keys) and the result does not
+    depend on how rows fall into batches; with it, state is bounded: repeats are
+    suppressed, and later rows accepted, only within ``delay`` of event time."""
+    src = timestamp_col(_source(spark, source_dir, schema, file_glob, maxFilesPerTrigger=max_files_per_trigger), ts_col)
+    if delay is None:
+        dedup = src.select(*keys).dropDuplicates(keys)
+    else:
+        dedup = src.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(keys)
     q = (dedup.writeStream.format("parquet").option("path", sink_path)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()

@@ -84,3 +84,11 @@ def test_title_ignores_comments_and_values_are_not_expanded_again(spark):
     from docweave.functions import html as hx
     filled = templates.fill(F.lit("{context}: {concept} {{}}"), {"context": F.col("c"), "concept": F.col("k")})
     assert tuple(df.select(hx.title("h"), filled).first()) == ("yes", "see {concept}: X {}")
+
+
+def test_character_references(spark):
+    cases = [("a &lt;b&gt; &#233;&#xE9; &eacute; &amp;lt; &nosuch; & &#0; &#x110000; x&;", "a <b> éé é &lt; &nosuch; & \ufffd \ufffd x&;"),
+             ("plain", "plain"), ("", ""), (None, None), ("&copy;", "©"), ("&#128512;&", "😀&")]
+    df = spark.createDataFrame(cases, "t string, want string")
+    for r in df.select("t", "want", H.decode_entities(F.col("t")).alias("got")).collect():
+        assert r.got == r.want, r.t

@@ -34,9 +34,15 @@ def test_lemmas_rules_need_dictionary_word(spark):
     assert table == {"boxes": "box", "cats": "cat", "women": "woman", "ponies": "pony"}
     out = lemmas.apply_lemmas(docs, lemmas.lemma_table(docs)).first().tokens
     assert out == ["box", "box", "cat", "cat", "woman", "woman", "pony", "pony", "glass", "wolves"]
-    # the shuffle path (table too large to broadcast) gives the same answer
-    big = lemmas.apply_lemmas(docs, lemmas.lemma_table(docs), max_broadcast=1).first().tokens
-    assert big == out
+
+
+def test_lemmas_keep_null_tokens_and_rows_of_one_id(spark):
+    docs = spark.createDataFrame([(1, ["cats"]), (1, ["dogs", "cat"]), (None, ["cats"]), (2, None), (3, [])],
+                                 "doc_id long, tokens array<string>")
+    table = spark.createDataFrame([("cats", "cat"), ("dogs", "dog")], "word string, lemma string")
+    got = [(r.doc_id, r.tokens) for r in lemmas.apply_lemmas(docs, table).collect()]
+    assert sorted(got, key=str) == sorted(
+        [(1, ["cat"]), (1, ["dog", "cat"]), (None, ["cat"]), (2, None), (3, [])], key=str)
 
 
 def test_exact_percentiles_match_numpy(spark):

@@ -17,6 +17,29 @@ def test_stream_ingest_equals_batch(spark, tmp_path):
     assert again.count() == out.count()
 
 
+def test_stream_ingest_replaces_a_document_delivered_again(spark, tmp_path):
+    src, schema = str(tmp_path / "in"), "doc_id long, text string"
+
+    def deliver(*rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(src)
+        return SI.stream_ingest(spark, src, schema, str(tmp_path / "sink"), str(tmp_path / "ckpt"))
+
+    deliver((1, "alpha beta"), (2, "gamma"), (3, "delta"), (None, "lost"))
+    out = deliver((1, "omega"), (2, ""), (1, "omega"))
+    assert sorted((r.doc_id, r.chunk_id, r.chunk_text) for r in out.collect()) == [(1, 0, "omega"), (3, 0, "delta")]
+
+
+def test_stream_dedup_does_not_depend_on_batches(spark, tmp_path):
+    src = str(tmp_path / "in")
+    ev = spark.createDataFrame([(1, "2020-01-01"), (1, "2020-03-01"), (2, "2019-01-01"), (2, "2020-02-01")],
+                               "k int, ts string").selectExpr("k", "timestamp(ts) AS ts")
+    ev.repartition(4).write.parquet(src)
+    for n in (1, 100):
+        out = SI.stream_dedup(spark, src, ev.schema, ["k"], "ts", None, str(tmp_path / f"sink{n}"),
+                              str(tmp_path / f"ckpt{n}"), max_files_per_trigger=n)
+        assert sorted(r.k for r in out.collect()) == [1, 2]
+
+
 def test_stream_dedup_one_row_per_key(spark, tmp_path):
     ev = load_table(spark, SF_SMALL, "events")
     out = SI.stream_dedup(spark, SF_SMALL, ev.schema, ["user_id", "event_type"], "ts", "10 minutes",
