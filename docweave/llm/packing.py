@@ -17,9 +17,9 @@ each (group numbers come from row positions, so copies of one id spread over
 all groups); an empty table gives no rows; extra columns are ignored.
 
 Token ids are those of the ``tokenizers`` library for the whole text. The
-vocabulary drops white space, so a text is cut at ASCII blanks first and the
-ids of each distinct chunk are looked up in a bounded cache per worker; strings
-of special tokens inside a text count as ordinary text.
+vocabulary drops white space and encodes word by word, so the ids of each distinct
+word are looked up in a bounded cache per worker; strings of special tokens inside
+a text count as ordinary text.
 """
 
 from __future__ import annotations
@@ -33,7 +33,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,8 +44,8 @@ END_ID = 1
 OPEN_BINS = 64
 GROUP_SEQUENCES = 2048
 TEXTS = 500             # texts encoded together
-CACHE_CHUNKS = 300_000  # chunks, and words, kept by a worker before the cache starts anew (the one before is kept too)
-CACHE_CHARS = 64        # longer chunks are not kept
+CACHE_WORDS = 300_000   # words kept by a worker before the cache starts anew (the one before is kept too)
+CACHE_CHARS = 64        # longer words are not kept
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ord long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -57,11 +56,11 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class ChunkEncoder:
-    """ids of texts as little-endian unsigned 32-bit bytes, chunk by chunk. A new
-    chunk of Latin letters is cut into words as the vocabulary's own rule does, and
-    new words are encoded together: the last id of each word is marked as such in
-    the vocabulary. Any other chunk is encoded by itself."""
+class WordEncoder:
+    """ids of texts as little-endian unsigned 32-bit bytes. A text is cut into words
+    as the vocabulary's own rule does, its chunks with letters beyond the Latin
+    blocks stay whole, and each word or chunk is looked up. New words are encoded
+    together: the last id of each word is marked as such in the vocabulary."""
 
     def __init__(self, path: str):
         import os
@@ -72,8 +71,7 @@ class ChunkEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.chunks, self.old_chunks = {}, {}
-        self.words, self.old_words = {}, {}
+        self.known, self.old = {}, {}
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -87,67 +85,74 @@ class ChunkEncoder:
                 raise ValueError("the vocabulary does not mark the ends of words")
             data, before = ids.tobytes(), 0
             for w, cut in zip(part, (4 * cuts).tolist(), strict=True):
-                self.words[w] = data[before:cut]
+                self.known[w] = data[before:cut]
                 before = cut
 
-    def _learn(self, chunks: list[str]) -> None:
-        parts, alone, new, words, old = [], [], [], self.words, self.old_words
-        for c in chunks:
-            if c.isascii():
-                p = _ASCII_WORD.findall(c.lower())
-            elif max(c) < "\u0250" and "\u0130" not in c:
-                p = _LATIN_WORD.findall(unicodedata.normalize("NFC", c).lower())
+    def _learn(self, keys: set[str]) -> None:
+        words, far = [], []
+        for k in keys:
+            if k in self.old:
+                self.known[k] = self.old[k]
+            elif k.isascii() or not _FAR.search(k):
+                words.append(k)
             else:
-                alone.append(c)
-                continue
-            parts.append((c, p))
-            for w in p:
-                if w not in words:
-                    if w in old:
-                        words[w] = old[w]
-                    else:
-                        words[w] = b""
-                        new.append(w)
-        self._learn_words(new)
-        known = self.chunks
-        for c, p in parts:
-            known[c] = words[p[0]] if len(p) == 1 else b"".join([words[w] for w in p])
-        if alone:
-            known.update(zip(alone, (i.tobytes() for i in self._encode(alone)), strict=True))
+                far.append(k)
+        self._learn_words(words)
+        if far:
+            self.known.update(zip(far, (i.tobytes() for i in self._encode(far)), strict=True))
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        gc.disable()  # many small strings, no cycles: collections would only walk the caches
+        gc.disable()  # many small strings, no cycles: collections would only walk the cache
         try:
-            return self._ids(texts)
+            if len(self.known) > CACHE_WORDS:
+                self.known, self.old = {}, self.known
+            look, found, gaps = self.known.get, [], []
+            for t in texts:
+                words = _cut(t)
+                found.append(list(map(look, words)))
+                if None in found[-1]:
+                    gaps += [(found[-1], i, words[i]) for i, v in enumerate(found[-1]) if v is None]
+            new = {w for _, _, w in gaps}
+            self._learn(new)
+            for values, i, w in gaps:
+                values[i] = self.known[w]
+            for w in new:
+                if len(w) > CACHE_CHARS:
+                    del self.known[w]
+            return [b"".join(v) for v in found]
         finally:
             gc.enable()
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        if len(self.chunks) > CACHE_CHUNKS:
-            self.chunks, self.old_chunks = {}, self.chunks
-        if len(self.words) > CACHE_CHUNKS:
-            self.words, self.old_words = {}, self.words
-        split = [_BLANK.split(t) if _ODD.search(t) else t.split() for t in texts]
-        new, chunks, old = [], self.chunks, self.old_chunks
-        for c in set().union(*split):
-            if c not in chunks:
-                if c in old:
-                    chunks[c] = old[c]
-                else:
-                    new.append(c)
-        self._learn(new)
-        out = [b"".join([chunks[c] for c in part]) for part in split]
-        for c in new:
-            if len(c) > CACHE_CHARS:
-                del chunks[c]
-        return out
-
-
-_BLANK = re.compile("[\x20\x09-\x0d]+")
-_ODD = re.compile("[\x1c-\x1f]")  # blanks for str.split, not for the vocabulary
-# How the vocabulary's file cuts words, for ASCII text and in general.
-_ASCII_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_LATIN_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+
+def _lower_class(kind: str) -> str:
+    """The characters of a Unicode category that lower-cased text of the Latin blocks can hold."""
+    lower = {c for i in range(0x250) for c in chr(i).lower()}
+    return "".join(re.escape(c) for c in sorted(lower) if unicodedata.category(c).startswith(kind))
+
+
+_BLANK = "\x20\x09-\x0d"
+#: Beyond the Latin blocks; U+0130 has a lower case of two characters.
+_FAR = re.compile("[\u0130\u0250-\U0010ffff]")
+_FAR_CHUNK = re.compile(f"([^{_BLANK}]*[\u0130\u0250-\U0010ffff][^{_BLANK}]*)")
+# How the vocabulary's file cuts lower-cased words, for ASCII text and in general.
+_ASCII_WORD = re.compile(f"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^a-z0-9{_BLANK}]+")
+_LATIN_WORD = re.compile("[{0}]+|[{1}]|'(?:s|t|re|ve|m|ll|d)|[^{0}{1}{2}\x85\xa0]+".format(
+    _lower_class("L"), _lower_class("N"), _BLANK))
+
+
+def _cut(text: str) -> list[str]:
+    """The words and far chunks of a text, in order."""
+    if text.isascii():
+        return _ASCII_WORD.findall(text.lower())
+    if not _FAR.search(text):
+        return _LATIN_WORD.findall(text.lower())
+    out: list[str] = []
+    for i, part in enumerate(_FAR_CHUNK.split(text)):
+        if i % 2:
+            out.append(part)
+        else:
+            out += _LATIN_WORD.findall(part.lower())
+    return out
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY,
@@ -157,7 +162,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str | None = None, capacity: int =
     end = END_ID.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = hold(path, lambda: ChunkEncoder(path))
+        encoder = hold(path, lambda: WordEncoder(path))
         part = TaskContext.get().partitionId()
         deal = random.Random(part)
         for batch in batches:
