@@ -13,11 +13,11 @@ language's posterior under equal priors.
 The trees are fitted on a bounded sample: per language about ``sample_bytes``
 bytes of whole texts of at most ``max_text_bytes`` each, chosen by a hash of
 the text. Counts are made in Spark and summed by (language, order, gram); what
-reaches the driver is bounded by the sample. In the workers the trees become
-one table (context state x byte -> code length per language) and one map from
-the last three bytes to the state, so a byte costs two lookups. ``max_cells``
-bounds that table: with many languages the rarest longest contexts are left
-out (their texts are then scored by the next shorter context).
+reaches the driver is bounded by the sample. The workers keep every counted
+(context, byte) pair and every context's escape, per language, in sorted
+arrays (``Sparse``), so their memory follows the sample and no context is left
+out; the distinct four-byte windows of a slice of text are looked up once.
+``Trees`` is the same code as one dense table, which tests hold it against.
 
 Defined cases: null text, or a text without a letter, is ``und`` with score 0
 (so is everything if nothing can be learned); equal code lengths go to the
@@ -42,7 +42,6 @@ from docweave.llm.common import hold, prepare, table, without
 ORDER = 3
 SAMPLE_BYTES = 400_000
 MAX_TEXT_BYTES = 50_000
-MAX_CELLS = 8_000_000   # float32 cells of the workers' table
 SLICE = 1 << 18         # bytes scored at a time
 OUT = ("lang_pred", "score")
 
@@ -103,15 +102,16 @@ def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", s
 
 
 class Trees:
-    """The frozen trees as tables. ``state[last three bytes]`` is the longest
+    """The frozen trees as dense tables, for comparison. ``state[last three bytes]`` is the longest
     context known to any language; ``cost[state * 256 + byte]`` has the code
-    length of the byte there for each language."""
+    length of the byte there for each language. ``max_cells`` leaves out the rarest
+    longest contexts; by default none."""
 
-    def __init__(self, model: dict, max_cells: int = MAX_CELLS):
+    def __init__(self, model: dict, max_cells: int | None = None):
         langs = len(model["langs"])
         known = {k: np.unique(model["gram"][model["k"] == k] >> 8, return_inverse=True) for k in range(1, ORDER + 1)}
-        room = max(0, max_cells // (256 * langs) - 1 - sum(len(known[k][0]) for k in range(1, ORDER)))
-        if len(known[ORDER][0]) > room:  # the most frequent longest contexts
+        room = max(0, (max_cells or 0) // (256 * langs) - 1 - sum(len(known[k][0]) for k in range(1, ORDER)))
+        if max_cells is not None and len(known[ORDER][0]) > room:  # the most frequent longest contexts
             ctx, inverse = known[ORDER]
             seen = np.bincount(inverse, weights=model["n"][model["k"] == ORDER], minlength=len(ctx))
             known[ORDER] = (np.sort(ctx[np.argsort(-seen, kind="stable")[:room]]), None)
@@ -179,14 +179,69 @@ class Trees:
         if not group:
             return
         b = np.frombuffer(b"".join(g[1] for g in group), np.uint8).astype(np.int32)
-        before = (b[:-3] << 16) | (b[1:-2] << 8) | b[2:-1]
-        cost = self.cost[self.state[before].astype(np.int64) * 256 + b[3:]]
         starts = np.cumsum([0, *(len(g[1]) for g in group)])
         cuts = np.empty(2 * len(group), np.int64)
         cuts[0::2] = starts[:-1]             # a slice's own bytes ...
         cuts[1::2] = starts[1:] - ORDER      # ... end where the next one's context begins
-        sums = np.add.reduceat(cost, cuts[:-1], axis=0, dtype=np.float64)[0::2]
-        np.add.at(out, [g[0] for g in group], sums)
+        np.add.at(out, [g[0] for g in group], self._sums(b, cuts[:-1]))
+
+    def _sums(self, b: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        before = (b[:-3] << 16) | (b[1:-2] << 8) | b[2:-1]
+        cost = self.cost[self.state[before].astype(np.int64) * 256 + b[3:]]
+        return np.add.reduceat(cost, cuts, axis=0, dtype=np.float64)[0::2]
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each wanted value is among the sorted keys, and where."""
+    if not len(keys):
+        return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return keys[at] == wanted, at
+
+
+class Sparse(Trees):
+    """The frozen trees as sorted arrays: per language and order the seen grams
+    (context and byte) with their code lengths, and the contexts with what an
+    unseen byte pays before the next shorter context codes it."""
+
+    def __init__(self, model: dict):
+        self.langs = len(model["langs"])
+        self.own: list[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]] = []
+        for x in range(self.langs):
+            self.own.append([])
+            for k in range(ORDER + 1):
+                mine = (model["lang"] == x) & (model["k"] == k)
+                gram, n = model["gram"][mine].astype(np.uint32), model["n"][mine]
+                order = np.argsort(gram)
+                gram, n = gram[order], n[order]
+                ctx, at = np.unique(gram >> 8, return_inverse=True)
+                total, kinds = np.bincount(at, n, len(ctx)), np.bincount(at, minlength=len(ctx))
+                below = np.exp2(-self._bits(x, gram, k - 1))
+                mass = np.where(kinds < 256, 1 - np.bincount(at, below, len(ctx)), 0.0)  # of the unseen
+                escape = np.where(mass > 0, kinds / (total + kinds), 0.0)
+                back = np.log2(np.where(mass > 0, mass / np.where(mass > 0, escape, 1), 1.0))
+                self.own[x].append((gram, -np.log2(n / total[at] * (1 - escape[at])), ctx, back))
+
+    def _bits(self, x: int, grams: np.ndarray, order: int = ORDER) -> np.ndarray:
+        """Code length under language x of each gram's last byte after up to
+        ``order`` of the bytes before it."""
+        out = np.zeros(len(grams))
+        left = np.arange(len(grams))
+        for k in range(order, -1, -1):
+            seen, cost, ctx, back = self.own[x][k]
+            g = grams[left] & np.uint32((1 << 8 * (k + 1)) - 1)
+            ok, at = _find(seen, g)
+            out[left[ok]] += cost[at[ok]]
+            left, g = left[~ok], g[~ok] >> 8
+            ok, at = _find(ctx, g)
+            out[left[ok]] += back[at[ok]]
+        out[left] += 8
+        return out
+
+    def _sums(self, b: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        b = b.astype(np.uint32)
+        grams, at = np.unique((b[:-3] << 24) | (b[1:-2] << 16) | (b[2:-1] << 8) | b[3:], return_inverse=True)
+        return np.stack([np.add.reduceat(self._bits(x, grams)[at], cuts)[0::2] for x in range(self.langs)], 1)
 
 
 def predict(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
@@ -200,7 +255,7 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = hold(name, lambda: Trees(shared.value))
+        trees = hold(name, lambda: Sparse(shared.value))
         for batch in batches:
             *kept, text, letters = batch.columns
             texts = [t.as_py().encode() if ok.as_py() else b"" for t, ok in zip(text, letters, strict=True)]

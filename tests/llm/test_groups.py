@@ -237,6 +237,37 @@ def test_language_codes_sum_to_one_and_match_a_plain_tree():
     assert len(small.cost) < len(trees.cost) and np.allclose(np.exp2(-small.cost.reshape(-1, 256, 2).astype(float)).sum(1), 1, atol=1e-4)
 
 
+def test_language_trees_keep_every_context(spark):
+    docs = table(spark, SF_SMALL, "documents")
+    model = langid.learn(docs)
+    dense, sparse = langid.Trees(model), langid.Sparse(model)
+    texts = [r.text.encode() for r in docs.where("text <> ''").limit(40).collect()] + [b"", "Ωмега x".encode(), bytes(range(256))]
+    assert np.allclose(sparse.lengths(texts), dense.lengths(texts), rtol=1e-5)
+    every = np.arange(256, dtype=np.uint32)
+    for x in range(len(model["langs"])):
+        mine = (model["lang"] == x) & (model["k"] == langid.ORDER)
+        contexts = np.unique(model["gram"][mine] >> 8)
+        assert len(sparse.own[x][langid.ORDER][2]) == len(contexts)
+        for c in [*contexts[::97].tolist(), 0xFFFFFF]:
+            assert abs(np.exp2(-sparse._bits(x, np.uint32(c << 8) | every)).sum() - 1) < 1e-6
+
+
+def test_language_memory_follows_the_sample():
+    # sixty languages of 4,000 contexts of their own, more than a capped table holds
+    langs, rnd = 60, np.random.default_rng(4)
+    parts = []
+    for x in range(langs):
+        letters = rnd.choice(np.arange(97, 123), 20, replace=False).astype(np.uint8)
+        data = langid.PAD + rnd.choice(letters, 8_000).tobytes()
+        for k in range(langid.ORDER + 1):
+            g, n = np.unique(langid._grams(data, k), return_counts=True)
+            parts.append((np.full(len(g), x), np.full(len(g), k), g, n))
+    lang, k, gram, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+    trees = langid.Sparse({"langs": list(map(str, range(langs))), "lang": lang, "k": k, "gram": gram, "n": n})
+    assert sum(len(o[0]) for own in trees.own for o in own) == len(gram)
+    assert sum(a.nbytes for own in trees.own for o in own for a in o) <= 24 * len(gram)
+
+
 def test_language_held_out_accuracy(spark):
     docs = table(spark, SF_SMALL, "documents")
     got = langid.identify(docs.withColumn("score", F.lit("x")).withColumn("held", langid.held_out()))
