@@ -12,7 +12,8 @@ language's posterior under equal priors.
 
 The trees are fitted on a bounded sample: per language about ``sample_bytes``
 bytes of whole texts of at most ``max_text_bytes`` each, chosen by a hash of
-the text. Counts are made in Spark and summed by (language, order, gram); what
+the text among the language's distinct texts, at least one: copies of a text
+change nothing. Counts are made in Spark and summed by (language, order, gram); what
 reaches the driver is bounded by the sample. The workers keep every counted
 (context, byte) pair and every context's escape, per language, in sorted
 arrays (``Sparse``), so their memory follows the sample and no context is left
@@ -88,14 +89,19 @@ def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", s
     """Frozen statistics: {"langs": [...], "k", "lang", "gram", "n": arrays}."""
     prepare(labelled.sparkSession)
     size = F.octet_length(F.col(text_col))
-    usable = labelled.where(F.col(lang_col).isNotNull() & (size > 0) & (size <= max_text_bytes))
-    sizes = {r[0]: r[1] for r in usable.groupBy(lang_col).agg(F.sum(size)).collect()}
-    langs = sorted(sizes)
+    usable = labelled.where(F.col(lang_col).isNotNull() & (size > 0) & (size <= max_text_bytes)).select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), size.alias("size"),
+        F.xxhash64(F.lit("langid"), F.col(text_col)).alias("hash"))
+    draw = F.pmod("hash", F.lit(1 << 30)) / float(1 << 30)
+    distinct = usable.groupBy("lang", "hash").agg(F.max("size").alias("size"))
+    found = distinct.groupBy("lang").agg(F.sum("size"), F.min(draw)).collect()
+    limit = {r[0]: max(sample_bytes / r[1], r[2]) for r in found}  # the smallest draw is always in
+    langs = sorted(limit)
     if not langs:
         return {"langs": []}
-    draw = F.pmod(F.xxhash64(F.lit("langid"), F.col(text_col)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = functools.reduce(operator.or_, [(F.col(lang_col) == x) & (draw < min(1.0, sample_bytes / sizes[x])) for x in langs])
-    counts = count_grams(usable.where(chosen), lang_col, text_col).toPandas()
+    chosen = functools.reduce(operator.or_, [(F.col("lang") == x) & (draw <= limit[x]) for x in langs])
+    sample = usable.where(chosen).groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    counts = count_grams(sample, "lang", "text").toPandas()
     code = {x: i for i, x in enumerate(langs)}
     return {"langs": langs, "lang": counts["lang"].map(code).to_numpy(np.int64), "k": counts["k"].to_numpy(np.int64),
             "gram": counts["gram"].to_numpy(np.int64), "n": counts["n"].to_numpy(np.int64)}

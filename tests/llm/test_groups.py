@@ -268,6 +268,22 @@ def test_language_memory_follows_the_sample():
     assert sum(a.nbytes for own in trees.own for o in own for a in o) <= 24 * len(gram)
 
 
+def test_language_sample_ignores_copies(spark):
+    rnd = random.Random(8)
+    rows = [(lang, " ".join("".join(rnd.choices(letters, k=5)) for _ in range(50)))
+            for lang, letters in (("aa", "abcdefgh"), ("bb", "stuvwxyz")) for _ in range(40)]
+
+    def counts(rows):
+        m = langid.learn(spark.createDataFrame(rows, "lang string, text string"), sample_bytes=3000)
+        return m["langs"], sorted(zip(*(m[c].tolist() for c in ("lang", "k", "gram", "n")), strict=True))
+    once = counts(rows)
+    assert counts(rows + rows[:1] * 500 + rows[50:60] * 70) == once
+    sampled = sum(n for _, k, _, n in once[1] if k == 0)
+    assert 2000 < sampled < 14000  # about 3,000 bytes a language of 12,000
+    few = langid.learn(spark.createDataFrame(rows, "lang string, text string"), sample_bytes=1)
+    assert [few["n"][(few["lang"] == x) & (few["k"] == 0)].sum() for x in (0, 1)] == [299, 299]  # one text each
+
+
 def test_language_held_out_accuracy(spark):
     docs = table(spark, SF_SMALL, "documents")
     got = langid.identify(docs.withColumn("score", F.lit("x")).withColumn("held", langid.held_out()))
