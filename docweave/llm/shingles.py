@@ -3,7 +3,9 @@
 A text is lower-cased (A-Z), its words are runs of anything but the six ASCII
 blanks; the hash of a word is a polynomial over its bytes (random 64-bit value
 per byte), the hash of a shingle combines those of its words in order. Both
-pass through a full 64-bit finalizer.
+pass through a full 64-bit finalizer. A text is hashed ``PIECE`` bytes at a
+time; the sum and the power of a word that a piece does not end are carried
+into the next one, so a word of any length is one word.
 """
 
 from __future__ import annotations
@@ -50,25 +52,41 @@ def word_hashes(text: str) -> np.ndarray:
     """uint64 hash of every word, in order."""
     data = text.encode().lower()
     out = []
-    at = 0
+    at = total = length = 0  # of the unfinished word: polynomial sum, bytes
+    power = 1                # and GOLDEN to the length
     while at < len(data):
         end = min(len(data), at + PIECE)
-        if end < len(data):  # cut at a blank; a word longer than PIECE is hashed as such pieces
-            b = np.frombuffer(data, np.uint8, end - at, at)
+        b = np.frombuffer(data, np.uint8, end - at, at)
+        if end < len(data):  # cut at a blank; without one the piece is the middle of a word
             blanks = np.flatnonzero(_BLANK[b])
-            end = at + int(blanks[-1]) + 1 if len(blanks) else end
-        out.append(_hash_piece(np.frombuffer(data, np.uint8, end - at, at)))
-        at = end
+            if not len(blanks):
+                up = _tables()[0]
+                total = (total + int(np.sum(_BYTE[b] * up[:len(b)], dtype=np.uint64)) * power) & MASK
+                power = power * int(up[len(b)]) & MASK
+                length += len(b)
+                at = end
+                continue
+            b = b[:int(blanks[-1]) + 1]
+        out.append(_hash_piece(b, total, power, length))
+        at += len(b)
+        total, power, length = 0, 1, 0
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def _hash_piece(b: np.ndarray) -> np.ndarray:
+def _hash_piece(b: np.ndarray, total: int, power: int, length: int) -> np.ndarray:
+    """Hashes of the words of a piece, after an unfinished word of ``length`` bytes."""
     up, down = _tables()
     edge = np.diff(np.concatenate(([True], _BLANK[b], [True])).astype(np.int8))
     start, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     run = np.zeros(len(b) + 1, np.uint64)
     np.cumsum(_BYTE[b] * up[:len(b)], dtype=np.uint64, out=run[1:])
-    return mix((run[stop] - run[start]) * down[start] + (stop - start).astype(np.uint64))
+    sums, size = (run[stop] - run[start]) * down[start], (stop - start).astype(np.uint64)
+    if length:
+        if _BLANK[b[0]]:  # the word ended with the last piece
+            sums, size = np.concatenate(([U(0)], sums)), np.concatenate(([U(0)], size))
+        sums[0] = (int(sums[0]) * power + total) & MASK
+        size[0] += U(length)
+    return mix(sums + size)
 
 
 def shingle_set(text: str | None, k: int = 5) -> np.ndarray:

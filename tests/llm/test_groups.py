@@ -98,6 +98,20 @@ def test_shingles_of_very_long_texts(monkeypatch):
     assert (shingles.shingle_set(text) == whole).all() and len(whole) == 977
 
 
+@pytest.mark.parametrize("piece", [1, 7, 64])
+def test_shingles_of_words_longer_than_a_piece(monkeypatch, piece):
+    long = "ab" * 150
+    texts = [long, f"one {long} two", f"{long} x", f" {long}  {long}c", "a" * 64 + " b", "a" * 63 + " b", f"x {'é' * 70}\n", "\t" * 90 + long]
+    whole = [shingles.word_hashes(t) for t in texts]
+    monkeypatch.setattr(shingles, "PIECE", piece)
+    monkeypatch.setattr(shingles, "_POW", [])
+    for t, w in zip(texts, whole, strict=True):
+        got = shingles.word_hashes(t)
+        assert len(got) == len(WORD.findall(t)) and got.tolist() == w.tolist()
+    a, b = (set(shingles.shingle_set("y" * 1000 + end).tolist()) for end in "pq")
+    assert len(a) == len(b) == 1 and not a & b
+
+
 def test_sketch_bounds_the_overlap():
     rnd = np.random.default_rng(1)
     for _ in range(200):
