@@ -10,13 +10,23 @@ from docweave.session import scratch_path
 from docweave.streaming import ingest as SI
 
 
+def _files_of(t, name: str) -> tuple[str, str | None]:
+    """Folder to stream and file-name glob of a table: a table that is a folder of
+    part files is streamed itself, one that is a file by its name."""
+    path = f"{t.sf_dir.rstrip('/')}/{name}.parquet"
+    where = t.spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(t.spark._jsc.hadoopConfiguration())
+    return (path, None) if fs.getFileStatus(where).isDirectory() else (t.sf_dir, f"{name}.parquet")
+
+
 @register("stream_ingest", _token_chunk_sql(200))
 def stream_ingest(t):
     """The documents consumed as a stream, chunked per micro-batch by the
     batch functions and upserted by document; equals the batch token_chunks result."""
     schema = t.documents.schema
-    out = SI.stream_ingest(t.spark, t.sf_dir, schema, scratch_path(t.spark, "stream-sink"),
-                           scratch_path(t.spark, "stream-ckpt"), file_glob="documents.parquet")
+    source, glob = _files_of(t, "documents")
+    out = SI.stream_ingest(t.spark, source, schema, scratch_path(t.spark, "stream-sink"),
+                           scratch_path(t.spark, "stream-ckpt"), file_glob=glob)
     return out.select("doc_id", F.col("chunk_id").cast("bigint").alias("chunk_id"),
                       F.size(F.split("chunk_text", " ")).cast("bigint").alias("n_tokens"), "chunk_text")
 
@@ -26,7 +36,8 @@ def stream_dedup(t):
     """Repeats of (user_id, event_type) suppressed over the whole stream,
     whatever the batches."""
     schema = t.events.schema
-    out = SI.stream_dedup(t.spark, t.sf_dir, schema, ["user_id", "event_type"], "ts", None,
+    source, glob = _files_of(t, "events")
+    out = SI.stream_dedup(t.spark, source, schema, ["user_id", "event_type"], "ts", None,
                           scratch_path(t.spark, "dedup-sink"), scratch_path(t.spark, "dedup-ckpt"),
-                          file_glob="events.parquet")
+                          file_glob=glob)
     return out.select("user_id", "event_type")

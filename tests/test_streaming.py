@@ -1,4 +1,7 @@
+import pytest
+
 from docweave.operators import ingest
+from docweave.plans.registry import queries
 from docweave.session import load_table
 from docweave.streaming import ingest as SI
 from tests.conftest import SF_SMALL
@@ -45,3 +48,12 @@ def test_stream_dedup_one_row_per_key(spark, tmp_path):
     out = SI.stream_dedup(spark, SF_SMALL, ev.schema, ["user_id", "event_type"], "ts", "10 minutes",
                           str(tmp_path / "sink"), str(tmp_path / "ckpt"), file_glob="events.parquet")
     assert out.count() == ev.select("user_id", "event_type").distinct().count()
+
+
+@pytest.mark.parametrize("query, table", [("stream_ingest", "documents"), ("stream_dedup", "events")])
+def test_registered_streams_read_tables_of_part_files(spark, tmp_path, query, table):
+    whole = load_table(spark, SF_SMALL, table)
+    whole.repartition(4).write.parquet(str(tmp_path / f"{table}.parquet"))
+    run = queries()[query]
+    want = sorted(map(str, run(spark, SF_SMALL).collect()))
+    assert want and sorted(map(str, run(spark, str(tmp_path)).collect())) == want
