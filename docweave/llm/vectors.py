@@ -10,11 +10,14 @@ rests is at most the product of their norms, and a pair whose sum cannot
 reach the threshold is dropped before the remaining coordinates are touched.
 Survivors are checked in double precision on the vectors as given.
 
-Equal vectors are one class and compared once. A work unit holds one tile and
-the visitors from ``VISIT`` tiles; it returns per class a number of links and
-one edge of a spanning forest, so a group of copies of any size gives rows in
-proportion to its members, not to its pairs. Tiles are ``TILE`` vectors each,
-at most ``MAX_TILES`` of them (their boxes are what is broadcast).
+Equal vectors are one class and compared once. A work unit holds one sub-tile
+and the visitors from ``VISIT`` sub-tiles; it goes block by block, adds a
+block's links to the sums, joins them into the forest and lets the pairs go.
+It returns per class a number of links and one edge of a spanning forest, so a
+group of copies or of near vectors of any size gives rows in proportion to its
+members, not to its pairs. There are at most ``MAX_TILES`` tiles (their boxes
+are what is broadcast); one of more than ``TILE`` vectors is cut by a hash of
+the class into sub-tiles of about ``TILE``, so no unit grows with the input.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing; vectors of different lengths do not link;
@@ -34,6 +37,7 @@ from pyspark.sql import functions as F
 
 from docweave.llm.common import materialize, prepare, table
 from docweave.llm.components import connected_components, min_labels
+from docweave.llm.shingles import mix
 
 THRESHOLD = 0.95
 SAMPLE = 20_000
@@ -42,6 +46,8 @@ MAX_TILES = 4096
 VISIT = 16
 LEAD = 8
 BLOCK = 1024
+CELLS = 1 << 22  # vector components gathered at a time
+EMIT = 1 << 14   # rows of a frame of visits
 SLACK = 1e-9
 
 
@@ -94,14 +100,20 @@ def tile_of(points: np.ndarray, cuts: list[tuple[int, float]]) -> np.ndarray:
     return node - len(cuts)
 
 
-def linked(a: np.ndarray, b: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+def _cosines(a: np.ndarray, p: np.ndarray, b: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Products of the rows p of a with the rows q of b, CELLS components at a time."""
+    step = max(1, CELLS // max(1, a.shape[1]))
+    parts = [np.einsum("ij,ij->i", a[p[k:k + step]], b[q[k:k + step]]) for k in range(0, len(p), step)]
+    return np.concatenate(parts) if parts else np.empty(0)
+
+
+def linked(a: np.ndarray, b: np.ndarray, threshold: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (i, j) of rotated unit vectors whose cosine can reach the
-    threshold (i < j if ``same``)."""
+    threshold (i < j if ``same``), of one block of at most BLOCK x BLOCK after another."""
     dims = a.shape[1]
     steps = [s for s in (8, 16, 32, 64, 128, 256, 512, 1024) if s < dims] + [dims]
     rest_a = [np.sqrt((a[:, s:] ** 2).sum(1)) for s in steps]
     rest_b = [np.sqrt((b[:, s:] ** 2).sum(1)) for s in steps]
-    found: list[tuple[np.ndarray, np.ndarray]] = []
     for i in range(0, len(a), BLOCK):
         for j in range(i if same else 0, len(b), BLOCK):
             x, y, last = a[i:i + BLOCK], b[j:j + BLOCK], steps[0]
@@ -117,22 +129,38 @@ def linked(a: np.ndarray, b: np.ndarray, threshold: float, same: bool) -> tuple[
                 if len(p) > live.size // 8:  # many: one product for the block is cheaper
                     dot = dot + (x[:, last:s] @ y[:, last:s].T)[p, q]
                 else:
-                    dot = dot + np.einsum("ij,ij->i", x[p, last:s], y[q, last:s])
+                    dot = dot + _cosines(x[:, last:s], p, y[:, last:s], q)
                 ok = dot + rest_a[k][i + p] * rest_b[k][j + q] >= threshold - SLACK
                 p, q, dot, last = p[ok], q[ok], dot[ok], s
-            found.append((i + p, j + q))
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-
-
-def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.einsum("ij,ij->i", a, b)
-
-
-def link_classes(classes: DataFrame, dim: int, count: int, threshold: float) -> DataFrame:
-    """(cid, links, root) rows: links of a class found in one unit (in vectors of
-    other classes) and a class of the same component."""
+            if len(p):
+                yield i + p, j + q
+
+
+def unit_links(unit: np.ndarray, turned: np.ndarray, n: np.ndarray, own: np.ndarray, inside: bool,
+               threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of a work unit's vectors, as given and rotated, with ``n`` copies each: the links
+    of each and the smallest vector of its component, by the pairs of ``own`` ones with
+    the others and, if ``inside``, with each other."""
+    own_at, other_at = np.flatnonzero(own), np.flatnonzero(~own)
+    links, root = np.zeros(len(unit)), np.arange(len(unit))
+    sides = [(other_at, own_at, False)] if len(other_at) else []
+    sides += [(own_at, own_at, True)] if inside else []
+    for left, right, same in sides:
+        for p, q in linked(turned[left], turned[right], threshold, same):
+            a, b = left[p], right[q]
+            ok = _cosines(unit, a, unit, b) >= threshold
+            a, b = a[ok], b[ok]
+            links += np.bincount(a, n[b], len(unit)) + np.bincount(b, n[a], len(unit))
+            a, b = root[a], root[b]
+            apart = a != b
+            if apart.any():
+                root = min_labels(len(unit), a[apart], b[apart])[root]
+    return links, root
+
+
+def work_units(classes: DataFrame, dim: int, count: int, threshold: float) -> tuple[DataFrame, object]:
+    """(tile, part, home, cid, n, v) rows, a work unit for each (tile, part), with tile
+    and home numbers of sub-tiles; and the rotation as a broadcast."""
     spark = classes.sparkSession
     sample = classes.select("v").orderBy(F.xxhash64("ck"), "ck").limit(SAMPLE).toPandas()
     unit = units(np.array(sample["v"].tolist()))
@@ -153,34 +181,80 @@ def link_classes(classes: DataFrame, dim: int, count: int, threshold: float) ->
     placed = materialize(classes.select("cid", "n", "v").mapInPandas(
         place, "cid long, n long, v array<double>, tile long, lead array<double>"), "vector-tiles")
     sides = range(min(LEAD, dim))
-    boxes = placed.groupBy("tile").agg(*[f(F.get("lead", F.lit(d))).alias(f"{f.__name__}{d}") for f in (F.min, F.max) for d in sides])
+    boxes = placed.groupBy("tile").agg(*[f(F.get("lead", F.lit(d))).alias(f"{f.__name__}{d}") for f in (F.min, F.max) for d in sides],
+                                         F.count(F.lit(1)).alias("held"))
     box = np.full((2, tiles, len(sides)), np.inf)
     box[1] = -np.inf
+    cut = np.zeros(tiles, np.int64)  # sub-tiles of a tile
     for r in boxes.collect():
+        cut[r["tile"]] = -(-r["held"] // TILE)
         box[0, r["tile"]] = [r[f"min{d}"] for d in sides]
         box[1, r["tile"]] = [r[f"max{d}"] for d in sides]
-    shared = spark.sparkContext.broadcast(box)
+    first = np.concatenate(([0], np.cumsum(cut)))
+    shared = spark.sparkContext.broadcast((box, cut, first))
     reach = 2 - 2 * threshold + SLACK
 
-    def visits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lo, hi = shared.value
+    def visits(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+        """(home, tiles, parts, cid, n, v): the units a vector is in."""
+        (lo, hi), cut, first = shared.value
+        parts_of: dict[int, np.ndarray] = {}
+
+        def parts(tile: int, sub: int) -> np.ndarray:
+            """The units of a sub-tile: its own and those that may have visitors."""
+            if sub not in parts_of:
+                gap = np.maximum(0, np.maximum(lo - hi[tile], lo[tile] - hi))
+                near = np.flatnonzero(((gap ** 2).sum(1) <= reach + SLACK) & (np.arange(len(cut)) >= tile) & (cut > 0))
+                spans = [np.arange(max(first[t], sub) // VISIT, (first[t + 1] - 1) // VISIT + 1) for t in near]
+                parts_of[sub] = np.unique(np.concatenate([*spans, [sub // VISIT]]))
+            return parts_of[sub]
+
         for f in frames:
             for at in range(0, len(f), 512):
                 g = f.iloc[at:at + 512]
                 lead = np.array(g["lead"].tolist())[:, None, :]
                 gap = np.maximum(0, np.maximum(lo - lead, lead - hi))
                 near = (gap ** 2).sum(2) <= reach
-                home = g["tile"].to_numpy()
-                who, to = np.nonzero(near & (np.arange(tiles)[None, :] < home[:, None]))
-                group = home[who] // VISIT
-                mine = [(i, t, k) for i, t in enumerate(home) for k in range(t // VISIT, (tiles - 1) // VISIT + 1)]
-                i, t, k = (np.array(c, np.int64) for c in zip(*mine, strict=True))
-                rows = np.concatenate([who, i])
-                yield pd.DataFrame({"tile": np.concatenate([to, t]), "part": np.concatenate([group, k]),
-                                    "home": home[rows], "cid": g["cid"].to_numpy()[rows], "n": g["n"].to_numpy()[rows],
-                                    "v": g["v"].to_numpy()[rows]})
-
-    work = placed.mapInPandas(visits, "tile long, part long, home long, cid long, n long, v array<double>")
+                tile, cid = g["tile"].to_numpy(), g["cid"].to_numpy()
+                home = first[tile] + (mix(cid.astype(np.uint64)) % cut[tile].astype(np.uint64)).astype(np.int64)
+                near &= (np.arange(len(cut))[None, :] <= tile[:, None]) & (cut > 0)
+                for i in range(len(g)):
+                    to = np.flatnonzero(near[i])
+                    to = np.repeat(first[to + 1] - np.cumsum(cut[to]), cut[to]) + np.arange(cut[to].sum())
+                    to = to[to < home[i]]  # sub-tiles of lower number
+                    mine = parts(tile[i], home[i])
+                    yield home[i], np.concatenate([to, np.full(len(mine), home[i])]), np.concatenate(
+                        [np.full(len(to), home[i] // VISIT), mine]), cid[i], g["n"].iat[i], g["v"].iat[i]
+
+    def frames_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple] = []
+        rows = 0
+
+        def frame() -> pd.DataFrame:
+            size = [len(h[1]) for h in held]
+            home, cid, n = (np.repeat(np.array([h[k] for h in held], np.int64), size) for k in (0, 3, 4))
+            v = np.empty(len(held), object)
+            v[:] = [h[5] for h in held]
+            return pd.DataFrame({"tile": np.concatenate([h[1] for h in held]), "part": np.concatenate([h[2] for h in held]),
+                                 "home": home, "cid": cid, "n": n, "v": np.repeat(v, size)})
+
+        for home, to, part, *rest in visits(frames):
+            for k in range(0, len(to), EMIT):
+                held.append((home, to[k:k + EMIT], part[k:k + EMIT], *rest))
+                rows += len(held[-1][1])
+                if rows >= EMIT:
+                    yield frame()
+                    held, rows = [], 0
+        if held:
+            yield frame()
+
+    work = placed.mapInPandas(frames_of, "tile long, part long, home long, cid long, n long, v array<double>")
+    return work, fitted
+
+
+def link_classes(classes: DataFrame, dim: int, count: int, threshold: float) -> DataFrame:
+    """(cid, links, root) rows: links of a class found in one unit (in vectors of
+    other classes) and a class of the same component."""
+    work, fitted = work_units(classes, dim, count, threshold)
 
     def compare(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values(["home", "cid"], kind="stable").reset_index(drop=True)
@@ -189,19 +263,7 @@ def link_classes(classes: DataFrame, dim: int, count: int, threshold: float) ->
             return pd.DataFrame({"cid": [], "links": [], "root": []}).astype("int64")
         unit = units(np.array(f["v"].tolist()))
         turned = unit @ fitted.value[0]
-        own_at, other_at = np.flatnonzero(own), np.flatnonzero(~own)
-        pairs = [linked(turned[other_at], turned[own_at], threshold, False)] if len(other_at) else []
-        pairs = [(other_at[p], own_at[q]) for p, q in pairs]
-        if key[1] == key[0] // VISIT:  # pairs inside the tile: in one of its units
-            p, q = linked(turned[own_at], turned[own_at], threshold, True)
-            pairs.append((own_at[p], own_at[q]))
-        a = np.concatenate([p for p, _ in pairs] or [np.empty(0, np.int64)])
-        b = np.concatenate([q for _, q in pairs] or [np.empty(0, np.int64)])
-        ok = np.concatenate([_cosines(unit[a[k:k + 65536]], unit[b[k:k + 65536]]) >= threshold for k in range(0, len(a), 65536)] or [np.empty(0, bool)])
-        a, b = a[ok], b[ok]
-        n = f["n"].to_numpy()
-        links = np.bincount(a, n[b], len(f)) + np.bincount(b, n[a], len(f))
-        root = min_labels(len(f), a, b)
+        links, root = unit_links(unit, turned, f["n"].to_numpy(), own, key[1] == key[0] // VISIT, threshold)
         hit = links > 0
         cid = f["cid"].to_numpy()
         return pd.DataFrame({"cid": cid[hit], "links": links[hit].astype("int64"), "root": cid[root[hit]]})

@@ -150,6 +150,37 @@ def test_vector_near_duplicates(spark, monkeypatch, tile):
     assert vectors.near_duplicate_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_vector_blocks_hold_no_more_than_their_pairs():
+    rnd = np.random.default_rng(6)
+    raw = rnd.normal(size=12) + rnd.normal(size=(2500, 12)) * 0.01  # all near, none equal
+    unit = vectors.units(raw)
+    found = vectors.linked(unit, unit, 0.95, True)
+    assert not isinstance(found, tuple)  # one block after another
+    sizes = [len(p) for p, _ in found]
+    assert sum(sizes) == 2500 * 2499 // 2 and max(sizes) <= vectors.BLOCK ** 2
+    links, root = vectors.unit_links(unit, unit, np.full(2500, 2), np.arange(2500) < 700, True, 0.95)
+    assert (links[:700] == 2 * 2499).all() and (links[700:] == 2 * 700).all() and not root.any()
+
+
+def test_vector_units_do_not_grow_with_the_input(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "TILE", 16)
+    monkeypatch.setattr(vectors, "VISIT", 2)
+    monkeypatch.setattr(vectors, "MAX_TILES", 2)
+    rnd = np.random.default_rng(7)
+    base = rnd.normal(size=(4, 10))
+    rows = [(i, list(map(float, base[i % 4] + rnd.normal(size=10) * (0.02 if i % 8 else 0.6)))) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    _, classes = vectors.classes_of(df, "vec_id", "embedding")
+    work = vectors.work_units(classes, 10, 400, 0.95)[0].groupBy("tile", "part").agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("home") == F.col("tile")).cast("int")).alias("own")).collect()
+    assert max(r.own for r in work) <= 3 * 16 and max(r.n for r in work) <= 3 * 3 * 16
+    unit = vectors.units(np.array([v for _, v in rows]))
+    links = np.argwhere(np.triu(unit @ unit.T >= 0.95, 1)).tolist()
+    top, n = roots(range(400), links), collections.Counter(i for e in links for i in e)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicate_vectors(df).collect()}
+    assert len(links) > 10000 and got == {i: (n[i], top[i]) for i in range(400)}
+
+
 def b32(text):
     return base64.b32encode(hashlib.sha1((text or "").encode()).digest()).decode()
 
