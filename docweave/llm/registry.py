@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docweave.llm import chat, jaccard, langid, mixing, packing, quality, rollup, sharding, vectors, warc
+from docweave.llm import chat, codebooks, jaccard, langid, mixing, packing, quality, rollup, secretscan, sharding, spelling, vectors, warc
 
 QUERIES = {
     "op1_histogram_shards": sharding.op1_histogram_shards,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_warc_revisits": warc.op8_warc_revisits,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
+    "op11_vector_codes": codebooks.op11_vector_codes,
+    "op12_secret_scan": secretscan.op12_secret_scan,
+    "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 
 ORACLE_SQL = {
@@ -22,4 +25,6 @@ ORACLE_SQL = {
     "op5_mix_sources": mixing.OP5_SQL,
     "op8_warc_revisits": warc.OP8_SQL,
     "op9_quality_rules": quality.OP9_SQL,
+    "op11_vector_codes": codebooks.OP11_SQL,
+    "op13_spelling_variants": spelling.OP13_SQL,
 }
