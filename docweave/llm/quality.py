@@ -27,9 +27,13 @@ STOP_WORDS = (
     "el los las y por con para una su al lo como del se no más"
 ).split()
 SYMBOLS = "#*$%&|<>"
+#: The letters beyond ASCII of the languages that those words are from.
+ACCENTS = "àâäæçèéêëíîïñóôöœùúûüÿßÀÂÄÆÇÈÉÊËÍÎÏÑÓÔÖŒÙÚÛÜŸẞ¿¡«»„“”‘’…–—"
 PUNCTUATION = ".,;:!?\"'()[]"
 
-#: measure, what it is divided by (None: itself), comparison that must hold, bound.
+#: measure, what it is divided by (None: itself), comparison that must hold, bound,
+#: and, where the rule cannot judge every text, the rule that one it judges must meet.
+#: Stop words are only asked of texts written in the letters of their languages.
 #: Bounds leave ordinary prose far inside: in clean prose a word has 2 to 15
 #: characters on average, under one symbol for ten words, and function words.
 RULES = (
@@ -37,12 +41,12 @@ RULES = (
     ("word_chars", "n_words", ">=", 2.0),
     ("word_chars", "n_words", "<=", 15.0),
     ("n_symbols", "n_words", "<=", 0.3),
-    ("n_stop_words", "n_words", ">=", 0.02),
+    ("n_stop_words", "n_words", ">=", 0.02, ("n_foreign", "word_chars", "<=", 0.02)),
     ("n_dup_lines", "n_lines", "<=", 0.6),
     ("n_repeat_words", "n_words", "<=", 0.5),
 )
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words", "n_lines")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words", "n_lines", "n_foreign")
 
 
 def _repeat_words(hashes: F.Column) -> F.Column:
@@ -74,6 +78,7 @@ def measures(df: DataFrame, text_col: str = "text") -> DataFrame:
         "n_repeat_words": F.coalesce(F.when(F.col("__n") >= 3, _repeat_words(F.col("__windows"))), F.lit(0)),
         "n_stop_words": F.size(F.filter("__words", lambda w: bare(w).isin(STOP_WORDS))),
         "n_lines": F.size("__lines"),
+        "n_foreign": F.length(F.translate(text, "".join(map(chr, range(1, 128))) + ACCENTS, "")),
     }
     # through a generator of one row, so that a filter on a measure is not pushed below, where
     # its expressions would replace the columns they are built from, again and again
@@ -83,10 +88,14 @@ def measures(df: DataFrame, text_col: str = "text") -> DataFrame:
 def verdict(rules=RULES) -> F.Column:
     """One boolean expression: every row of the threshold table holds. A ratio
     ``a / b <= bound`` is compiled as ``a <= bound * b``, so nothing is divided."""
-    ok = F.lit(True)
-    for measure, base, op, bound in rules:
+    def holds(measure, base, op, bound, scope=None) -> F.Column:
         left, right = F.col(measure), F.lit(bound) if base is None else F.lit(float(bound)) * F.col(base)
-        ok = ok & (left >= right if op == ">=" else left <= right)
+        rule = left >= right if op == ">=" else left <= right
+        return rule if scope is None else rule | ~holds(*scope)
+
+    ok = F.lit(True)
+    for r in rules:
+        ok = ok & holds(*r)
     return ok
 
 
@@ -112,11 +121,12 @@ def kept_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def _rule_sql() -> str:
-    parts = []
-    for measure, base, op, bound in RULES:
+    def holds(measure, base, op, bound, scope=None) -> str:
         right = f"{bound}" if base is None else f"{float(bound)}::DOUBLE * {base}"
-        parts.append(f"{measure} {op} {right}")
-    return " AND ".join(parts)
+        rule = f"{measure} {op} {right}"
+        return rule if scope is None else f"({rule} OR NOT {holds(*scope)})"
+
+    return " AND ".join(holds(*r) for r in RULES)
 
 
 def measures_sql(source: str = "documents") -> str:
@@ -135,7 +145,7 @@ def measures_sql(source: str = "documents") -> str:
          (length(s) - length(regexp_replace(s, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
          (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words,
          len(list_filter(ws, lambda x: lower(regexp_replace(x, '{punct}', '', 'g')) IN ({stops})))::BIGINT AS n_stop_words,
-         len(ls)::BIGINT AS n_lines
+         len(ls)::BIGINT AS n_lines, length(regexp_replace(s, '[\\x00-\\x7F{ACCENTS}]', '', 'g'))::BIGINT AS n_foreign
        FROM t JOIN w USING (rid) JOIN ln USING (rid) LEFT JOIN cov USING (rid)),
   judged AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed FROM m)
   SELECT * EXCLUDE (rid), (NOT base_failed AND {_rule_sql()}) AS kept FROM judged"""
