@@ -11,9 +11,10 @@ one and the code lengths are exact. The shortest code wins; ``score`` is that
 language's posterior under equal priors.
 
 The trees are fitted on a bounded sample: per language about ``sample_bytes``
-bytes of whole texts of at most ``max_text_bytes`` each, chosen by a hash of
-the text among the language's distinct texts, at least one: copies of a text
-change nothing. Counts are made in Spark and summed by (language, order, gram); what
+bytes, fewer if ``TOTAL_BYTES`` would be passed, of texts chosen by a hash of the
+text among the language's distinct ones, at least one: copies of a text
+change nothing. A text over ``max_text_bytes`` takes part in pieces, each drawn by
+itself, so a language of long texts only is learned as well. Counts are made in Spark and summed by (language, order, gram); what
 reaches the driver is bounded by the sample. The workers keep every counted
 (context, byte) pair and every context's escape, per language, in sorted
 arrays (``Sparse``), so their memory follows the sample and no context is left
@@ -29,8 +30,6 @@ columns are carried along, those named like an output are replaced.
 
 from __future__ import annotations
 
-import functools
-import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +42,7 @@ from docweave.llm.common import hold, prepare, table, without
 ORDER = 3
 SAMPLE_BYTES = 400_000
 MAX_TEXT_BYTES = 50_000
+TOTAL_BYTES = 64_000_000  # of the samples of all languages, beyond one text each
 SLICE = 1 << 18         # bytes scored at a time
 OUT = ("lang_pred", "score")
 
@@ -88,19 +88,20 @@ def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", s
           max_text_bytes: int = MAX_TEXT_BYTES) -> dict:
     """Frozen statistics: {"langs": [...], "k", "lang", "gram", "n": arrays}."""
     prepare(labelled.sparkSession)
-    size = F.octet_length(F.col(text_col))
-    usable = labelled.where(F.col(lang_col).isNotNull() & (size > 0) & (size <= max_text_bytes)).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), size.alias("size"),
-        F.xxhash64(F.lit("langid"), F.col(text_col)).alias("hash"))
+    text, wide = F.col(text_col), max(1, max_text_bytes // 4)  # characters of a piece: at most four bytes each
+    pieces = F.transform(F.sequence(F.lit(0), F.floor((F.length(text) - 1) / wide)), lambda i: F.substring(text, (i * wide + 1).cast("int"), F.lit(wide)))
+    texts = labelled.where(F.col(lang_col).isNotNull() & (F.octet_length(text) > 0)).select(
+        F.col(lang_col).alias("lang"), F.explode(F.when(F.octet_length(text) <= max_text_bytes, F.array(text)).otherwise(pieces)).alias("text"))
+    usable = texts.select("lang", "text", F.octet_length("text").alias("size"), F.xxhash64(F.lit("langid"), "text").alias("hash"))
     draw = F.pmod("hash", F.lit(1 << 30)) / float(1 << 30)
     distinct = usable.groupBy("lang", "hash").agg(F.max("size").alias("size"))
     found = distinct.groupBy("lang").agg(F.sum("size"), F.min(draw)).collect()
-    limit = {r[0]: max(sample_bytes / r[1], r[2]) for r in found}  # the smallest draw is always in
-    langs = sorted(limit)
-    if not langs:
+    if not found:
         return {"langs": []}
-    chosen = functools.reduce(operator.or_, [(F.col("lang") == x) & (draw <= limit[x]) for x in langs])
-    sample = usable.where(chosen).groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    share = min(sample_bytes, TOTAL_BYTES // len(found))
+    langs = sorted(r[0] for r in found)
+    limits = labelled.sparkSession.createDataFrame([(r[0], float(max(share / r[1], r[2]))) for r in found], "lang string, most double")  # the smallest draw is always in
+    sample = usable.join(limits, "lang").where(draw <= F.col("most")).groupBy("lang", "hash").agg(F.min("text").alias("text"))
     counts = count_grams(sample, "lang", "text").toPandas()
     code = {x: i for i, x in enumerate(langs)}
     return {"langs": langs, "lang": counts["lang"].map(code).to_numpy(np.int64), "k": counts["k"].to_numpy(np.int64),
