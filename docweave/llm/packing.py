@@ -18,8 +18,8 @@ all groups); an empty table gives no rows; extra columns are ignored.
 
 Token ids are those of the ``tokenizers`` library for the whole text. The
 vocabulary drops white space and encodes word by word, so the ids of each distinct
-word are looked up in a bounded cache per worker; strings of special tokens inside
-a text count as ordinary text.
+word are looked up in a bounded cache per worker; a text that holds the string of a
+special token is encoded as a whole, by which the string becomes that token's id.
 """
 
 from __future__ import annotations
@@ -67,7 +67,8 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -108,6 +109,9 @@ class WordEncoder:
                 self.known, self.old = {}, self.known
             look, found, gaps = self.known.get, [], []
             for t in texts:
+                if self.special and self.special.search(t):
+                    found.append([self._encode([t])[0].tobytes()])
+                    continue
                 words = _cut(t)
                 found.append(list(map(look, words)))
                 if None in found[-1]:

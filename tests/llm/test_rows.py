@@ -113,7 +113,6 @@ def test_packing_round_trip(spark, make_documents):
     sf = make_documents(rows)
     got = packing.op10_best_fit_packing(spark, sf).toPandas()
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     want = collections.Counter()
     for d in rows:
         ids = np.array([*t.encode(d[1] or "", add_special_tokens=False).ids, 1], "<u4")
