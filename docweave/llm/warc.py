@@ -6,7 +6,9 @@ response, all others become revisit records that name it and carry no
 payload. A payload crosses the network once per digest and map task at most
 (it is aggregated by digest map-side), never once per copy. Records are
 UTF-8 strings written by Spark's text writer (CRLF CRLF is the separator a
-WARC needs after each record), gzip-compressed, a bounded number per file.
+WARC needs after each record), gzip-compressed, dated by the time of writing, a
+bounded number per file: a folder for every fourfold of payload size (all under
+64 KB are one), so that a file holds ``BYTES_PER_FILE`` of payloads or one of them.
 
 Reading takes each archive as one binary value (compressed) and streams
 through it record by record by Content-Length; a revisit's length and its
@@ -16,7 +18,8 @@ Defined cases: null html is an empty payload (all empty payloads are equal);
 null url is an empty address; of rows that repeat a page_id and payload one is
 the response and the others revisit it; a null page_id is smaller than any
 other and read back as null; payloads under ``min_bytes`` are all responses;
-no pages give no archive and no rows; extra columns are ignored.
+no pages give no archive and no rows; a payload of any length a string can have is
+written and read whole; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,10 +37,11 @@ from docweave.llm.common import materialize, prepare, table
 from docweave.session import scratch_path
 
 RECORDS_PER_FILE = 4000
+BYTES_PER_FILE = 256 << 20  # of payloads, or one payload
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
-DATE = "2024-01-01T00:00:00Z"
+DATE_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 PARSED = ("record_id string, record_type string, page_id long, url string, payload_digest string, "
           "payload_bytes long, refers_to_id string, payload binary")
@@ -59,7 +63,7 @@ def _urn(*cols) -> F.Column:
 def _record(kind: str, block: F.Column, *extra: tuple[str, F.Column]) -> F.Column:
     """One WARC record as a string, without the separator after it. A field
     whose value is null is left out."""
-    fields = [("WARC-Type", F.lit(kind)), ("WARC-Record-ID", F.col("record_id")), ("WARC-Date", F.lit(DATE)),
+    fields = [("WARC-Type", F.lit(kind)), ("WARC-Record-ID", F.col("record_id")), ("WARC-Date", F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), DATE_FORMAT)),
               ("WARC-Target-URI", F.regexp_replace(F.coalesce("url", F.lit("")), "[\r\n]", "")),
               ("X-Page-ID", F.col("page_id").cast("string")), *extra,
               ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "digest")),
@@ -72,25 +76,37 @@ def _record(kind: str, block: F.Column, *extra: tuple[str, F.Column]) -> F.Colum
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     """Write deduplicated archives of (page_id, url, html)."""
     payload = F.coalesce("html", F.lit(""))
-    rows = pages.select("page_id", "url", payload.alias("payload"), base32_sha1(payload).alias("digest"))
-    heads = materialize(rows.select("page_id", "url", "digest", F.octet_length("payload").alias("bytes"),
+    rows = pages.select("page_id", "url", payload.alias("payload"), base32_sha1(payload).alias("digest"), F.octet_length(payload).alias("bytes"))
+    heads = materialize(rows.select("page_id", "url", "digest", "bytes",
                                     F.monotonically_increasing_id().alias("rid")), "warc-headers")
     heads = heads.withColumn("record_id", _urn("digest", "page_id", "rid"))
     own = F.col("digest") if min_bytes <= 0 else F.when(F.col("bytes") >= min_bytes, F.col("digest")).otherwise(
         F.concat_ws(":", "digest", "rid"))
     heads = heads.withColumn("key", own)
-    best = heads.groupBy("key").agg(F.max(F.struct("page_id", "rid", "url", "digest", "record_id")).alias("r"))
+    best = heads.groupBy("key").agg(F.max(F.struct("page_id", "rid", "url", "digest", "record_id", "bytes")).alias("r"))
     originals = best.select("key", "r.*")
-    texts = rows.groupBy("digest").agg(F.first("payload").alias("payload"))
-    responses = originals.join(texts, "digest").select(
-        _record("response", F.concat(F.lit(HTTP), "payload")).alias("value"))
+
+    def write(records: DataFrame, folder: str, at_most: int) -> None:
+        records.write.option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", at_most).text(f"{path}/{folder}")
+
+    # responses by size, so that a file is bounded in bytes: payloads of 4**k to 4**(k + 1) bytes are one folder
+    sizes = [r[0] for r in heads.select(_size_class("bytes").alias("k")).distinct().collect()]
+    for k in sorted(sizes):
+        mine = _size_class("bytes") == k
+        texts = rows.where(mine).groupBy("digest").agg(F.first("payload").alias("payload"))
+        write(originals.where(mine).join(texts, "digest").select(_record("response", F.concat(F.lit(HTTP), "payload")).alias("value")),
+              f"responses-{k:02d}", max(1, min(RECORDS_PER_FILE, BYTES_PER_FILE >> 2 * (k + 1))))
     target = originals.select("key", F.col("rid").alias("to_rid"), F.col("record_id").alias("to_id"),
                               F.col("url").alias("to_url"))
     revisits = heads.join(target, "key").where("rid <> to_rid").select(_record(
         "revisit", F.lit(HTTP), ("WARC-Profile", F.lit(PROFILE)), ("WARC-Refers-To", F.col("to_id")),
         ("WARC-Refers-To-Target-URI", F.regexp_replace("to_url", "[\r\n]", ""))).alias("value"))
-    responses.unionByName(revisits).write.option("lineSep", CRLF * 2).option("compression", "gzip").option(
-        "maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    write(revisits, "revisits", RECORDS_PER_FILE)
+
+
+def _size_class(size: str) -> F.Column:
+    """k for payloads of 4**k to 4**(k + 1) bytes; 7 for all under 64 KB."""
+    return F.greatest(F.lit(7), F.floor(F.log2(F.greatest(F.col(size), F.lit(1))) / 2)).cast("int")
 
 
 def _records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -142,7 +158,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
         if rows:
             yield batch_of(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", "true").load(path)
     return files.select("content").mapInArrow(run, PARSED)
 
 
