@@ -2,8 +2,9 @@
 
 Each step moves edges towards the smallest node known; a fixed point is a set
 of stars whose centres are the components' smallest nodes. Minima are taken
-by a hash aggregate (partial first) and joined back, so a hub's edges are
-never gathered into one task; every round is written to the shared folder.
+by a hash aggregate (partial first) and joined back; every round is written to
+the shared folder. A hub's edges stream through one task of that join, two
+numbers each; callers keep hubs small by handing in forests, not all links.
 """
 
 from __future__ import annotations

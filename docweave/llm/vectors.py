@@ -286,8 +286,8 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col:
     group = connected_components(found, "cid", "root").withColumnRenamed("node", "cid")
     sums = found.groupBy("cid").agg(F.sum("links").alias("links"))
     c = classes.select("cid", "ck", "rep", "n").join(sums, "cid", "left").join(group, "cid", "left")
-    c = c.withColumn("component", F.coalesce("component", "cid"))
-    first = c.groupBy("component").agg(F.min("rep").alias("first"))
+    c = materialize(c.withColumn("component", F.coalesce("component", "cid")), "vector-components")
+    first = materialize(c.groupBy("component").agg(F.min("rep").alias("first")), "vector-firsts")  # so that a large component's join is split
     c = c.join(first, "component").select("ck", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "first")
     out = rows.join(c, "ck", "left")
     component = F.when(F.col("ck").isNull(), F.col("vec_id")).otherwise(F.col("first"))
