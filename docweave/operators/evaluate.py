@@ -180,3 +180,72 @@ def response_checks(pairs: DataFrame) -> DataFrame:
 def quality_gates(checks: DataFrame, threshold: float = 0.8) -> DataFrame:
     return checks.select("conv_id", "turn", (F.col("factual") < threshold).alias("needs_facts"),
                          (F.col("completeness") < threshold).alias("needs_context"))
+
+
+#: A concept's id in a text: kind, colon, key.
+MENTION = r"[A-Za-z_]+:[0-9]+"
+SENTENCE_END = r"[.;!?]\s*|\n"
+
+
+def statements(texts: DataFrame, relations: dict[str, str], id_col: str, text_col: str) -> DataFrame:
+    """Relations that texts state: distinct (id, src, type, dst). A sentence's mentions
+    are taken in pairs of neighbours; what stands between two of them, without case
+    and outer blanks, is looked up in ``relations`` (phrase -> edge type), and pairs
+    with another phrase state nothing. Row-local until the distinct."""
+    known = F.create_map(*[F.lit(x) for phrase, kind in relations.items() for x in (phrase.lower(), kind)])
+    pair = lambda m, gap: F.transform(
+        F.slice(m, 1, F.greatest(F.size(m) - 1, F.lit(0))),
+        lambda a, i: F.struct(a.alias("src"), F.element_at(known, F.lower(F.trim(F.get(gap, i + 1)))).alias("type"), F.get(m, i + 1).alias("dst")))
+    said = F.flatten(F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), SENTENCE_END),
+                                 lambda s: pair(F.regexp_extract_all(s, F.lit(MENTION), F.lit(0)), F.split(s, MENTION))))
+    rows = texts.select(F.col(id_col).alias("id"), F.explode(F.filter(said, lambda t: t["type"].isNotNull())).alias("t"))
+    return rows.select("id", "t.*").distinct()
+
+
+def mentions(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Distinct (id, concept) of the concept ids in texts."""
+    found = F.array_distinct(F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(MENTION), F.lit(0)))
+    return texts.select(F.col(id_col).alias("id"), F.explode(found).alias("concept"))
+
+
+def graph_response_checks(responses: DataFrame, edges: DataFrame, relations: dict[str, str], id_col: str = "id",
+                          question_col: str = "question", response_col: str = "response") -> DataFrame:
+    """Responses held against a graph with one edge per (src, dst).
+
+    * facts: how many of the stated relations the graph has (``n_supported``);
+    * consistency: a stated pair that the graph joins by another type is a conflict;
+    * completeness: how many targets of the question's concepts are mentioned.
+
+    Statements meet the edges in one join that serves the first two; everything is
+    summed per response in one aggregate, with partial sums before its shuffle."""
+    said = statements(responses, relations, id_col, response_col)
+    known = edges.select("src", "dst", F.col("type").alias("known"))
+    zero = lambda *names: [F.lit(0).cast("long").alias(n) for n in names]
+    one = lambda c, n: F.coalesce(c, F.lit(False)).cast("long").alias(n)
+    facts = said.join(known, ["src", "dst"], "left").select(
+        "id", F.lit(1).cast("long").alias("n_statements"), one(F.col("known") == F.col("type"), "n_supported"),
+        one(F.col("known") != F.col("type"), "n_conflicts"), *zero("n_targets", "n_covered"))
+    wanted = mentions(responses, id_col, question_col).join(
+        edges.select(F.col("src").alias("concept"), "dst"), "concept").select("id", F.col("dst").alias("concept"), F.lit(1).alias("wanted"), F.lit(0).alias("given"))
+    given = mentions(responses, id_col, response_col).select("id", "concept", F.lit(0).alias("wanted"), F.lit(1).alias("given"))
+    covered = wanted.unionByName(given).groupBy("id", "concept").agg(F.max("wanted").alias("wanted"), F.max("given").alias("given"))
+    covered = covered.where("wanted = 1").select("id", *zero("n_statements", "n_supported", "n_conflicts"), F.lit(1).cast("long").alias("n_targets"),
+                                                 F.col("given").cast("long").alias("n_covered"))
+    none = responses.select(F.col(id_col).alias("id"), *zero("n_statements", "n_supported", "n_conflicts", "n_targets", "n_covered")).distinct()
+    sums = none.unionByName(facts).unionByName(covered).groupBy("id").agg(*[F.sum(c).alias(c) for c in none.columns[1:]])
+    share = lambda a, b: F.round(_ratio(F.col(a), F.col(b)), 6)
+    return sums.select("*", share("n_supported", "n_statements").alias("factual"), share("n_covered", "n_targets").alias("completeness"),
+                       (F.col("n_conflicts") == 0).alias("consistent"))
+
+
+def graph_quality_gates(checks: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """What a response needs before it is given: other facts, more context, a resolved conflict."""
+    return checks.select("id", (F.col("factual") < threshold).alias("needs_facts"), (F.col("completeness") < threshold).alias("needs_context"),
+                         (~F.col("consistent")).alias("needs_review"))
+
+
+def check_summary(checks: DataFrame, type_col: str) -> DataFrame:
+    """Averages of the checks per case type."""
+    return checks.groupBy(F.col(type_col).alias("case_type")).agg(
+        F.count(F.lit(1)).alias("n_cases"), F.round(F.avg("factual"), 6).alias("factual"), F.round(F.avg("completeness"), 6).alias("completeness"),
+        F.round(F.avg(F.col("consistent").cast("double")), 6).alias("consistent"), F.sum("n_conflicts").alias("n_conflicts"))

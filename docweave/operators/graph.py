@@ -197,3 +197,24 @@ def lookup(nodes: DataFrame, requested: DataFrame, id_col: str = "id") -> DataFr
     n = nodes.withColumn("known", F.lit(True))
     return (requested.select(F.col(id_col).alias("id")).distinct().join(n, "id", "left")
             .withColumn("known", F.coalesce(F.col("known"), F.lit(False))))
+
+
+# --- contexts ----------------------------------------------------------------------
+
+def fact(src="src", kind="type", dst="dst") -> F.Column:
+    return F.concat(F.col(src), F.lit(" -"), F.col(kind), F.lit("-> "), F.col(dst))
+
+
+def fact_contexts(nodes: DataFrame, edges: DataFrame, limit: int = 50) -> DataFrame:
+    """(id, context) of every node: its definition and its outgoing relationships as
+    facts "src -type-> dst", ordered by type and target. A prompt has room for
+    ``limit`` facts; how many more there are is said at the end. The rank is taken
+    before the shuffle as well (a group limit), so a hub sends ``limit`` rows a task."""
+    from pyspark.sql import Window
+    ranked = edges.withColumn("_k", F.row_number().over(Window.partitionBy("src").orderBy("type", "dst"))).where(F.col("_k") <= limit)
+    facts = ranked.groupBy(F.col("src").alias("id")).agg(F.array_sort(F.collect_list(F.struct("_k", fact().alias("f")))).alias("_f"))
+    total = edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("_n"))
+    more = F.when(F.col("_n") > limit, F.concat(F.lit(" (and "), (F.col("_n") - limit).cast("string"), F.lit(" more)"))).otherwise(F.lit(""))
+    text = F.concat(F.array_join(F.transform("_f", lambda s: s["f"]), "; "), more)
+    return nodes.join(facts.join(total, "id"), "id", "left").select(
+        "id", F.concat(F.coalesce("definition", F.lit("")), F.lit(". "), F.coalesce(text, F.lit(""))).alias("context"))

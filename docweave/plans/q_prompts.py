@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from docweave.functions import templates as TP
 from docweave.functions import text as tx
+from docweave.operators import graph as G
 from docweave.plans import sqlgen as S
 from docweave.plans.q_graph import KG, tpch_graph
 from docweave.plans.registry import register
@@ -77,33 +78,46 @@ def render_prompts(t):
     return j.select("type", "question", prompt.alias("prompt"))
 
 
+_CONTEXTS = """
+ranked AS (SELECT src, type, dst, row_number() OVER (PARTITION BY src ORDER BY type, dst) AS k, count(*) OVER (PARTITION BY src) AS n FROM edges),
+facts AS (SELECT src, string_agg(src || ' -' || type || '-> ' || dst, '; ' ORDER BY k)
+                 || CASE WHEN any_value(n) > 50 THEN ' (and ' || (any_value(n) - 50) || ' more)' ELSE '' END AS facts FROM ranked WHERE k <= 50 GROUP BY src),
+ctx AS (SELECT n.id, coalesce(n.definition, '') || '. ' || coalesce(f.facts, '') AS context FROM nodes n LEFT JOIN facts f ON f.src = n.id)"""
+
+
 @register("kg_prompt", f"""
-WITH {KG}, {_TEMPLATES_SQL},
-cnt AS (SELECT src, type, count(*) AS n FROM edges GROUP BY src, type),
-facts AS (SELECT src, string_agg(type || ': ' || n, '; ' ORDER BY type) AS facts FROM cnt GROUP BY src),
-ctx AS (SELECT n.id, coalesce(n.definition, '') || '. ' || coalesce(f.facts, '') AS context
-        FROM nodes n LEFT JOIN facts f ON f.src = n.id WHERE n.category = 'customer')
+WITH {KG}, {_TEMPLATES_SQL}, {_CONTEXTS}
 SELECT id, {_sql_fill('(SELECT template FROM tpl WHERE name = ' + S.q('definition') + ')',
                        {'context': 'context', 'concept': 'id'})} AS prompt FROM ctx
 """)
 def kg_prompt(t):
-    """per customer concept, a context of its definition and its
-    relationship counts by type (aggregated map-side; never a list of all
-    targets), rendered with the definition template."""
-    nodes, edges = tpch_graph(t)
-    cnt = edges.groupBy("src", "type").agg(F.count("*").alias("n"))
-    facts = (cnt.groupBy("src")
-             .agg(F.array_sort(F.collect_list(F.struct("type", "n"))).alias("f"))
-             .select(F.col("src").alias("id"),
-                     F.array_join(F.transform("f", lambda s: F.concat(s["type"], F.lit(": "), s["n"].cast("string"))),
-                                  "; ").alias("facts")))
-    cust = nodes.filter(F.col("properties")["category"] == "customer")
-    ctx = cust.join(facts, "id", "left").select(
-        "id", F.concat(F.coalesce("definition", F.lit("")), F.lit(". "), F.coalesce("facts", F.lit(""))).alias("context"))
+    """for every concept, its definition and its relationships as facts
+    "src -type-> dst", rendered with the definition template."""
+    ctx = G.fact_contexts(*tpch_graph(t))
     prompt = TP.fill(F.lit(TP.PROMPT_TEMPLATES["definition"]), {"context": F.col("context"), "concept": F.col("id")})
     return ctx.select("id", prompt.alias("prompt"))
 
 
+@register("test_case_ground_truth", f"""
+WITH {KG}, {_CONTEXTS}
+SELECT 'definition' AS type, 'What is ' || id || '?' AS question, context AS ground_truth FROM ctx
+UNION ALL
+SELECT 'relationship', 'How are ' || e.src || ' and ' || e.dst || ' related?',
+       e.src || ' -' || e.type || '-> ' || e.dst || '. ' || e.src || ': ' || coalesce(a.definition, '') || '. ' || e.dst || ': ' || coalesce(b.definition, '')
+FROM edges e LEFT JOIN nodes a ON a.id = e.src LEFT JOIN nodes b ON b.id = e.dst
+""")
+def test_case_ground_truth(t):
+    """Every generated case with its ground truth as context: a concept's
+    definition and facts, a relationship's fact and both definitions."""
+    nodes, edges = tpch_graph(t)
+    d = G.fact_contexts(nodes, edges).select(F.lit("definition").alias("type"), _definition_question().alias("question"), F.col("context").alias("ground_truth"))
+    text = lambda c: nodes.select(F.col("id").alias(c), F.coalesce("definition", F.lit("")).alias(f"{c}_text"))
+    r = edges.join(text("src"), "src", "left").join(text("dst"), "dst", "left")
+    told = F.concat(G.fact(), *[x for c in ("src", "dst") for x in (F.lit(". "), F.col(c), F.lit(": "), F.coalesce(f"{c}_text", F.lit("")))])
+    asked = F.concat(F.lit("How are "), F.col("src"), F.lit(" and "), F.col("dst"), F.lit(" related?"))
+    return d.unionByName(r.select(F.lit("relationship").alias("type"), asked.alias("question"), told.alias("ground_truth")))
+
+
 @register("render_chat", """
 SELECT conv_id, count(*)::BIGINT AS n_messages,
        string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS chat FROM conversations GROUP BY conv_id
@@ -176,3 +190,49 @@ def _phrases(tok: str, n: int):
     """All runs of ``n`` tokens, joined by spaces."""
     starts = F.when(F.size(tok) >= n, F.sequence(F.lit(1), F.size(tok) - n + 1)).otherwise(F.array().cast("array<int>"))
     return F.transform(starts, lambda i: F.array_join(F.slice(F.col(tok), i, n), " "))
+
+
+_TYPED_NAMES = f"""{_NAMES},
+dict AS (SELECT DISTINCT {S.tokens(S.clean('name'))} AS words
+         FROM (SELECT name FROM names UNION ALL SELECT p_type FROM part UNION ALL SELECT p_brand FROM part))"""
+
+
+@register("concept_spans", f"""
+WITH RECURSIVE {_TYPED_NAMES},
+lines AS (SELECT l_orderkey, string_agg(lower(p_brand) || ' ' || p_name, ', ' ORDER BY l_linenumber, l_partkey) AS parts
+          FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY l_orderkey),
+texts AS (SELECT 'doc:' || doc_id AS text_id, text FROM documents
+          UNION ALL SELECT 'order:' || o_orderkey, 'Order of ' || parts || ' for a customer in ' || n_name || ' of ' || r_name || '.'
+          FROM orders JOIN lines ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+          JOIN region ON r_regionkey = n_regionkey),
+tk AS (SELECT text_id, {S.tokens(S.clean('text'))} AS tok FROM texts),
+pos AS (SELECT text_id, i::INT AS start, tok FROM tk, range(len(tok)) r(i) WHERE tok[i + 1] IN (SELECT words[1] FROM dict)),
+hit AS (SELECT a.text_id, a.start, max(len(d.words))::INT AS n, max_by(array_to_string(d.words, ' '), len(d.words)) AS name
+        FROM pos a JOIN dict d ON d.words[1] = a.tok[a.start + 1] AND a.tok[a.start + 1 : a.start + len(d.words)] = d.words GROUP BY a.text_id, a.start),
+nxt AS (SELECT a.text_id, a.start, min(b.start) AS next FROM hit a LEFT JOIN hit b ON b.text_id = a.text_id AND b.start >= a.start + a.n GROUP BY ALL),
+walk AS (
+  SELECT text_id, min(start) AS start FROM hit GROUP BY text_id
+  UNION ALL SELECT w.text_id, x.next FROM walk w JOIN nxt x ON x.text_id = w.text_id AND x.start = w.start WHERE x.next IS NOT NULL)
+SELECT h.text_id, h.start, h.name FROM walk w JOIN hit h ON h.text_id = w.text_id AND h.start = w.start
+""")
+def concept_spans(t):
+    """Names of regions, nations, parts, their types and brands in documents and
+    in descriptions of orders, leftmost and longest: the type "small" is not found
+    inside the part name "small ring"."""
+    from docweave.operators import concepts
+    one = lambda table, c: table.select(F.col(c).alias("name"))
+    names = one(t.region, "r_name").unionByName(one(t.nation, "n_name"))
+    for c in ("p_name", "p_type", "p_brand"):
+        names = names.unionByName(one(t.part, c))
+    named = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").join(
+        t.part.select("p_partkey", F.concat(F.lower("p_brand"), F.lit(" "), "p_name").alias("label")), F.col("l_partkey") == F.col("p_partkey"))
+    ordered = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "label")))  # an order has few lines
+    lines = named.groupBy("l_orderkey").agg(F.array_join(F.transform(ordered, lambda s: s["label"]), ", ").alias("parts"))
+    places = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
+        t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("c_custkey", "n_name", "r_name")
+    orders = (t.orders.select("o_orderkey", "o_custkey").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+              .join(places, F.col("o_custkey") == F.col("c_custkey"))
+              .select(F.concat(F.lit("order:"), F.col("o_orderkey").cast("string")).alias("text_id"),
+                      F.concat(F.lit("Order of "), "parts", F.lit(" for a customer in "), "n_name", F.lit(" of "), "r_name", F.lit(".")).alias("text")))
+    docs = t.documents.select(F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("text_id"), "text")
+    return concepts.name_spans(docs.unionByName(orders), names)
