@@ -95,7 +95,9 @@ def name_spans(texts: DataFrame, names: DataFrame, text_col: str = "text", name_
     words.select(F.get("words", F.lit(0)).alias("first")).distinct().write.parquet(firsts)
     # through a generator of one row: tokens are made once, not once per window
     tok = texts.select(F.col("text_id").cast("string").alias("text_id"), F.explode(F.array(tx.tokenize(tx.clean_text(text_col)))).alias("tok"))
-    windows = F.transform("tok", lambda w, i: F.struct(w.alias("first"), i.alias("start"), F.slice("tok", i + 1, most).alias("words")))
+    # single elements are read in place; slice() would unpack the whole array for each window
+    cut = (lambda i: F.array_compact(F.array(*[F.get("tok", i + k) for k in range(most)]))) if most <= 32 else (lambda i: F.slice("tok", i + 1, most))
+    windows = F.transform("tok", lambda w, i: F.struct(w.alias("first"), i.alias("start"), cut(i).alias("words")))
     found = (tok.select("text_id", F.explode(windows).alias("w")).select("text_id", "w.*")
              .join(spark.read.parquet(firsts), "first", "left_semi")
              .select("first", F.pmod(F.xxhash64("text_id", "start"), F.lit(SALTS)).cast("int").alias("salt"), F.lit(1).alias("kind"), "text_id", "start", "words"))

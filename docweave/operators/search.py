@@ -107,6 +107,12 @@ def _query_matrix(vectors: pd.Series, dim: int, metric: str) -> np.ndarray:
     return q
 
 
+def _comparable(vec_col: str) -> F.Column:
+    """Not null, and no component null, NaN or infinite."""
+    fine = F.forall(F.col(vec_col).cast("array<double>"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(fine, F.lit(False))
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cosine",
           id_col: str | list[str] = "id", vec_col: str = "values", qid_col: str = "qid",
           qvec_col: str = "values", max_broadcast_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
@@ -125,7 +131,8 @@ def top_k_counted(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: st
     Returns ``qid, rank, <id columns>, score`` with rank 1..k ordered by score
     (descending; ascending distance for euclidean) rounded half-up to 6
     places, then the id columns in the order given. Scores are doubles at full
-    precision. Null vectors and null query vectors match nothing. All vectors
+    precision. Vectors and query vectors that are null or hold null or non-finite
+    components match nothing. All vectors
     and queries must have one length: another one is an error (fit them with
     ``functions.vectors.fit_dimension`` first), so the answer does not depend
     on how the queries fall into blocks. Each partition ships min(k, rows)
@@ -138,11 +145,11 @@ def top_k_counted(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: st
     spark = vectors.sparkSession
     ship_package(spark)
     qsel = (queries.select(F.col(qid_col).alias("qid"), F.col(qvec_col).alias("qv"))
-            .filter(F.col("qv").isNotNull()))
+            .filter(_comparable("qv")))
     qid_type = queries.schema[qid_col].dataType
     schema = T.StructType([T.StructField("qid", qid_type), *(vectors.schema[c] for c in id_cols),
                            T.StructField("score", T.DoubleType()), T.StructField("_key", T.LongType())])
-    vsel = vectors.select(*id_cols, vec_col).filter(F.col(vec_col).isNotNull())
+    vsel = vectors.select(*id_cols, vec_col).filter(_comparable(vec_col))
     # the query set is read once: its length, count and byte size are known
     # before anything is broadcast
     ensure_checkpoint_dir(spark)

@@ -336,3 +336,41 @@ def verify_summary(t):
     """Verified / failed / total, plus the last-namespace-only count."""
     _, summary = store.verify(*_damaged_and_incoming(t))
     return summary
+
+
+def _versioned(t):
+    """Path of a store with the existing vectors as version 1, the upsert as 2."""
+    from docweave.operators import versions
+    path = scratch_path(t.spark, "versioned-store")
+    versions.commit(t.spark, path, _existing(t).select(*_STORE_COLS), 0)
+    incoming = _incoming(t, versions.read(t.spark, path, 1))
+    versions.upsert(t.spark, path, incoming.select(*_STORE_COLS))
+    return path
+
+
+@register("upsert_versioned", f"""
+WITH {_UPSERT_CTES}
+SELECT namespace, id, seq::BIGINT AS seq, dim, round(l1, 6) AS l1 FROM merged
+""")
+def upsert_versioned(t):
+    """The upsert as a new version of immutable files, compacted, read back."""
+    from docweave.operators import versions
+    path = _versioned(t)
+    versions.compact(t.spark, path)
+    return versions.read(t.spark, path).select(
+        "namespace", "id", F.col("seq").cast("bigint").alias("seq"), F.size("values").cast("bigint").alias("dim"),
+        F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + F.abs(x.cast("double"))), 6).alias("l1"))
+
+
+@register("store_version_counts", f"""
+WITH {_UPSERT_CTES}
+SELECT 1::BIGINT AS version, count(*)::BIGINT AS n_vectors, count(DISTINCT namespace)::BIGINT AS n_namespaces FROM ex
+UNION ALL SELECT 2, count(*), count(DISTINCT namespace) FROM merged
+""")
+def store_version_counts(t):
+    """An earlier version stays readable after an upsert."""
+    from docweave.operators import versions
+    path = _versioned(t)
+    count = lambda v: versions.read(t.spark, path, v).agg(
+        F.lit(v).cast("long").alias("version"), F.count(F.lit(1)).alias("n_vectors"), F.count_distinct("namespace").alias("n_namespaces"))
+    return count(1).unionByName(count(2))

@@ -154,3 +154,11 @@ def test_one_id_in_two_namespaces_keeps_both_metadata(spark):
     rows = sorted(search.search_store(st, q, k=2, include_metadata=True).collect(), key=lambda r: r["rank"])
     assert [(r["rank"], r.namespace, r.id, r.metadata) for r in rows] == [(1, "ns0", "a", "first"),
                                                                           (2, "ns1", "a", "second")]
+
+
+def test_vectors_that_are_not_finite_match_nothing(spark):
+    nan, inf = float("nan"), float("inf")
+    vecs = spark.createDataFrame([(1, [1.0, 0.0]), (2, [nan, 1.0]), (3, [None, 1.0]), (4, [inf, 0.0]), (5, [0.0, 1.0]), (6, None)], "id long, values array<float>")
+    qs = spark.createDataFrame([("a", [1.0, 1.0]), ("b", [nan, 0.0]), ("c", [0.0, -inf]), ("d", [None, 1.0])], "qid string, values array<float>")
+    got = [(r.qid, r.rank, r.id) for r in search.top_k(vecs, qs, k=5).orderBy("qid", "rank").collect()]
+    assert got == [("a", 1, 1), ("a", 2, 5)]
