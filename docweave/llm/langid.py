@@ -98,10 +98,11 @@ def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", s
     found = distinct.groupBy("lang").agg(F.sum("size"), F.min(draw)).collect()
     if not found:
         return {"langs": []}
+    # one short row a language, which the driver holds already: small enough to broadcast
     share = min(sample_bytes, TOTAL_BYTES // len(found))
     langs = sorted(r[0] for r in found)
     limits = labelled.sparkSession.createDataFrame([(r[0], float(max(share / r[1], r[2]))) for r in found], "lang string, most double")  # the smallest draw is always in
-    sample = usable.join(limits, "lang").where(draw <= F.col("most")).groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    sample = usable.join(F.broadcast(limits), "lang").where(draw <= F.col("most")).groupBy("lang", "hash").agg(F.min("text").alias("text"))
     counts = count_grams(sample, "lang", "text").toPandas()
     code = {x: i for i, x in enumerate(langs)}
     return {"langs": langs, "lang": counts["lang"].map(code).to_numpy(np.int64), "k": counts["k"].to_numpy(np.int64),
