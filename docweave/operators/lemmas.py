@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docweave.session import scratch_path
+
 # Noun suffix substitutions of the WordNet morphology rules,
 # in their usual order (suffix, replacement).
 NOUN_RULES = (
@@ -58,3 +60,16 @@ def apply_lemmas(docs: DataFrame, lemmas: DataFrame, id_col: str = "doc_id",
     return (docs.join(hits, docs[id_col].eqNullSafe(hits["_id"]), "left")
             .withColumn(tokens_col, F.when(F.col("_lemmas").isNull(), F.col(tokens_col)).otherwise(looked_up))
             .drop("_id", "_lemmas"))
+
+
+def lemmatized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dictionary: DataFrame | None = None) -> DataFrame:
+    """(id, tokens): clean tokens without stop words, as lemmas. Token arrays are made
+    once and written, as are the lemmas: the vocabulary, the words of each document
+    and the result read them, not the texts."""
+    from docweave.operators.ingest import with_tokens
+    spark = docs.sparkSession
+    path, found = scratch_path(spark, "tokens"), scratch_path(spark, "lemmas")
+    with_tokens(docs.select(id_col, text_col), text_col).select(id_col, "tokens").write.parquet(path)
+    tokens = spark.read.parquet(path)
+    lemma_table(tokens, dictionary=dictionary).write.parquet(found)
+    return apply_lemmas(tokens, spark.read.parquet(found), id_col=id_col)

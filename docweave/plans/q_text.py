@@ -201,8 +201,22 @@ FROM dtok d
 """)
 def lemmatize(t):
     """Every token replaced by its lemma (a map of its lemmas per document)."""
-    from docweave.operators.lemmas import apply_lemmas, lemma_table
-    d = ingest.with_tokens(t.documents.select("doc_id", "text"))
-    out = apply_lemmas(d, lemma_table(d))
+    from docweave.operators.lemmas import lemmatized
+    out = lemmatized(t.documents)
     return out.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"),
                       F.array_join("tokens", " ").alias("lemma_text"))
+
+
+@register("lemma_chunks", f"""
+WITH {_lemma_ctes()},
+ex AS (SELECT doc_id, unnest(toks) AS word, unnest(generate_series(1, len(toks))) AS p FROM dtok),
+lx AS (SELECT ex.doc_id, ex.p, coalesce(lemd.lemma, ex.word) AS w FROM ex LEFT JOIN lemd USING (word)),
+ltok AS (SELECT doc_id, list(w ORDER BY p) AS toks FROM lx GROUP BY doc_id),
+{S.token_chunks_cte(200, src="ltok")}
+SELECT doc_id, chunk_id, chunk_text FROM chunks
+""")
+def lemma_chunks(t):
+    """F5/J7 in the ingest path: clean, tokens, stop words, lemmas, 200-token chunks."""
+    from docweave.operators.lemmas import lemmatized
+    ch = ingest.chunk_tokens(lemmatized(t.documents), 200)
+    return ch.select("doc_id", F.col("chunk_id").cast("bigint").alias("chunk_id"), "chunk_text")

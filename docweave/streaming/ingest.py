@@ -30,8 +30,8 @@ def stream_ingest(spark: SparkSession, source_dir: str, schema, sink_path: str,
                   file_glob: str | None = None) -> DataFrame:
     """Chunks of every document delivered so far. A document delivered again,
     in the same or a later batch, replaces its chunks: by batch, within a batch
-    by file time, then file name, then text. Rows without doc_id are dropped,
-    as there is nothing that a later delivery could replace."""
+    by file time, then file name, then text. Rows without doc_id are documents of
+    their own, which no later delivery replaces."""
     src = _source(spark, source_dir, schema, file_glob, maxFilesPerTrigger=max_files_per_trigger)
     src = src.select("doc_id", "text", F.struct("_metadata.file_modification_time", "_metadata.file_path",
                                                 F.col("text").alias("t")).alias("_order"))
@@ -40,8 +40,9 @@ def stream_ingest(spark: SparkSession, source_dir: str, schema, sink_path: str,
         last = (batch.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
                 .agg(F.max_by("text", "_order").alias("text")))
         chunks = ingest.ingest_chunks(last, size=chunk_size)
+        unnamed = ingest.ingest_chunks(batch.filter(F.col("doc_id").isNull()), size=chunk_size)
         # a document without chunks keeps one row, so that it replaces an earlier delivery
-        rows = last.select("doc_id").join(chunks, "doc_id", "left")
+        rows = last.select("doc_id").join(chunks, "doc_id", "left").unionByName(unnamed)
         rows.write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
 
     q = (src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
@@ -51,9 +52,11 @@ def stream_ingest(spark: SparkSession, source_dir: str, schema, sink_path: str,
 
 
 def latest_deliveries(sink: DataFrame) -> DataFrame:
-    """The chunks of each document's last batch."""
+    """The chunks of each document's last batch; those without doc_id of every batch."""
+    unnamed = sink.filter(F.col("doc_id").isNull() & F.col("chunk_id").isNotNull()).drop("batch_id")
     last = sink.groupBy("doc_id").agg(F.max("batch_id").alias("batch_id"))
-    return sink.join(last, ["doc_id", "batch_id"]).filter(F.col("chunk_id").isNotNull()).drop("batch_id")
+    return sink.join(last, ["doc_id", "batch_id"]).filter(
+        F.col("chunk_id").isNotNull()).drop("batch_id").unionByName(unnamed)
 
 
 def stream_dedup(spark: SparkSession, source_dir: str, schema, keys: list[str], ts_col: str,

@@ -27,9 +27,9 @@ def test_stream_ingest_replaces_a_document_delivered_again(spark, tmp_path):
         spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(src)
         return SI.stream_ingest(spark, src, schema, str(tmp_path / "sink"), str(tmp_path / "ckpt"))
 
-    deliver((1, "alpha beta"), (2, "gamma"), (3, "delta"), (None, "lost"))
+    deliver((1, "alpha beta"), (2, "gamma"), (3, "delta"), (None, "unnamed"))
     out = deliver((1, "omega"), (2, ""), (1, "omega"))
-    assert sorted((r.doc_id, r.chunk_id, r.chunk_text) for r in out.collect()) == [(1, 0, "omega"), (3, 0, "delta")]
+    assert sorted(((r.doc_id, r.chunk_id, r.chunk_text) for r in out.collect()), key=str) == [(1, 0, "omega"), (3, 0, "delta"), (None, 0, "unnamed")]
 
 
 def test_stream_dedup_does_not_depend_on_batches(spark, tmp_path):
@@ -57,3 +57,15 @@ def test_registered_streams_read_tables_of_part_files(spark, tmp_path, query, ta
     run = queries()[query]
     want = sorted(map(str, run(spark, SF_SMALL).collect()))
     assert want and sorted(map(str, run(spark, str(tmp_path)).collect())) == want
+
+
+def test_documents_without_an_id_are_kept(spark, tmp_path):
+    from docweave.streaming import ingest as SI
+    rows = [(1, "alpha beta"), (None, "gamma"), (None, "delta"), (1, "alpha beta"), (2, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    run = lambda: sorted((r.doc_id or 0, r.chunk_text) for r in SI.stream_ingest(
+        spark, str(tmp_path / "in"), df.schema, str(tmp_path / "sink"), str(tmp_path / "ck")).collect())
+    assert run() == [(0, "delta"), (0, "gamma"), (1, "alpha beta")]
+    df.filter("doc_id IS NULL").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    assert run() == [(0, "delta"), (0, "delta"), (0, "gamma"), (0, "gamma"), (1, "alpha beta")]
