@@ -1,20 +1,19 @@
 """Knowledge graph as two tables: nodes(id, definition, properties, verified)
 and edges(src, dst, type).
 
-Traversals are level-synchronous joins (frontier x edges, anti join with
-what was already reached). Each hop's result is written as a reliable
-checkpoint in the shared checkpoint directory, so the visited set is a flat
-union of checkpointed pieces and a lost executor recomputes at most one
-hop. The driver only asks whether the frontier is empty.
+Traversals are level-synchronous joins: expansion on bit masks of sources
+(``operators.reach``), paths with predecessor tables (``operators.paths``).
+Each hop's result is a reliable checkpoint in the shared checkpoint directory,
+so a lost executor recomputes at most one hop.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.session import ensure_checkpoint_dir
+from docweave.operators import reach
+from docweave.operators.paths import paths_between, shortest_paths  # noqa: F401
 
 def empty_props() -> F.Column:
     return F.create_map().cast("map<string,string>")
@@ -99,96 +98,15 @@ def context(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return with_rel.unionByName(without)
 
 
-def _hop_table(e: DataFrame) -> DataFrame:
-    """The edge table every hop joins against, kept (memory, spilling to
-    disk) so its lineage is not recomputed per hop; lost blocks are rebuilt
-    from that lineage. It is deliberately not pre-partitioned: each hop's
-    join then reads both sides from shuffles, which lets AQE split the
-    partition of a hub node (skew join) - or broadcast a small frontier, in
-    which case the edges are not shuffled at all."""
-    return e.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def expand(sources: DataFrame, edges: DataFrame, max_depth: int, reverse: bool = False,
-           checkpoint_every: int = 1) -> DataFrame:
+def expand(sources: DataFrame, edges: DataFrame, max_depth: int, reverse: bool = False) -> DataFrame:
     """Multi-source breadth-first expansion.
 
     sources(source, node) -> (source, node, depth, type) for every node first
     reached at ``depth`` (1..max_depth) with the type of the edge that
-    reached it (smallest type if several). The start nodes are not listed."""
-    spark = sources.sparkSession
-    ensure_checkpoint_dir(spark)
-    a, b = ("dst", "src") if reverse else ("src", "dst")
-    e = _hop_table(edges.select(F.col(a).alias("_from"), F.col(b).alias("_to"), "type"))
-    # the start set is materialised once: every hop's anti join reads it
-    visited = sources.select("source", "node").distinct().checkpoint(eager=True)
-    frontier = visited
-    found = None
-    for depth in range(1, max_depth + 1):
-        step = (frontier.join(e, frontier["node"] == e["_from"])
-                .select("source", F.col("_to").alias("node"), "type"))
-        step = step.join(visited, ["source", "node"], "left_anti")
-        step = step.groupBy("source", "node").agg(F.min("type").alias("type")) \
-                   .withColumn("depth", F.lit(depth))
-        if depth % checkpoint_every == 0:
-            step = step.checkpoint(eager=True)
-        if step.isEmpty():
-            break
-        found = step if found is None else found.unionByName(step)
-        # a union of checkpointed pieces: its lineage stays flat, no extra job
-        visited = visited.unionByName(step.select("source", "node"))
-        frontier = step.select("source", "node")
-    e.unpersist()  # every kept step is checkpointed: nothing below depends on it
-    if found is None:
-        return sources.sparkSession.createDataFrame(
-            [], "source string, node string, type string, depth int")
-    return found.select("source", "node", "type", F.col("depth").cast("int"))
-
-
-def shortest_paths(sources: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
-    """Shortest directed paths from each source to every node within
-    ``max_depth`` hops; among equally short paths the one whose text
-    ("a -type-> b -type-> c") is smallest. Returns (source, node, depth,
-    path_text, path array<struct<src,type,dst>>). A source's path to itself
-    is the empty path (depth 0)."""
-    spark = sources.sparkSession
-    ensure_checkpoint_dir(spark)
-    e = _hop_table(edges.select(F.col("src").alias("_from"), F.col("dst").alias("_to"), "type"))
-    hop = F.struct(F.col("node").alias("src"), F.col("type"), F.col("_to").alias("dst"))
-    start = sources.select("source", F.col("source").alias("node"),
-                           F.col("source").alias("path_text"),
-                           F.array().cast("array<struct<src:string,type:string,dst:string>>").alias("path"),
-                           F.lit(0).alias("depth")).distinct().checkpoint(eager=True)
-    visited = start.select("source", "node")
-    frontier = start
-    out = start
-    for depth in range(1, max_depth + 1):
-        step = frontier.join(e, frontier["node"] == e["_from"]).select(
-            "source", F.col("_to").alias("node_new"),
-            F.concat_ws("", "path_text", F.lit(" -"), "type", F.lit("-> "), "_to").alias("path_text"),
-            F.concat("path", F.array(hop)).alias("path"))
-        step = step.withColumnRenamed("node_new", "node").join(visited, ["source", "node"], "left_anti")
-        best = (step.groupBy("source", "node")
-                .agg(F.min(F.struct("path_text", "path")).alias("_b"))
-                .select("source", "node", F.col("_b.path_text").alias("path_text"),
-                        F.col("_b.path").alias("path"), F.lit(depth).alias("depth"))
-                .checkpoint(eager=True))
-        if best.isEmpty():
-            break
-        out = out.unionByName(best)
-        visited = visited.unionByName(best.select("source", "node"))
-        frontier = best
-    e.unpersist()
-    return out.select("source", "node", F.col("depth").cast("int"), "path_text", "path")
-
-
-def paths_between(pairs: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
-    """pairs(start, end) -> (start, end, depth, path_text, path): the shortest
-    path of each pair; empty with depth 0 where both are the same, null where
-    the end is unknown or not reached within ``max_depth`` hops."""
-    found = shortest_paths(pairs.select(F.col("start").alias("source")).distinct(), edges, max_depth)
-    return (pairs.select("start", "end").distinct()
-            .join(found.withColumnsRenamed({"source": "start", "node": "end"}), ["start", "end"], "left"))
+    reached it (smallest type if several). The start nodes are not listed. Runs on
+    bit masks (``operators.reach``), unpacked here at the end."""
+    reached, numbers = reach.expand_masks(sources, edges, max_depth, reverse)
+    return reach.unpacked(reached, numbers).select("source", "node", "type", F.col("depth").cast("int"))
 
 
 def lookup(nodes: DataFrame, requested: DataFrame, id_col: str = "id") -> DataFrame:
