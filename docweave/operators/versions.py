@@ -55,18 +55,22 @@ def manifest(spark: SparkSession, path: str, version: int | None = None) -> Data
     return spark.read.schema("ns string, commit string").parquet(f"{path}/manifests/{name}")
 
 
-def read(spark: SparkSession, path: str, version: int | None = None, namespace: str | None = None) -> DataFrame:
-    """The rows of a version; only files of its commits, and of one namespace if
-    given, are listed as input (filters on the folders)."""
+def read(spark: SparkSession, path: str, version: int | None = None, namespace: str | None = None,
+         prefix: str | None = None) -> DataFrame:
+    """The rows of a version; only files of its commits, and of one namespace or those
+    with a prefix if given, are listed as input (filters on the folders)."""
+    version = current_version(spark, path) if version is None else version
     m = manifest(spark, path, version)
+    wanted = F.lit(True)
     if namespace is not None:
-        m = m.where(F.col("ns") == _ns(F.lit(namespace)))
+        wanted = F.col("ns") == _ns(F.lit(namespace))
+    elif prefix is not None:
+        wanted = F.col("ns").startswith(_ns(F.lit(prefix)))
+    m = m.where(wanted)
     commits = [r[0] for r in m.select("commit").distinct().collect()]
-    if not commits and not current_version(spark, path):
+    if not commits and not version:
         raise ValueError("the store has no version")
-    rows = spark.read.parquet(f"{path}/data").where(F.col("commit").isin(commits))
-    if namespace is not None:
-        rows = rows.where(F.col("ns") == _ns(F.lit(namespace)))
+    rows = spark.read.parquet(f"{path}/data").where(F.col("commit").isin(commits)).where(wanted)
     return rows.join(m, ["commit", "ns"], "left_semi").drop("commit", "ns")
 
 
@@ -82,9 +86,11 @@ def _publish(spark: SparkSession, path: str, version: int, name: str) -> None:
         raise Conflict(f"version {version} was made by another writer")
 
 
-def commit(spark: SparkSession, path: str, rows: DataFrame, base: int, keep: bool = True, files_per_namespace: int = 1) -> int:
+def commit(spark: SparkSession, path: str, rows: DataFrame, base: int, keep: bool = True, files_per_namespace: int = 1,
+           replaced: DataFrame | None = None) -> int:
     """Make version ``base`` + 1: ``rows`` are the whole content of their namespaces,
-    all other namespaces of ``base`` stay (or none, without ``keep``)."""
+    all other namespaces of ``base`` stay (or none, without ``keep``), but for those of
+    ``replaced`` (namespace), which may have become empty."""
     if base != current_version(spark, path):
         raise Conflict(f"version {base} is not the last one")
     name = "c" + uuid.uuid4().hex
@@ -93,7 +99,8 @@ def commit(spark: SparkSession, path: str, rows: DataFrame, base: int, keep: boo
     dealt.write.partitionBy("ns").parquet(f"{path}/data/commit={name}")
     written = spark.read.parquet(f"{path}/data").where(F.col("commit") == name).select("ns", "commit").distinct()
     if keep and base:
-        written = manifest(spark, path, base).join(written, "ns", "left_anti").unionByName(written)
+        gone = written.select("ns") if replaced is None else written.select("ns").unionByName(replaced.select(_ns("namespace").alias("ns")))
+        written = manifest(spark, path, base).join(gone, "ns", "left_anti").unionByName(written)
     written.select("ns", "commit").write.parquet(f"{path}/manifests/{name}")
     _publish(spark, path, base + 1, name)
     return base + 1

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
 from docweave.operators import graph as G
+from docweave.operators import graphstore as store
 from docweave.operators import reach
 from docweave.plans import sqlgen as S
 from docweave.plans.registry import register
+from docweave.session import scratch_path
 
 _REL = "array<struct<type:string,target:string>>"
 
@@ -27,7 +29,12 @@ def _no_rel():
 
 
 def tpch_graph(t):
-    """(nodes, edges) of the stand-in graph: regions, nations, suppliers,
+    """(nodes, edges) of the stand-in graph (``_inputs``)."""
+    return G.build_graph(*_inputs(t))
+
+
+def _inputs(t):
+    """(concepts, edges beyond theirs) of the stand-in graph: regions, nations, suppliers,
     customers, orders (no definition), parts; edges in_region, in_nation,
     placed, contains, supplied_by."""
     m = F.create_map
@@ -60,7 +67,7 @@ def tpch_graph(t):
     extra = (t.orders.select(_key("customer", "o_custkey").alias("src"), _key("order", "o_orderkey").alias("dst"),
                              L("placed").alias("type"))
              .unionByName(li_edges))
-    return G.build_graph(concepts, extra)
+    return concepts, extra
 
 
 KG = """
@@ -361,6 +368,74 @@ def kg_pattern_lookup(t):
     return c.join(e1, "customer").join(n, "nid").join(e2, "nid").join(r, "rid").select("customer", "nation", "region")
 
 
+def _stored(t):
+    """The graph in a store, by three merges: everything; then customers without an
+    order again as prospects, and the parts that were returned with the edge to their
+    supplier told anew; last, late rows with a number that is too small to count."""
+    path = scratch_path(t.spark, "graph")
+    concepts, extra = _inputs(t)
+    store.merge(t.spark, path, concepts.withColumn("seq", F.lit(1)), extra.withColumn("seq", F.lit(1)))
+    idle = t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti")
+    prospects = idle.select(_key("customer", "c_custkey").alias("concept"), F.col("c_name").alias("definition"),
+                            F.create_map(F.lit("category"), F.lit("prospect")).alias("properties"),
+                            _no_rel().alias("relationships"), F.lit(2).alias("seq"))
+    back = t.lineitem.where(F.col("l_returnflag") == "R").select(
+        _key("part", "l_partkey").alias("src"), _key("supplier", "l_suppkey").alias("dst"),
+        F.lit("returned_to").alias("type"), F.lit(2).alias("seq"))
+    store.merge(t.spark, path, prospects, back)
+    late = t.nation.select(_key("nation", "n_nationkey").alias("src"), _key("region", "n_regionkey").alias("dst"),
+                           F.lit("once_in").alias("type"), F.lit(0).alias("seq"))
+    store.merge(t.spark, path, None, late)
+    return path
+
+
+_STORED = f"""
+{KG},
+idle AS (SELECT 'customer:' || c_custkey AS id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)),
+back AS (SELECT DISTINCT 'part:' || l_partkey AS src, 'supplier:' || l_suppkey AS dst FROM lineitem WHERE l_returnflag = 'R'),
+snodes AS (SELECT n.id, n.definition, CASE WHEN i.id IS NOT NULL THEN 'prospect' ELSE coalesce(n.category, 'default') END AS category
+           FROM nodes n LEFT JOIN idle i USING (id)),
+sedges AS (SELECT e.src, e.dst, CASE WHEN b.src IS NOT NULL THEN 'returned_to' ELSE e.type END AS type
+           FROM edges e LEFT JOIN back b USING (src, dst))
+"""
+
+
+@register("kg_store_merge", f"""
+WITH {_STORED}
+SELECT id, NULL::VARCHAR AS dst, category AS label, definition FROM snodes
+UNION ALL SELECT src, dst, type, NULL FROM sedges
+""")
+def kg_store_merge(t):
+    """The stored graph after merges that come again, change a type or a category,
+    and come too late."""
+    path = _stored(t)
+    n = store.nodes(t.spark, path).select("id", F.lit(None).cast("string").alias("dst"), G.node_group().alias("label"), "definition")
+    return n.unionByName(store.edges(t.spark, path).select(F.col("src").alias("id"), "dst", F.col("type").alias("label"),
+                                                           F.lit(None).cast("string").alias("definition")))
+
+
+@register("kg_pattern_chain", f"""
+WITH {_STORED}
+SELECT o.id AS "order", p.src AS part, p.dst AS supplier, e.dst AS nation
+FROM snodes o JOIN edges c ON c.src = o.id AND c.type = 'contains'
+JOIN sedges p ON p.src = c.dst AND p.type = 'returned_to'
+JOIN sedges e ON e.src = p.dst AND e.type = 'in_nation' WHERE o.category = 'default'
+UNION ALL
+SELECT NULL, n.src, n.dst, r.dst FROM snodes s JOIN sedges n ON n.src = s.id AND n.type = 'in_nation'
+JOIN sedges r ON r.src = n.dst AND r.type = 'in_region' WHERE s.category = 'prospect'
+""")
+def kg_pattern_chain(t):
+    """Chains in the stored graph, (order)-[contains]->()-[returned_to]->()-[in_nation]->()
+    and (prospect)-[in_nation]->(nation)-[in_region]->(): only those types' and categories'
+    folders are read, and semi joins drop what has no match before anything is joined.
+    The second kind is shown as part, supplier and nation of a null order."""
+    path = _stored(t)
+    long = store.match_pattern(t.spark, path, ["contains", "returned_to", "in_nation"], ["default", None, None, None])
+    short = store.match_pattern(t.spark, path, ["in_nation", "in_region"], ["prospect", "nation", None])
+    return long.toDF("order", "part", "supplier", "nation").unionByName(
+        short.toDF("part", "supplier", "nation").select(F.lit(None).cast("string").alias("order"), "part", "supplier", "nation"))
+
+
 @register("chunk_nodes", f"""
 WITH {S.doc_tokens_cte()}, {S.token_chunks_cte(200)}, {S.hashed_vectors_ctes('chunks', 'doc_id, chunk_id', 'chunk_text')},
 sig AS (SELECT doc_id, chunk_id, count_if(v <> 0)::BIGINT AS nnz FROM h_vec GROUP BY ALL)
