@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
-from docweave.operators import ingest
+from docweave.operators import ingest, pagechunks
 from docweave.plans import sqlgen as S
 from docweave.plans.registry import register
 
@@ -133,6 +133,17 @@ def assemble_document(t):
     return ingest.assemble_documents(pages)
 
 
+@register("page_chunks", f"""
+WITH {S.doc_tokens_cte(text_col="replace(text, chr(10), '')")}, {S.token_chunks_cte(200)}
+SELECT doc_id, chunk_id, chunk_text FROM chunks
+""")
+def page_chunks(t):
+    """S5 with F3: 200-token chunks over the pages of each document (one line = one page,
+    glued with no separator) without ever gluing a document."""
+    ch = pagechunks.chunk_pages(ingest.split_pages(t.documents), 200)
+    return ch.select("doc_id", F.col("chunk_id").cast("bigint").alias("chunk_id"), "chunk_text")
+
+
 @register("ingest_quarantine", f"""
 WITH {S.doc_tokens_cte()}
 SELECT doc_id, CASE WHEN len(toks) = 0 THEN 'error' ELSE 'ok' END AS status,
