@@ -7,9 +7,9 @@ Plan shape (many queries, ``top_k``):
     query--> shuffle of <= k*Q rows per partition on qid --> window rank.
 
 The query side is broadcast only after its row count and vector length, and
-so its bytes, were counted; larger query sets are processed in query blocks, each of which is
-one more scan of the vectors (no vector is ever replicated or broadcast, no
-query x vector pair is materialised as a row).
+so its bytes, were counted; larger query sets stay on the executors
+(``operators.tiled``). No vector is broadcast, no query x vector pair is
+materialised as a row.
 """
 
 from __future__ import annotations
@@ -161,26 +161,15 @@ def top_k_counted(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: st
     if stats.lo != d:
         raise ValueError(f"query vectors of {stats.lo} and of {d} values: fit them first")
     block = max(1, min(max_broadcast_queries, MAX_BROADCAST_BYTES // (8 * d + 64)))
-    if nq <= block:
-        query_blocks = [qstable.toPandas()]
-    else:
-        # too many queries for one broadcast: block by block
-        nblocks = -(-nq // block)
-        keyed = qstable.withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(nblocks)))
-        query_blocks = (keyed.filter(F.col("_qb") == b).drop("_qb").toPandas()
-                        for b in range(nblocks))
-        # every block scans the vectors once: materialise (ids, values) so an
-        # encoder upstream runs once, not once per block
-        vsel = vsel.checkpoint(eager=True)
-    parts = []
-    for qpdf in query_blocks:
-        if qpdf.empty:
-            continue
-        bq = spark.sparkContext.broadcast((list(qpdf["qid"]), _query_matrix(qpdf["qv"], d, metric)))
-        parts.append(vsel.mapInPandas(_partial_topk_fn(bq, k, metric, id_cols, vec_col, d), schema))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
+    if nq > block:   # too many queries for one broadcast: both sides in tiles
+        from docweave.operators import tiled
+        index = tiled.build(vsel, metric, id_cols, vec_col)
+        if index is None:
+            return _empty_result(spark, vectors, queries, id_cols, qid_col), nq
+        return tiled.top_k(index, qstable, k, qvec_col="qv")[0].withColumnRenamed("qid", qid_col), nq
+    qpdf = qstable.toPandas()
+    bq = spark.sparkContext.broadcast((list(qpdf["qid"]), _query_matrix(qpdf["qv"], d, metric)))
+    cand = vsel.mapInPandas(_partial_topk_fn(bq, k, metric, id_cols, vec_col, d), schema)
     best_first = [F.col("_key").desc(), *(F.col(c).asc() for c in id_cols)]
     salted = Window.partitionBy("qid", "_salt").orderBy(*best_first)
     w = Window.partitionBy("qid").orderBy(*best_first)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
 from docweave.functions import vectors as vx
-from docweave.operators import ingest, search, store
+from docweave.operators import ingest, search, store, tiled
 from docweave.operators.vectorops import mean_vectors, signature
 from docweave.plans import sqlgen as S
 from docweave.plans.registry import register
@@ -153,6 +153,24 @@ def topk_multi(t):
                       F.round("score", 4).alias("score"))
 
 
+@register("topk_tiled", """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings WHERE embedding IS NOT NULL),
+q AS (SELECT vec_id AS query_id, v AS qv FROM e WHERE vec_id % 20 = 0),
+sc AS (SELECT query_id, vec_id, list_cosine_similarity(qv, v) AS score FROM q CROSS JOIN e),
+rk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY floor(score * 1e6 + 0.5) DESC, vec_id) AS rank FROM sc)
+SELECT query_id, rank::BIGINT AS rank, vec_id, round(score, 4) AS score FROM rk WHERE rank <= 10
+""")
+def topk_tiled(t):
+    """The ten nearest of all vectors for each whose id is divisible by 20,
+    both sides tiled on the executors."""
+    index = tiled.build(t.embeddings, "cosine", "vec_id", "embedding", pivots=64)
+    if index is None:
+        return t.spark.createDataFrame([], "query_id bigint, rank bigint, vec_id bigint, score double")
+    queries = t.embeddings.where(F.col("vec_id") % 20 == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+    res, _ = tiled.top_k(index, queries, 10, "query_id", "embedding")
+    return res.select("query_id", F.col("rank").cast("bigint").alias("rank"), "vec_id", F.round("score", 4).alias("score"))
+
+
 @register("topk_single", """
 WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x,
                   unnest(generate_series(0, len(embedding) - 1)) AS pos FROM embeddings),
