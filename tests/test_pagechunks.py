@@ -2,6 +2,7 @@
 import random
 
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from docweave.operators import ingest, pagechunks
@@ -21,7 +22,7 @@ def test_page_breaks(spark):
     rows = [(1, 1, "alpha be"), (1, 2, "ta"), (1, 3, "gam"), (1, 4, "ma delta "), (1, 5, " epsilon"), (1, 6, None), (1, 7, "zeta can"),
             (1, 8, "not!? the"), (1, 9, "ory\tend."),
             (2, 1, "!!!"), (2, 2, ""), (2, 3, " "), (3, 1, None),       # nothing to chunk
-            (4, 2, "twice same"), (4, 2, "twice same"), (4, 1, "b"), (4, 1, "a"),   # repeated page numbers
+            (4, 9, "far apart"), (4, 3, "b "), (4, 1, "a"), (4, 4, ""), (4, 4, "!"),
             (None, 1, "no id ei"), (None, 2, "ther"), (5, 1, "oneword"), (6, 1, "ΑΣ ΟΔΟΣ"), (6, 2, "Α X")]
     for size in (1, 2, 200):
         got, want = both(spark, rows, size)
@@ -42,6 +43,8 @@ def test_empty_and_refused(spark):
     assert pagechunks.chunk_pages(empty).count() == 0
     with pytest.raises(ValueError):
         pagechunks.chunk_pages(empty, 0)
+    with pytest.raises(SparkRuntimeException, match="two pages"):
+        pagechunks.chunk_pages(spark.createDataFrame([(1, 2, "a b"), (1, 2, "c d")], SCHEMA)).count()
 
 
 def test_pages_of_one_document_are_spread(spark):
