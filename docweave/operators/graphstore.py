@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.operators import graph, versions
-from docweave.session import ensure_checkpoint_dir
+from docweave.session import ensure_checkpoint_dir, scratch_path
 
 _KEY = ["_edge", "id", "_dst"]
 _COLS = ["namespace", "id", "dst", "definition", "properties", "seq"]
@@ -96,6 +96,29 @@ def merge(spark: SparkSession, path: str, concepts: DataFrame | None = None, edg
                            files_per_namespace=files_per_namespace, replaced=touched)
 
 
+_STORED: dict[tuple, str] = {}
+
+
+def stored_once(spark: SparkSession, sources: list[str], inputs, files_per_namespace: int = 1) -> str:
+    """The path of a store with the graph of ``inputs()`` (concepts, edges), both with a
+    seq, written by the first caller of an application and read by the others. It is
+    written anew when the size or the time of a path of ``sources`` has changed (a file's
+    own, a folder's as of its last file), or the store has gone."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    state = []
+    for source in sources:
+        where = jvm.org.apache.hadoop.fs.Path(source)
+        status = where.getFileSystem(conf).getFileStatus(where)
+        state.append((source, status.getLen(), status.getModificationTime()))
+    key = (spark.sparkContext.applicationId, *state)
+    path = _STORED.get(key)
+    if path is None or not versions.current_version(spark, path):
+        path = scratch_path(spark, "graph")
+        merge(spark, path, *inputs(), files_per_namespace=files_per_namespace)
+        _STORED[key] = path
+    return path
+
+
 def _read(spark: SparkSession, path: str, version: int | None, **which) -> DataFrame:
     version = versions.current_version(spark, path) if version is None else version
     if not version:   # nothing was merged yet

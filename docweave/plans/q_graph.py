@@ -28,9 +28,23 @@ def _no_rel():
     return F.array().cast(_REL)
 
 
+_SOURCES = ("region", "nation", "supplier", "customer", "orders", "part", "lineitem")
+
+
+def graph_path(t):
+    """Where the stand-in graph (``_inputs``) is stored: written by the first query of an
+    application that needs it."""
+    def inputs():
+        return tuple(frame.withColumn("seq", F.lit(1)) for frame in _inputs(t))
+    sources = [f"{t.sf_dir.rstrip('/')}/{name}.parquet" for name in _SOURCES]
+    # as many files a folder as a shuffle has partitions, at most: small ones are coalesced
+    return store.stored_once(t.spark, sources, inputs, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def tpch_graph(t):
-    """(nodes, edges) of the stand-in graph (``_inputs``)."""
-    return G.build_graph(*_inputs(t))
+    """(nodes, edges) of the stored graph."""
+    path = graph_path(t)
+    return store.nodes(t.spark, path), store.edges(t.spark, path)
 
 
 def _inputs(t):
@@ -100,7 +114,7 @@ SELECT id, definition, coalesce(category, 'default') AS category, n_props::BIGIN
 """)
 def kg_build_nodes(t):
     """Declared concepts plus undeclared edge endpoints."""
-    nodes, _ = tpch_graph(t)
+    nodes, _ = G.build_graph(*_inputs(t))
     return nodes.select("id", "definition", G.node_group().alias("category"),
                         F.size("properties").cast("bigint").alias("n_props"), "verified")
 
@@ -108,7 +122,7 @@ def kg_build_nodes(t):
 @register("kg_build_edges", f"WITH {KG} SELECT src, dst, type FROM edges")
 def kg_build_edges(t):
     """One edge per (src, dst), last write wins on the type."""
-    return tpch_graph(t)[1]
+    return G.build_graph(*_inputs(t))[1]
 
 
 @register("kg_node_groups", f"""
@@ -357,15 +371,13 @@ JOIN nodes n ON n.id = e1.dst JOIN edges e2 ON e2.src = n.id AND e2.type = 'in_r
 JOIN nodes r ON r.id = e2.dst WHERE c.category = 'customer'
 """)
 def kg_pattern_lookup(t):
-    """Pattern (customer)-[in_nation]->(nation)-[in_region]->(region)
-    answered with filters and equi joins."""
-    nodes, edges = tpch_graph(t)
-    c = nodes.filter(G.node_group() == "customer").select(F.col("id").alias("customer"))
-    e1 = edges.filter(F.col("type") == "in_nation").select(F.col("src").alias("customer"), F.col("dst").alias("nid"))
-    e2 = edges.filter(F.col("type") == "in_region").select(F.col("src").alias("nid"), F.col("dst").alias("rid"))
-    n = nodes.select(F.col("id").alias("nid"), F.col("definition").alias("nation"))
-    r = nodes.select(F.col("id").alias("rid"), F.col("definition").alias("region"))
-    return c.join(e1, "customer").join(n, "nid").join(e2, "nid").join(r, "rid").select("customer", "nation", "region")
+    """Pattern (customer)-[in_nation]->(nation)-[in_region]->(region) in the stored
+    graph: the folders of two types and three categories are read, no other edge."""
+    path = graph_path(t)
+    found = store.match_pattern(t.spark, path, ["in_nation", "in_region"], ["customer", "nation", "region"])
+    n, r = (store.nodes(t.spark, path, kind).select("id", F.col("definition").alias(kind)) for kind in ("nation", "region"))
+    return (found.join(n, F.col("n1") == n["id"]).join(r, F.col("n2") == r["id"])
+            .select(F.col("n0").alias("customer"), "nation", "region"))
 
 
 def _stored(t):

@@ -41,3 +41,18 @@ def stream_dedup(t):
                           scratch_path(t.spark, "dedup-sink"), scratch_path(t.spark, "dedup-ckpt"),
                           file_glob=glob)
     return out.select("user_id", "event_type")
+
+
+@register("stream_windows", """
+SELECT user_id, event_type, epoch(date_trunc('hour', ts))::BIGINT AS hour_start,
+       epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) AS last_us FROM events GROUP BY ALL
+""")
+def stream_windows(t):
+    """X2 with bounded state: one row per user, event type and hour, whatever the batches
+    and however late the rows."""
+    source, glob = _files_of(t, "events")
+    out = SI.stream_windows(t.spark, source, t.events.schema, ["user_id", "event_type"], "ts", "1 hour",
+                            scratch_path(t.spark, "windows-store"), scratch_path(t.spark, "windows-ckpt"),
+                            file_glob=glob, files_per_day=int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    return out.select("user_id", "event_type", F.unix_timestamp("window_start").alias("hour_start"),
+                      F.unix_micros("first_ts").alias("first_us"), F.unix_micros("last_ts").alias("last_us"))

@@ -4,7 +4,11 @@
   functions as the batch path -> ``foreachBatch`` writes each micro-batch
   into ``<sink>/batch_id=<n>`` with overwrite, so a replayed batch (after a
   failure, the checkpoint makes Spark re-run it) replaces its own output; readers
-  take each document's last batch, so a document delivered again is upserted.
+  take each document's last batch, so a document delivered again is upserted. Old
+  batches are folded into a versioned store (``streaming.folding``), so the sink holds
+  a bounded number of folders.
+* ``stream_windows``: one row per key and window of event time, however late; the
+  state is the result itself, in a folder for each day.
 * ``stream_dedup``: ids that arrive more than once, exactly or within a watermark.
 """
 
@@ -13,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.operators import ingest
+from docweave.operators import ingest, versions
+from docweave.streaming import folding
 
 
 def _source(spark: SparkSession, source_dir: str, schema, file_glob: str | None, **opts) -> DataFrame:
@@ -27,8 +32,9 @@ def _source(spark: SparkSession, source_dir: str, schema, file_glob: str | None,
 
 def stream_ingest(spark: SparkSession, source_dir: str, schema, sink_path: str, checkpoint: str,
                   chunk_size: int = 200, max_files_per_trigger: int = 1000,
-                  file_glob: str | None = None) -> DataFrame:
-    """Chunks of every document delivered so far. A document delivered again,
+                  file_glob: str | None = None, fold_after: int = 64) -> DataFrame:
+    """Chunks of every document delivered so far; ``fold_after`` batches that wait in
+    folders of their own are folded into the sink's store before the next is written. A document delivered again,
     in the same or a later batch, replaces its chunks: by batch, within a batch
     by file time, then file name, then text. Rows without doc_id are documents of
     their own, which no later delivery replaces."""
@@ -37,6 +43,7 @@ def stream_ingest(spark: SparkSession, source_dir: str, schema, sink_path: str,
                                                 F.col("text").alias("t")).alias("_order"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        folding.fold_if_many(spark, sink_path, batch_id, fold_after)
         last = (batch.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
                 .agg(F.max_by("text", "_order").alias("text")))
         chunks = ingest.ingest_chunks(last, size=chunk_size)
@@ -48,15 +55,49 @@ def stream_ingest(spark: SparkSession, source_dir: str, schema, sink_path: str,
     q = (src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return latest_deliveries(spark.read.parquet(sink_path))
-
+    return folding.read(spark, sink_path)
+
+
+def stream_windows(spark: SparkSession, source_dir: str, schema, keys: list[str], ts_col: str, window: str,
+                   path: str, checkpoint: str, file_glob: str | None = None, max_files_per_trigger: int = 1000,
+                   files_per_day: int = 1) -> DataFrame:
+    """(keys, window_start, first_ts, last_ts): repeats of a key within a window of event
+    time become one row. Nothing is kept in executors' memory and no row is too late:
+    a batch merges into the folders of the days that it has rows of, as one commit of a
+    versioned store. Minimum and maximum do not change when a batch is merged twice, so
+    neither failures nor the cut into batches change the result. Rows without a time
+    have the window null, a null key is a key."""
+    src = timestamp_col(_source(spark, source_dir, schema, file_glob, maxFilesPerTrigger=max_files_per_trigger), ts_col)
+    group = ["namespace", *keys, "window_start"]
+    start = F.window(F.col(ts_col), window)["start"]
+    # F.window drops rows without a time, so those get theirs by hand
+    timed = src.where(F.col(ts_col).isNotNull()).select(*keys, start.alias("window_start"), ts_col)
+    untimed = src.where(F.col(ts_col).isNull()).select(*keys, F.lit(None).cast("timestamp").alias("window_start"), ts_col)
+    day = F.coalesce(F.date_format("window_start", "yyyy-MM-dd"), F.lit("none"))
+    rows = timed.unionByName(untimed).select(
+        day.alias("namespace"), *keys, "window_start", F.col(ts_col).alias("first_ts"), F.col(ts_col).alias("last_ts"))
+
+    def merged(frame: DataFrame) -> DataFrame:
+        return frame.groupBy(*group).agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
 
-def latest_deliveries(sink: DataFrame) -> DataFrame:
-    """The chunks of each document's last batch; those without doc_id of every batch."""
-    unnamed = sink.filter(F.col("doc_id").isNull() & F.col("chunk_id").isNotNull()).drop("batch_id")
-    last = sink.groupBy("doc_id").agg(F.max("batch_id").alias("batch_id"))
-    return sink.join(last, ["doc_id", "batch_id"]).filter(
-        F.col("chunk_id").isNotNull()).drop("batch_id").unionByName(unnamed)
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        fresh = merged(batch).checkpoint(eager=True)
+        if fresh.isEmpty():
+            return
+        base = versions.current_version(spark, path)
+        if base:
+            days = fresh.select("namespace").distinct()
+            kept = versions.read(spark, path, base).join(days, "namespace", "left_semi")
+            fresh = merged(fresh.unionByName(kept.select(*fresh.columns)))
+        versions.commit(spark, path, fresh.withColumn("id", F.xxhash64(*keys, "window_start").cast("string")), base,
+                        files_per_namespace=files_per_day)
+
+    q = (rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if not versions.current_version(spark, path):
+        return spark.createDataFrame([], rows.drop("namespace").schema)
+    return versions.read(spark, path).select(*keys, "window_start", "first_ts", "last_ts")
 
 
 def stream_dedup(spark: SparkSession, source_dir: str, schema, keys: list[str], ts_col: str,

@@ -75,3 +75,21 @@ def test_chains_match_brute_force(spark):
     assert S.match_chain([frames[0].limit(0), frames[1]], [None] * 3).count() == 0
     with pytest.raises(ValueError):
         S.match_chain(frames, [None])
+
+
+def test_stored_once_per_state_of_its_sources(spark, tmp_path):
+    source, calls = tmp_path / "t.parquet", []
+    spark.createDataFrame([("a", "b", "p")], "src string, dst string, type string").write.parquet(str(source))
+
+    def inputs():
+        calls.append(1)
+        return spark.createDataFrame([], CONCEPT), spark.read.parquet(str(source)).selectExpr("*", "1 AS seq")
+
+    path = S.stored_once(spark, [str(source)], inputs)
+    assert S.stored_once(spark, [str(source)], inputs) == path and len(calls) == 1
+    spark.createDataFrame([("b", "c", "q")], "src string, dst string, type string").write.mode("append").parquet(str(source))
+    again = S.stored_once(spark, [str(source)], inputs)
+    assert again != path and len(calls) == 2
+    assert shown(spark, again)[1] == {("a", "b"): "p", ("b", "c"): "q"}
+    plan = S.edges(spark, again, "q")._jdf.queryExecution().executedPlan().toString()
+    assert any("PartitionFilters" in line and "(ns#" in line and "= n_edge:q" in line for line in plan.splitlines())
