@@ -121,3 +121,8 @@ def plugin_encoder(factory, dim: int):
             yield pd.Series(list(out))
 
     return _encode
+
+
+def encoder_name(dim: int = DEFAULT_DIM, max_tokens: int | None = None) -> str:
+    """The built-in encoder's identity: vectors of equal names may be compared."""
+    return f"hashed-md5-{dim}" + (f"-first{max_tokens}" if max_tokens else "")

@@ -168,6 +168,76 @@ def case_metrics(pairs: DataFrame) -> DataFrame:
                         F.round(f1, 6).alias("f1"))
 
 
+def token_overlap(pairs: DataFrame, key: list[str], question: str = "question", response: str = "response") -> DataFrame:
+    """(key, n_question, n_response, n_shared): token counts of both texts, a token that
+    comes twice in both counting twice. One row per key and token after a partial
+    aggregate in the task that read the text, so neither long texts nor frequent tokens
+    meet in one place."""
+    side = lambda col, n: pairs.select(*key, F.explode(tx.tokenize(tx.clean_text(col))).alias("_t"), F.lit(n).alias("_q"))
+    each = side(question, 1).unionByName(side(response, 0)).groupBy(*key, "_t").agg(
+        F.sum("_q").alias("q"), F.sum(1 - F.col("_q")).alias("r"))
+    return each.groupBy(*key).agg(F.sum("q").alias("n_question"), F.sum("r").alias("n_response"),
+                                  F.sum(F.least("q", "r")).alias("n_shared"))
+
+
+def case_summary(pairs: DataFrame, case_type: F.Column) -> DataFrame:
+    """Per case type: cases, share of exact matches, mean token precision, recall and F1
+    (by counts; 0 where a text has no token), and the share of cases under F1 0.5. Pairs
+    are told apart by (conv_id, turn)."""
+    key = ["conv_id", "turn"]
+    cases = pairs.select(*key, case_type.alias("case_type"),
+                         F.coalesce(tx.clean_text("question") == tx.clean_text("response"), F.lit(False)).alias("exact"))
+    j = cases.join(token_overlap(pairs, key), key, "left")
+    n = F.coalesce("n_shared", F.lit(0))
+    p, rc = _ratio(n, F.col("n_response")), _ratio(n, F.col("n_question"))
+    j = j.select("case_type", "exact", p.alias("p"), rc.alias("rc"), _ratio(2 * n, F.col("n_question") + F.col("n_response")).alias("f1"))
+    mean = lambda c: F.round(F.avg(c), 6)
+    return j.groupBy("case_type").agg(
+        F.count(F.lit(1)).alias("n_cases"), mean(F.col("exact").cast("double")).alias("exact_share"), mean("p").alias("precision"),
+        mean("rc").alias("recall"), mean("f1").alias("f1"), mean((F.col("f1") < 0.5).cast("double")).alias("low_share"))
+
+
+#: The plan's criteria: name, limit, whether the value has to reach it (or stay within it).
+CRITERIA = (
+    ("concept_coverage", 1.0, True), ("isolated_nodes", 0.0, False), ("verified_relationships", 1.0, True),
+    ("definition_gap", 0.15, False), ("relationship_gap", 0.20, False), ("mean_response_s", 2.0, False), ("uptime", 0.95, True))
+
+
+def success_criteria(nodes: DataFrame, edges: DataFrame, runs: DataFrame, times: DataFrame, calls: DataFrame, custom: str,
+                     comparison: str, definition_types: list[str], relationship_types: list[str], timed_model: str) -> DataFrame:
+    """(criterion, value, threshold, met), one row for each of ``CRITERIA``.
+
+    Coverage: share of nodes with a definition. Isolated: nodes without any edge. A
+    relationship is verified if both its ends are nodes with a definition. Gaps: absolute
+    difference of both models' accuracy over the query types of that kind. Response time:
+    mean of ``timed_model``; it has to be under its limit. Uptime: share of ``calls`` (ok
+    boolean) that are ok. Without rows to judge by, the value is null and nothing is met."""
+    share = lambda ok: F.avg(F.coalesce(ok, F.lit(False)).cast("double"))
+    defined = nodes.where(F.col("definition").isNotNull()).select("id")
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    known = lambda end: defined.select(F.col("id").alias(end), F.lit(True).alias(f"_{end}"))
+    checked = edges.join(known("src"), "src", "left").join(known("dst"), "dst", "left")
+    right = lambda model, types: F.avg(F.when((F.col("model") == model) & F.col("query_type").isin(types), F.col("correct").cast("double")))
+    gap = lambda types: F.abs(right(custom, types) - right(comparison, types))
+    found = [nodes.agg(share(F.col("definition").isNotNull()).alias("concept_coverage")),
+             nodes.join(ends, "id", "left_anti").agg(F.count(F.lit(1)).cast("double").alias("isolated_nodes")),
+             checked.agg(share(F.col("_src") & F.col("_dst")).alias("verified_relationships")),
+             runs.agg(gap(definition_types).alias("definition_gap"), gap(relationship_types).alias("relationship_gap")),
+             times.where(F.col("model") == timed_model).agg(F.avg("response_time").alias("mean_response_s")),
+             calls.agg(share(F.col("ok")).alias("uptime"))]
+    limits = {name: (limit, least) for name, limit, least in CRITERIA}
+    out = None
+    for one in found:   # one row each
+        rows = F.array(*[F.struct(F.lit(c).alias("criterion"), F.col(c).alias("value"), F.lit(limits[c][0]).alias("threshold"),
+                                  F.lit(limits[c][1]).alias("_least")) for c in one.columns])
+        rows = one.select(F.explode(rows).alias("r")).select("r.*")
+        out = rows if out is None else out.unionByName(rows)
+    met = (F.when(F.col("_least"), F.col("value") >= F.col("threshold"))
+           .when(F.col("criterion") == "mean_response_s", F.col("value") < F.col("threshold"))
+           .otherwise(F.col("value") <= F.col("threshold")))
+    return out.select("criterion", F.round("value", 6).alias("value"), "threshold", F.coalesce(met, F.lit(False)).alias("met"))
+
+
 def response_checks(pairs: DataFrame) -> DataFrame:
     q = F.array_distinct(tx.remove_stopwords(tx.tokenize(tx.clean_text("question"))))
     r = F.array_distinct(tx.remove_stopwords(tx.tokenize(tx.clean_text("response"))))

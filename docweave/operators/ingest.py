@@ -50,11 +50,13 @@ def chunk_chars(docs: DataFrame, size: int = 1000, overlap: int = 200, id_col: s
 
 
 def embed_texts(df: DataFrame, text_col: str = "chunk_text", out_col: str = "values",
-                dim: int = vx.DEFAULT_DIM, max_tokens: int | None = None) -> DataFrame:
+                dim: int = vx.DEFAULT_DIM, max_tokens: int | None = None, encoder_col: str | None = None) -> DataFrame:
     """Built-in hashed encoder over already cleaned, space-joined text, whole
-    unless ``max_tokens`` gives an input window."""
+    unless ``max_tokens`` gives an input window. ``encoder_col``: a column with the
+    encoder's name, for a store that holds vectors of several."""
     toks = F.filter(F.split(F.col(text_col), " "), lambda t: t != F.lit(""))
-    return df.withColumn(out_col, vx.embed_tokens(toks, dim, max_tokens))
+    out = df.withColumn(out_col, vx.embed_tokens(toks, dim, max_tokens))
+    return out if encoder_col is None else out.withColumn(encoder_col, F.lit(vx.encoder_name(dim, max_tokens)))
 
 
 def ingest_chunks(docs: DataFrame, size: int = 200, id_col: str = "doc_id", text_col: str = "text",

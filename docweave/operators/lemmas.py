@@ -62,14 +62,21 @@ def apply_lemmas(docs: DataFrame, lemmas: DataFrame, id_col: str = "doc_id",
             .drop("_id", "_lemmas"))
 
 
-def lemmatized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dictionary: DataFrame | None = None) -> DataFrame:
-    """(id, tokens): clean tokens without stop words, as lemmas. Token arrays are made
-    once and written, as are the lemmas: the vocabulary, the words of each document
-    and the result read them, not the texts."""
+def lemmatized_with_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                          dictionary: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """((id, tokens), (word, lemma)): clean tokens without stop words, as lemmas, and the
+    table they were made with. Token arrays are made once and written, as are the lemmas:
+    the vocabulary, the words of each document and the result read them, not the texts."""
     from docweave.operators.ingest import with_tokens
     spark = docs.sparkSession
     path, found = scratch_path(spark, "tokens"), scratch_path(spark, "lemmas")
     with_tokens(docs.select(id_col, text_col), text_col).select(id_col, "tokens").write.parquet(path)
     tokens = spark.read.parquet(path)
     lemma_table(tokens, dictionary=dictionary).write.parquet(found)
-    return apply_lemmas(tokens, spark.read.parquet(found), id_col=id_col)
+    lemmas = spark.read.parquet(found)
+    return apply_lemmas(tokens, lemmas, id_col=id_col), lemmas
+
+
+def lemmatized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dictionary: DataFrame | None = None) -> DataFrame:
+    """(id, tokens) of ``lemmatized_with_table``."""
+    return lemmatized_with_table(docs, id_col, text_col, dictionary)[0]

@@ -31,6 +31,7 @@ MAX_BROADCAST_HITS = 1_000_000  # hit ids (k x queries) shipped to a semi join
 # the key are broken by id.
 KEY_SCALE = 1e6
 _MAX_CELLS = 4_000_000  # score-matrix cells per block product (~32 MB)
+MAX_ENCODERS = 64
 _RANK_SALTS = 32  # tasks that share the candidates of one query before its last rank
 
 
@@ -212,6 +213,34 @@ def top_k_single(vectors: DataFrame, query_vec: DataFrame, k: int = 5, metric: s
     return res.select("rank", id_col, "score")
 
 
+def top_k_by_encoder(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cosine",
+                     id_col: str | list[str] = "id", vec_col: str = "values", qid_col: str = "qid",
+                     qvec_col: str = "values", encoder_col: str = "encoder") -> DataFrame:
+    """``top_k`` in a store of several encoders: every row names the encoder its vector
+    comes from, and a query meets the vectors of its own encoder only, whatever their
+    length. A query of no or of an unknown encoder is refused, as its scores would mean
+    nothing; vectors without an encoder are met by nobody. Query ids are unique over
+    all encoders. The names come to the driver, at most ``MAX_ENCODERS`` of them; each
+    encoder's search is a filter on the store (a folder where it is partitioned by it)."""
+    names = [r[0] for r in queries.select(encoder_col).distinct().limit(MAX_ENCODERS + 1).collect()]
+    if len(names) > MAX_ENCODERS:
+        raise ValueError(f"queries of more than {MAX_ENCODERS} encoders")
+    there = {r[0] for r in vectors.where(F.col(encoder_col).isin([n for n in names if n is not None]))
+             .select(encoder_col).distinct().collect()}
+    if set(names) - there:
+        raise ValueError(f"no vector comes from the queries' encoder: {sorted(map(str, set(names) - there))}")
+    out = None
+    for name in sorted(names):
+        mine = F.col(encoder_col) == F.lit(name)
+        hits = top_k(vectors.where(mine), queries.where(mine), k, metric, id_col, vec_col, qid_col, qvec_col)
+        hits = hits.withColumn(encoder_col, F.lit(name))
+        out = hits if out is None else out.unionByName(hits)
+    if out is None:   # no query
+        ids = [id_col] if isinstance(id_col, str) else list(id_col)
+        out = _empty_result(queries.sparkSession, vectors, queries, ids, qid_col).withColumn(encoder_col, F.lit(""))
+    return out
+
+
 def format_matches(matches: DataFrame, score_col: str = "score") -> DataFrame:
     """Score as text with 4 decimals, as a match listing prints it."""
     return matches.withColumn("score_text", F.format_string("%.4f", F.col(score_col).cast("double")))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
 from docweave.functions import vectors as vx
-from docweave.operators import ingest, search, store, tiled
+from docweave.operators import ingest, lemmas, search, store, tiled
 from docweave.operators.vectorops import mean_vectors, signature
 from docweave.plans import sqlgen as S
 from docweave.plans.registry import register
@@ -89,6 +89,65 @@ def semantic_search(t):
                       F.round("score", 4).alias("score"))
 
 
+def _lemma_search_sql() -> str:
+    from docweave.plans.q_text import _lemma_ctes
+    exploded = "SELECT {k}, unnest(toks) AS word, unnest(generate_series(1, len(toks))) AS p FROM {s}"
+    return f"""
+WITH {_lemma_ctes()},
+ex AS ({exploded.format(k='doc_id', s='dtok')}),
+ltok AS (SELECT doc_id, list(coalesce(lemd.lemma, ex.word) ORDER BY p) AS toks FROM ex LEFT JOIN lemd USING (word) GROUP BY doc_id),
+{S.token_chunks_cte(200, src="ltok")},
+cv AS (SELECT doc_id::VARCHAR || '_chunk_' || chunk_id::VARCHAR AS id, chunk_text FROM chunks),
+{S.hashed_vectors_ctes('cv', 'id', 'chunk_text', prefix='h')},
+qtok AS (SELECT item_id, {S.drop_stop(S.tokens(S.clean('text')))} AS toks FROM benchmark),
+qx AS ({exploded.format(k='item_id', s='qtok')}),
+qt AS (SELECT item_id, string_agg(coalesce(lemd.lemma, qx.word), ' ' ORDER BY p) AS qt FROM qx LEFT JOIN lemd USING (word) GROUP BY item_id),
+{S.hashed_vectors_ctes('qt', 'item_id', 'qt', prefix='g')},
+cn AS (SELECT id, sqrt(sum(v * v)) AS n FROM h_vec GROUP BY id),
+qn AS (SELECT item_id, sqrt(sum(v * v)) AS n FROM g_vec GROUP BY item_id),
+dp AS (SELECT g.item_id, h.id, sum(h.v * g.v) AS d FROM h_vec h JOIN g_vec g USING (b) GROUP BY ALL),
+sc AS (SELECT dp.item_id, dp.id, d / (cn.n * qn.n) AS score FROM dp JOIN cn USING (id) JOIN qn USING (item_id)),
+rk AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, id) AS rank FROM sc)
+SELECT item_id, rank::BIGINT AS rank, id, round(score, 4) AS score FROM rk WHERE rank <= 5
+"""
+
+
+@register("semantic_search_lemmas", _lemma_search_sql())
+def semantic_search_lemmas(t):
+    """Flagship: clean, tokens, stop words, noun lemmas, 200-token chunks, vectors; the
+    benchmark texts go the same way with the documents' lemma table; top 5 by cosine."""
+    docs, table = lemmas.lemmatized_with_table(t.documents)
+    chunks = ingest.chunk_tokens(docs, 200)
+    vec = ingest.embed_texts(chunks.select(F.concat_ws("_chunk_", "doc_id", "chunk_id").alias("id"), "chunk_text"))
+    asked = ingest.with_tokens(t.benchmark.select("item_id", "text")).select("item_id", "tokens")
+    asked = lemmas.apply_lemmas(asked, table, id_col="item_id")
+    qv = ingest.embed_texts(asked.select("item_id", F.array_join("tokens", " ").alias("qt")), text_col="qt")
+    res = search.top_k(vec.select("id", "values"), qv.select("item_id", "values"), k=5, id_col="id", qid_col="item_id")
+    return res.select("item_id", F.col("rank").cast("bigint").alias("rank"), "id", F.round("score", 4).alias("score"))
+
+
+@register("topk_by_encoder", _SEARCH_SQL + """,
+e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(generate_series(1, len(embedding))) AS pos FROM embeddings),
+en AS (SELECT vec_id, sqrt(sum(x * x)) AS n FROM e GROUP BY vec_id),
+ed AS (SELECT a.vec_id AS q, b.vec_id AS v, sum(a.x * b.x) AS d FROM e a JOIN e b USING (pos) WHERE a.vec_id % 20 = 0 GROUP BY ALL),
+es AS (SELECT q, 'vec:' || v AS id, d / (x.n * y.n) AS score FROM ed JOIN en x ON x.vec_id = q JOIN en y ON y.vec_id = v),
+er AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(score, 6) DESC, id) AS rank FROM es)
+SELECT 'hashed-md5-64' AS encoder, 'item:' || item_id AS qid, rank::BIGINT AS rank, id, round(score, 4) AS score FROM rk WHERE rank <= 5
+UNION ALL SELECT 'given-64', 'vec:' || q, rank, id, round(score, 4) FROM er WHERE rank <= 5
+""")
+def topk_by_encoder(t):
+    """K5 in one store of two encoders, of one length: hashed document chunks and the given
+    embeddings. Texts are searched among chunks, every 20th given vector among the given."""
+    given = t.embeddings.select(F.concat(F.lit("vec:"), "vec_id").alias("id"), F.col("embedding").alias("values"),
+                                F.lit("given-64").alias("encoder"))
+    made = chunk_vectors(t).select("id", "values", F.lit(vx.encoder_name()).alias("encoder"))
+    texts = query_vectors(t).select(F.concat(F.lit("item:"), "item_id").alias("qid"), "values", F.lit(vx.encoder_name()).alias("encoder"))
+    asked = t.embeddings.where(F.col("vec_id") % 20 == 0).select(F.concat(F.lit("vec:"), "vec_id").alias("qid"),
+                                                                 F.col("embedding").alias("values"), F.lit("given-64").alias("encoder"))
+    res = search.top_k_by_encoder(made.unionByName(given), texts.unionByName(asked), k=5)
+    return res.select("encoder", "qid", F.col("rank").cast("bigint").alias("rank"), "id", F.round("score", 4).alias("score"))
+
+
 @register("retrieve_with_sources", _SEARCH_SQL + """,
 hit AS (SELECT rk.item_id, rk.rank, cv.chunk_text, d.source FROM rk
         JOIN cv USING (id) JOIN documents d ON d.doc_id = cv.doc_id WHERE rk.rank <= 5)
