@@ -97,12 +97,15 @@ def chunk_pages(pages: DataFrame, size: int = 200, id_col: str = "doc_id", stop_
     units = cut.where("n > 0").select(id_col, "page_no", F.lit(1).alias("part"), "words", "n").unionByName(broken)
     placed = _running(units, id_col, ["page_no", "part"], "n", "at")
     lo, hi = F.floor(F.col("at") / size), F.floor((F.col("at") + F.col("n") - 1) / size)
-    tokens = F.split("words", " ")
-    slices = placed.withColumn("tokens", tokens).withColumn("chunk", F.explode(F.sequence(lo, hi)))
-    begin = F.greatest(F.col("chunk") * size - F.col("at"), F.lit(0))
-    end = F.least((F.col("chunk") + 1) * size - F.col("at"), F.col("n"))
-    slices = slices.select(id_col, F.col("chunk").cast("int").alias("chunk_id"), "at",
-                           F.array_join(F.slice("tokens", (begin + 1).cast("int"), (end - begin).cast("int")), " ").alias("part"))
+
+    def part(chunk):   # a page's tokens stay in their row; only the slices leave it
+        begin = F.greatest(chunk * size - F.col("at"), F.lit(0))
+        end = F.least((chunk + 1) * size - F.col("at"), F.col("n"))
+        return F.struct(chunk.cast("int").alias("chunk_id"),
+                        F.array_join(F.slice("tokens", (begin + 1).cast("int"), (end - begin).cast("int")), " ").alias("part"))
+
+    slices = (placed.withColumn("tokens", F.split("words", " ")).select(id_col, "at", F.explode(F.transform(F.sequence(lo, hi), part)).alias("s"))
+              .select(id_col, "s.chunk_id", "at", "s.part"))
     ordered = F.array_sort(F.collect_list(F.struct("at", "part")))
     return slices.groupBy(id_col, "chunk_id").agg(
         F.array_join(F.transform(ordered, lambda s: s["part"]), " ").alias("chunk_text"))
