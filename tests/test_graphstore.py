@@ -93,3 +93,18 @@ def test_stored_once_per_state_of_its_sources(spark, tmp_path):
     assert shown(spark, again)[1] == {("a", "b"): "p", ("b", "c"): "q"}
     plan = S.edges(spark, again, "q")._jdf.queryExecution().executedPlan().toString()
     assert any("PartitionFilters" in line and "(ns#" in line and "= n_edge:q" in line for line in plan.splitlines())
+
+
+def test_no_task_writes_a_whole_folder(spark, tmp_path):
+    path = str(tmp_path / "g")
+    rows = spark.range(4000).selectExpr("concat('a', id) AS src", "concat('b', id % 7) AS dst", "'p' AS type", "1 AS seq")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")   # as if they were too large to join
+    try:
+        S.merge(spark, path, None, rows)
+        S.merge(spark, path, None, rows.where("src < 'a2'").selectExpr("src", "dst", "'p' AS type", "2 AS seq"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    commits = sorted((tmp_path / "g" / "data").glob("commit=*"))
+    assert len(commits) == 2 and all(len(list(c.glob("ns=n_edge*p/*.parquet"))) > 1 for c in commits)
+    assert S.edges(spark, path).count() == 4000 and S.nodes(spark, path).count() == 4007
