@@ -91,3 +91,35 @@ def test_rebuilt_path_is_the_text(spark):
     for r in rows:
         text = r.path[0].src + "".join(f" -{h.type}-> {h.dst}" for h in r.path)
         assert text == r.path_text and len(r.path) == r.depth and r.path[-1].dst == r.end
+
+
+def test_paths_by_masks_over_words_and_beginnings(spark):
+    """More starts and ends than bits of a word, repeated edges, and a node whose name
+    goes on as an edge's text does: its path is the greater one, its beginning the smaller."""
+    edges = _graph(6, 80, 170)
+    e = spark.createDataFrame(edges + edges[:50], "src string, dst string, type string")
+    pairs = [(f"n{i}", f"n{(7 * i + 11 * j) % 80}") for i in range(80) for j in range(4)]
+    got = {(r.start, r.end): (r.depth, r.path_text) for r in G.paths_between(spark.createDataFrame(pairs, "start string, end string"), e, 4).collect()}
+    want = {}
+    for a, b in pairs:
+        hit = _bfs(edges, a, 4).get(b)
+        want[a, b] = (hit[0], hit[2]) if hit else (None, None)
+    assert got == want and {d for d, _ in want.values()} >= {None, 1, 2, 3, 4}
+    odd = [("a", "x", "p"), ("a", "x -!", "p"), ("x", "z", "q"), ("x -!", "z", "q")]
+    e = spark.createDataFrame(odd + [("z", "y", "p")], "src string, dst string, type string")
+    row = G.paths_between(spark.createDataFrame([("a", "y")], "start string, end string"), e, 4).first()
+    assert row.path_text == min("a -p-> x -q-> z", "a -p-> x -! -q-> z") + " -p-> y"
+
+
+def test_sources_counted_over_words_and_long_lists(spark, monkeypatch):
+    """As counted from the rows, with lists cut short, few and many words, and a start that a source reaches again."""
+    monkeypatch.setattr(reach, "_LIST", 2)
+    edges = _graph(8, 60, 260)
+    e = spark.createDataFrame(edges + edges[:20] + [(None, "n1", "p"), ("n1", None, "p")], "src string, dst string, type string")
+    for many, depths in ((3, (1, 3)), (300, (3,))):
+        starts = [(f"s{i}", f"n{i % 60}") for i in range(many)] + [("s0", "n9"), (None, "n1"), ("s1", None)]
+        src = spark.createDataFrame(starts, "source string, node string")
+        for depth in depths:
+            want = reach.source_counts(reach.expand_masks(src, e, depth)[0])
+            assert sorted(map(tuple, reach.count_sources(src, e, depth).collect())) == sorted(map(tuple, want.collect()))
+    assert reach.count_sources(src.limit(0), e, 1).count() == 0
