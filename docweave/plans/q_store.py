@@ -11,7 +11,7 @@ from docweave.operators.vectorops import signature
 from docweave.plans import sqlgen as S
 from docweave.plans.q_vectors import chunk_vectors
 from docweave.plans.registry import register
-from docweave.session import scratch_path
+from docweave.session import scratch_path, written
 from docweave.sources import json_io
 
 _CH = f"{S.doc_tokens_cte()}, {S.token_chunks_cte(200)}"
@@ -159,8 +159,11 @@ def _existing(t):
 def _incoming(t, existing):
     ch = chunk_vectors(t).select("id", "values")
     emb = _emb_items(t).withColumn("values", vx.fit_dimension("values", 48))
-    run = store.place_incoming(existing, ch.unionByName(emb)).withColumn("seq", F.lit(2))
-    return store.fit_store_dimension(run, STORE_DIM)
+    # the ids are read to place the run, the placed run several times to merge it: both
+    # are written, so that texts are cut and embedded once
+    run = written(ch.unionByName(emb), "incoming")
+    placed = store.place_incoming(existing, run).withColumn("seq", F.lit(2))
+    return written(store.fit_store_dimension(placed, STORE_DIM), "placed")
 
 
 def _existing_and_incoming(t):
@@ -293,7 +296,6 @@ damaged AS (SELECT * FROM merged WHERE namespace <> 'namespace_1')
 
 def _damaged_and_incoming(t):
     existing, incoming = _existing_and_incoming(t)
-    incoming = incoming.checkpoint(eager=True)  # read by the merge and by the comparison
     merged = store.upsert(existing, incoming.select(*_STORE_COLS))
     return merged.filter(F.col("namespace") != "namespace_1"), incoming
 

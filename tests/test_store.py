@@ -106,3 +106,16 @@ def test_one_file_per_namespace_and_a_pruned_read(spark, tmp_path):
     one = spark.read.parquet(path).filter(F.col("namespace") == "namespace_1")
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(namespace" in plan
+
+
+def test_a_run_is_embedded_once(spark, tmp_path):
+    """What is merged comes from written vectors, not from the texts again for each reading."""
+    from docweave.plans import q_store
+    from docweave.plans.registry import Tables
+    docs = [(i, f"word{i} and some other words of a text", "en", "s", 10) for i in range(30)] + [(3, "again", "en", None, 5), (40, None, None, None, 0)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, [float(i)] * 64, 0) for i in range(20)], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    t = Tables(spark, str(tmp_path))
+    existing, incoming = q_store._existing_and_incoming(t)
+    assert not [f for df in (incoming, q_store._merged(t)) for f in df.inputFiles() if "documents.parquet" in f]
+    assert incoming.count() == existing.count() + q_store.chunk_vectors(t).count()
