@@ -1,10 +1,12 @@
 """Names in texts: leftmost-longest matches of a dictionary of names of any
 number of words.
 
-Every text is cut into windows as long as the longest name, one per token, in
-its own row; only windows whose first token begins some name go on (a join with
-the names' first tokens, written first, so that Spark knows their size and
-broadcasts them when they are few). Windows and names are then dealt by first
+Texts are dealt out first, as a table stored as one row group is read by one task.
+Every text is cut into windows as long as the longest name, in its own row; only windows
+whose first token begins some name go on (a join with the names' first tokens, written
+first, so that Spark knows their size and broadcasts them when they are few). A bit set of
+the first tokens' hashes (``FILTER_BITS``, whatever their number) keeps most others from
+being cut at all. Windows and names are then dealt by first
 token and a salt of the text - names are copied to every salt - and sorted, names
 first. A task streams through that: it builds the trie of one first token's
 names, walks it for each window that follows, and lets it go at the next token.
@@ -29,6 +31,7 @@ from docweave.functions import text as tx
 from docweave.session import scratch_path, ship_package
 
 SALTS = 16
+FILTER_BITS = 1 << 16
 
 
 def name_words(names: DataFrame, name_col: str = "name") -> DataFrame:
@@ -81,6 +84,17 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32()), pa.array(names, pa.string())], names=["text_id", "start", "n_words", "name"])
 
 
+def _maybe_first(firsts: DataFrame):
+    """Column -> Column: false only for tokens that are none of ``firsts``. Of the tokens
+    their hashes come to the driver, FILTER_BITS numbers at most."""
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    held = [0] * (FILTER_BITS // 64)
+    for r in firsts.select(slot("first").alias("s")).distinct().collect():
+        held[r.s // 64] |= 1 << (r.s % 64)
+    bits = F.array(*[F.lit(w - (1 << 64) if w >> 63 else w).cast("long") for w in held])
+    return lambda c: F.getbit(F.get(bits, (slot(c) / 64).cast("int")), (slot(c) % 64).cast("int")) == 1
+
+
 def name_spans(texts: DataFrame, names: DataFrame, text_col: str = "text", name_col: str = "name") -> DataFrame:
     """(text_id, start, name): token position (from 0) and words of every match."""
     spark = texts.sparkSession
@@ -94,10 +108,12 @@ def name_spans(texts: DataFrame, names: DataFrame, text_col: str = "text", name_
     firsts = scratch_path(spark, "name-firsts")
     words.select(F.get("words", F.lit(0)).alias("first")).distinct().write.parquet(firsts)
     # through a generator of one row: tokens are made once, not once per window
-    tok = texts.select(F.col("text_id").cast("string").alias("text_id"), F.explode(F.array(tx.tokenize(tx.clean_text(text_col)))).alias("tok"))
+    dealt_texts = texts.select(F.col("text_id").cast("string").alias("text_id"), F.col(text_col).alias("_text")).repartition("text_id", "_text")
+    tok = dealt_texts.select("text_id", F.explode(F.array(tx.tokenize(tx.clean_text("_text")))).alias("tok"))
     # single elements are read in place; slice() would unpack the whole array for each window
     cut = (lambda i: F.array_compact(F.array(*[F.get("tok", i + k) for k in range(most)]))) if most <= 32 else (lambda i: F.slice("tok", i + 1, most))
-    windows = F.transform("tok", lambda w, i: F.struct(w.alias("first"), i.alias("start"), cut(i).alias("words")))
+    maybe = _maybe_first(spark.read.parquet(firsts))
+    windows = F.filter(F.transform("tok", lambda w, i: F.when(maybe(w), F.struct(w.alias("first"), i.alias("start"), cut(i).alias("words")))), lambda w: w.isNotNull())
     found = (tok.select("text_id", F.explode(windows).alias("w")).select("text_id", "w.*")
              .join(spark.read.parquet(firsts), "first", "left_semi")
              .select("first", F.pmod(F.xxhash64("text_id", "start"), F.lit(SALTS)).cast("int").alias("salt"), F.lit(1).alias("kind"), "text_id", "start", "words"))

@@ -62,3 +62,12 @@ def test_contexts_have_a_limit_for_hubs(spark):
     edges = spark.range(60).select(F.lit("hub").alias("src"), F.format_string("x%02d", "id").alias("dst"), F.lit("to").alias("type"))
     got = {r.id: r.context for r in G.fact_contexts(nodes, edges, 3).collect()}
     assert got == {"hub": "the hub. hub -to-> x00; hub -to-> x01; hub -to-> x02 (and 57 more)", "x0": ". "}
+
+
+def test_filter_of_first_tokens_lets_all_of_them_through(spark):
+    from docweave.operators import concepts
+    firsts = spark.createDataFrame([(f"w{i}",) for i in range(300)] + [("é",), ("",)], "first string")
+    maybe = concepts._maybe_first(firsts)
+    assert firsts.where(maybe(F.col("first"))).count() == 302
+    others = spark.createDataFrame([(f"x{i}",) for i in range(2000)], "first string")
+    assert others.where(maybe(F.col("first"))).count() < 60
