@@ -40,15 +40,29 @@ def templates_frame(spark: SparkSession, templates: dict | None = None) -> DataF
     return spark.createDataFrame(sorted(t.items()), "name string, template string")
 
 
+def pieces(template: Column | str) -> Column:
+    """A template cut into texts and ``{slot}`` fields, in order. Made once per template,
+    not per filled row, where templates are a table of their own."""
+    t = F.col(template) if isinstance(template, str) else template
+    masked = F.replace(F.replace(t, F.lit("{{"), F.lit(_OPEN)), F.lit("}}"), F.lit(_CLOSE))
+    found = F.regexp_extract_all(masked, F.lit(r"\{(?:" + "|".join(SLOTS) + r")\}|[^{]+|\{"), F.lit(0))
+    return F.transform(found, lambda p: F.replace(F.replace(p, F.lit(_OPEN), F.lit("{")), F.lit(_CLOSE), F.lit("}")))
+
+
+def fill_pieces(parts: Column | str, values: dict[str, Column]) -> Column:
+    """Every ``{slot}`` replaced by its value (null value -> empty text); a value is
+    never expanded again."""
+    def one(p: Column) -> Column:
+        out = None
+        for slot, val in values.items():
+            out = (F if out is None else out).when(p == F.lit("{" + slot + "}"), F.coalesce(val.cast("string"), F.lit("")))
+        return p if out is None else out.otherwise(p)
+    return F.array_join(F.transform(F.col(parts) if isinstance(parts, str) else parts, one), "")
+
+
 def fill(template: Column | str, values: dict[str, Column]) -> Column:
-    """Replace every ``{slot}`` by its value (null value -> empty text). Braces of a
-    value are masked until the end, so a value is never expanded again."""
-    out = F.col(template) if isinstance(template, str) else template
-    out = F.replace(F.replace(out, F.lit("{{"), F.lit(_OPEN)), F.lit("}}"), F.lit(_CLOSE))
-    for slot, val in values.items():
-        masked = F.replace(F.replace(F.coalesce(val.cast("string"), F.lit("")), F.lit("{"), F.lit(_OPEN)), F.lit("}"), F.lit(_CLOSE))
-        out = F.replace(out, F.lit("{" + slot + "}"), masked)
-    return F.replace(F.replace(out, F.lit(_OPEN), F.lit("{")), F.lit(_CLOSE), F.lit("}"))
+    """Replace every ``{slot}`` of a template by its value (see ``fill_pieces``)."""
+    return fill_pieces(pieces(template), values)
 
 
 def render_messages(role: Column, text: Column) -> Column:

@@ -92,3 +92,12 @@ def test_character_references(spark):
     df = spark.createDataFrame(cases, "t string, want string")
     for r in df.select("t", "want", H.decode_entities(F.col("t")).alias("got")).collect():
         assert r.got == r.want, r.t
+
+
+def test_pieces_of_a_template_are_filled_and_values_stay_as_they_are(spark):
+    from docweave.functions import templates
+    df = spark.createDataFrame([("a{concept}", "x\u0003y\u0004", None)], "context string, concept string, question string")
+    values = {c: F.col(c) for c in df.columns}
+    text = "{{{question}|{concept} {other} {context} }} {concept}\n{"
+    row = df.select(templates.fill_pieces(templates.pieces(F.lit(text)), values).alias("p"), templates.fill(F.lit(None).cast("string"), values).alias("n")).first()
+    assert row.p == "{|x\u0003y\u0004 {other} a{concept} } x\u0003y\u0004\n{" and row.n is None
