@@ -121,6 +121,25 @@ def test_sketch_bounds_the_overlap():
         assert len(np.intersect1d(a, b)) <= most <= min(len(a), len(b))
 
 
+def test_sets_and_sketches_are_moved_small(spark):
+    """A set is moved as its compressed text where that is shorter, a sketch in half bytes; both come back whole."""
+    rnd = np.random.default_rng(2)
+    words = ["".join(chr(97 + c) for c in rnd.integers(0, 26, rnd.integers(2, 9))) for _ in range(400)]
+    rows = [(i, " ".join(words[w] for w in rnd.integers(0, 400, rnd.integers(1, 600)))) for i in range(60)] + [(60, "a " * 5000), (61, "é Ü"), (62, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {jaccard.class_id(s): s for s in (shingles.shingle_set(t) for _, t in rows) if len(s)}
+    classes = spark.createDataFrame([(jaccard.class_id(s), i) for i, t in rows if len(s := shingles.shingle_set(t))], "sid long, rep long")
+    got = {r.sid: bytes(r.set) for r in jaccard.sets_of(docs, classes.select("sid"), classes, "doc_id", "text").collect()}
+    assert {k: shingles.unpack_set(v).tolist() for k, v in got.items()} == {k: s.tolist() for k, s in want.items()}
+    assert 2 * sum(map(len, got.values())) < sum(s.nbytes for s in want.values())
+    assert all(len(v) <= s.nbytes + 1 for v, s in ((got[k], s) for k, s in want.items()))
+    for s in [*want.values(), np.arange(1, 41, dtype=np.uint64), np.arange(1, 400, dtype=np.uint64)]:   # the last two crowd one range
+        plain = shingles.sketch(s)
+        moved = shingles.pack_sketch(plain)
+        assert shingles.unpack_sketch(moved).tolist() == list(plain) and len(moved) <= len(plain) + 1
+    assert len(shingles.pack_sketch(shingles.sketch(rnd.integers(0, 1 << 64, 500, dtype=np.uint64)))) == 65
+
+
 def test_connected_components(spark):
     rnd = random.Random(5)
     edges = [(rnd.randrange(200), rnd.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 340)] + [(7, 7), (None, 3)]
