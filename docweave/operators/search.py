@@ -30,13 +30,16 @@ MAX_BROADCAST_HITS = 1_000_000  # hit ids (k x queries) shipped to a semi join
 # selection and for the final window, so both steps agree exactly; ties on
 # the key are broken by id.
 KEY_SCALE = 1e6
-_MAX_CELLS = 4_000_000  # score-matrix cells per block product (~32 MB)
+_MAX_CELLS = 1_000_000  # score-matrix cells per block product (~8 MB)
+_MOST_KEPT = 400_000  # candidates of a task before they are cut to the best
 MAX_ENCODERS = 64
 _RANK_SALTS = 32  # tasks that share the candidates of one query before its last rank
 
 
 def rank_key(scores: np.ndarray) -> np.ndarray:
-    return np.floor(scores * KEY_SCALE + 0.5).astype(np.int64)
+    key = scores * KEY_SCALE
+    key += 0.5
+    return np.floor(key, out=key).astype(np.int64)   # one copy of the block, not three
 
 
 def _score_matrix(vecs: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
@@ -90,8 +93,9 @@ def _partial_topk_fn(bq, k, metric, id_cols, vec_col, dim):
                     r, c = np.nonzero(np.ones_like(key, dtype=bool))
                 kept.append(ids.iloc[r].reset_index(drop=True).assign(_c=c, _key=key[r, c], score=sc[r, c]))
                 pending += len(r)
-                if pending > 4 * _MAX_CELLS // 10:
-                    kept, pending = [_exact_topk(pd.concat(kept, ignore_index=True), k, id_cols)], 0
+                if pending > max(_MOST_KEPT, 4 * k * nq):
+                    kept = [_exact_topk(pd.concat(kept, ignore_index=True), k, id_cols)]
+                    pending = len(kept[0])
         if not kept:
             return
         best = _exact_topk(pd.concat(kept, ignore_index=True), k, id_cols)

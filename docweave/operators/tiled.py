@@ -128,6 +128,7 @@ def _folders(index: Index, k: int, first: bool):
     def run(batches):
         live = index.counts > 0
         step = max(1, search._MAX_CELLS // (4 * len(index.counts)))
+        most = max(1, search._MAX_CELLS // max(1, index.dim))   # rows of one frame: each has a query's vector
         for whole in batches:
             for lo in range(0, len(whole), step):
                 pdf = whole.iloc[lo:lo + step].reset_index(drop=True)
@@ -146,7 +147,9 @@ def _folders(index: Index, k: int, first: bool):
                     kth = pdf["kth"].to_numpy()[:, None]
                     meets = ~opening & live[None, :] & (np.floor(u * search.KEY_SCALE + 0.5) >= kth)
                 r, c = np.nonzero(meets)
-                yield pd.DataFrame({"qid": pdf["qid"].to_numpy()[r], "qv": pdf["qv"].to_numpy()[r], "folder": c.astype(np.int32)})
+                for at in range(0, len(r), most):
+                    i = r[at:at + most]
+                    yield pd.DataFrame({"qid": pdf["qid"].to_numpy()[i], "qv": pdf["qv"].to_numpy()[i], "folder": c[at:at + most].astype(np.int32)})
     return run
 
 

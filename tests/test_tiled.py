@@ -1,5 +1,6 @@
 """Tiled search against the plain one, which is held against brute force elsewhere."""
 import numpy as np
+import pandas as pd
 import pytest
 
 from docweave.operators import search, tiled
@@ -33,6 +34,18 @@ def test_equals_plain_search(spark, monkeypatch, metric):
         assert sum(met.values()) < 0.5 * 42 * (index.counts > 0).sum()
 
 
+def test_queries_leave_in_frames_of_bounded_size():
+    """However many queries a batch has, one frame holds at most _MAX_CELLS values of their vectors."""
+    rng = np.random.default_rng(4)
+    folders, dim, n = 64, 64, 3000
+    index = tiled.Index("", "cosine", ["id"], "values", dim, tiled._unit(rng.normal(size=(folders, dim))), np.full(folders, 7), np.full(folders, 2.0))
+    q = pd.DataFrame({"qid": np.arange(n), "qv": list(rng.normal(size=(n, dim))), "kth": np.full(n, -1e18)})
+    frames = list(tiled._folders(index, 5, False)(iter([q])))
+    assert max(len(f) for f in frames) * dim <= search._MAX_CELLS
+    met = pd.concat(frames)
+    assert len(met) == n * (folders - 1) and met.groupby("qid").folder.nunique().eq(folders - 1).all()   # all but the opening one
+
+
 def test_few_vectors_and_refusals(spark):
     v, q = data(spark)
     assert tiled.build(v.limit(0)) is None
