@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.operators import graph, versions
-from docweave.session import ensure_checkpoint_dir, scratch_path
+from docweave.session import ROWS_PER_TASK, dealt, ensure_checkpoint_dir, scratch_path, written
 
 _KEY = ["_edge", "id", "_dst"]
 _COLS = ["namespace", "id", "dst", "definition", "properties", "seq"]
@@ -55,14 +55,15 @@ def _incoming(concepts: DataFrame | None, edges: DataFrame | None) -> tuple[Data
     return reduce(DataFrame.unionByName, parts), rows
 
 
-def _winners(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def _winners(nodes: DataFrame, edges: DataFrame, rows: int) -> DataFrame:
     """One row per key: the greatest sequence number (bare last), then the greatest
     namespace, definition and properties. Rows are dealt by key first, so each passes a
     shuffle once, as it is, and both steps of the aggregate run where it lands; edges,
-    the many, are compared without the columns that only nodes have."""
+    the many, are compared without the columns that only nodes have. ``rows`` (concepts
+    and edges) say how many tasks they are dealt to."""
     order = F.struct("seq", "namespace", "definition", F.array_sort(F.map_entries("properties")))
-    n = nodes.repartition("id").groupBy("id").agg(F.max_by(F.struct(*_COLS[:1], *_COLS[2:]), order).alias("w")).select("id", "w.*")
-    e = (edges.select("id", "dst", "seq", "namespace").repartition("id", "dst").groupBy("id", "dst")
+    n = dealt(nodes, rows, "id").groupBy("id").agg(F.max_by(F.struct(*_COLS[:1], *_COLS[2:]), order).alias("w")).select("id", "w.*")
+    e = (dealt(edges.select("id", "dst", "seq", "namespace"), rows, "id", "dst").groupBy("id", "dst")
          .agg(F.max(F.struct("seq", "namespace")).alias("w")).select("id", "dst", "w.*"))
     e = e.withColumn("definition", F.lit(None).cast("string")).withColumn("properties", F.lit(None).cast("map<string,string>"))
     return n.select(*_COLS).unionByName(e.select(*_COLS))
@@ -79,24 +80,32 @@ def merge(spark: SparkSession, path: str, concepts: DataFrame | None = None, edg
     ensure_checkpoint_dir(spark)
     base = versions.current_version(spark, path)
     told = _incoming(concepts, edges)
+    rows = told[1].count() + (0 if concepts is None else concepts.where(F.col("concept").isNotNull()).count())
+    if not rows:
+        return base
     if not base:   # nothing to compare with: written as it comes out of the aggregate
-        if all(rows.isEmpty() for rows in reversed(told)):   # edges first: the ends are theirs, gathered by a shuffle
-            return 0
-        return versions.commit(spark, path, _winners(*told), 0, files_per_namespace=files_per_namespace)
-    incoming = _keyed(_winners(*told)).checkpoint(eager=True)
+        return versions.commit(spark, path, _winners(*told, rows), 0, files_per_namespace=files_per_namespace)
+    # steps are written as files, whose size is known: what is small is broadcast, and the kept rows stay where they are
+    incoming = _keyed(written(_winners(*told, rows), "incoming"))
     kept = _keyed(versions.read(spark, path, base))
+    n_kept = kept.count()
+
+    def beside(frame, keys, how):   # many keys: the kept rows are dealt by them and looked up, not sorted
+        if rows <= ROWS_PER_TASK:
+            return frame.join(keys, _KEY, how)
+        return dealt(frame, n_kept, *_KEY).join(keys.hint("shuffle_hash"), _KEY, how)
+
     # what the kept rows of the incoming keys are, without their payload
-    old = (kept.join(incoming.select(*_KEY), _KEY, "left_semi")
+    old = (beside(kept.select(*_KEY, "namespace", "seq"), incoming.select(*_KEY), "left_semi")
            .select(*_KEY, F.col("namespace").alias("old_namespace"), F.col("seq").alias("old_seq")))
     newer = F.col("old_seq").isNull() | (F.col("seq") >= F.col("old_seq"))
-    new = (incoming.join(old, _KEY, "left")
-           .where(F.col("old_namespace").isNull() | (F.col("seq").isNotNull() & newer))
-           .checkpoint(eager=True))
+    new = written(incoming.join(old, _KEY, "left")
+                  .where(F.col("old_namespace").isNull() | (F.col("seq").isNotNull() & newer)), "new")
     if new.isEmpty():
         return base
-    touched = (new.select(F.explode(F.array("namespace", "old_namespace")).alias("namespace"))
-               .where(F.col("namespace").isNotNull()).distinct().checkpoint(eager=True))
-    rest = kept.join(touched, "namespace", "left_semi").join(new.select(*_KEY), _KEY, "left_anti")
+    touched = written(new.select(F.explode(F.array("namespace", "old_namespace")).alias("namespace"))
+                      .where(F.col("namespace").isNotNull()).distinct(), "touched")
+    rest = beside(kept.join(touched, "namespace", "left_semi"), new.select(*_KEY), "left_anti")
     return versions.commit(spark, path, rest.select(*_COLS).unionByName(new.select(*_COLS)), base,
                            files_per_namespace=files_per_namespace, replaced=touched)
 
@@ -147,14 +156,15 @@ def edges(spark: SparkSession, path: str, type: str | None = None, version: int
 
 # --- patterns ---------------------------------------------------------------------
 
-def match_chain(edge_sets: list[DataFrame], node_sets: list[DataFrame | None]) -> DataFrame:
+def match_chain(edge_sets: list[DataFrame], node_sets: list[DataFrame | None], distinct: bool = False) -> DataFrame:
     """All matches (n0, n1, .., nk) of a chain of k hops: hop i is an edge (src, dst) of
     ``edge_sets[i]``, node i one of ``node_sets[i]`` (id), or any if None.
 
     Each hop's edges are first reduced by semi joins, forwards to those that a match of
     the hops before can reach, then backwards to those that lead to a match of the hops
     after. What is joined at last holds no row without a match, so no step is larger
-    than its edges or the answer."""
+    than its edges or the answer. Edges that come twice count once; ``distinct`` says
+    that none does."""
     if not edge_sets or len(node_sets) != len(edge_sets) + 1:
         raise ValueError("a chain of k hops, k at least 1, has k + 1 nodes")
     ensure_checkpoint_dir(edge_sets[0].sparkSession)
@@ -168,15 +178,16 @@ def match_chain(edge_sets: list[DataFrame], node_sets: list[DataFrame | None]) -
     hops = []
     reachable = None if node_sets[0] is None else ids(node_sets[0])
     for e, after in zip(edge_sets, node_sets[1:]):
-        e = e.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct()
+        e = e.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+        e = e if distinct else e.distinct()
         if reachable is not None:
             e = within(e, "src", reachable)
         if after is not None:
             e = within(e, "dst", ids(after))
-        hops.append(e.checkpoint(eager=True))
+        hops.append(written(e, "hop"))   # files, not a checkpoint: a small hop is seen to be small and broadcast
         reachable = ids(hops[-1], "dst")
     for i in reversed(range(len(hops) - 1)):
-        hops[i] = within(hops[i], "dst", ids(hops[i + 1], "src")).checkpoint(eager=True)
+        hops[i] = written(within(hops[i], "dst", ids(hops[i + 1], "src")), "hop")
     out = hops[0].select(F.col("src").alias("n0"), F.col("dst").alias("n1"))
     for i, e in enumerate(hops[1:], 1):
         out = out.join(e.select(F.col("src").alias(f"n{i}"), F.col("dst").alias(f"n{i + 1}")), f"n{i}")
@@ -189,4 +200,4 @@ def match_pattern(spark: SparkSession, path: str, types: list[str], categories:
     ``categories[i]`` (None: any). Reads the folders of those types and categories."""
     version = versions.current_version(spark, path) if version is None else version   # one for all reads
     return match_chain([edges(spark, path, t, version) for t in types],
-                       [None if c is None else nodes(spark, path, c, version) for c in categories])
+                       [None if c is None else nodes(spark, path, c, version) for c in categories], distinct=True)   # one row per pair

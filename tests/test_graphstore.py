@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from docweave import session
 from docweave.operators import graphstore as S
 from docweave.operators import versions
 
@@ -108,3 +109,26 @@ def test_no_task_writes_a_whole_folder(spark, tmp_path):
     commits = sorted((tmp_path / "g" / "data").glob("commit=*"))
     assert len(commits) == 2 and all(len(list(c.glob("ns=n_edge*p/*.parquet"))) > 1 for c in commits)
     assert S.edges(spark, path).count() == 4000 and S.nodes(spark, path).count() == 4007
+
+
+def test_large_merges_are_dealt_by_rows(spark, tmp_path, monkeypatch):
+    """A task gets about so many rows whatever they compress to, and a merge on the way of
+    large ones (dealt, looked up) gives the graph that one of small ones gives."""
+    rows = spark.range(3000).selectExpr("concat('a', id % 1000) AS src", "concat('b', id) AS dst", "'p' AS type", "1 AS seq")
+    again = rows.where("src < 'a3'").selectExpr("src", "dst", "if(dst < 'b2', 'q', 'p') AS type", "if(src < 'a2', 2, 0) AS seq")
+    small, large = str(tmp_path / "small"), str(tmp_path / "large")
+    for path, most in ((small, session.ROWS_PER_TASK), (large, 100)):
+        monkeypatch.setattr(session, "ROWS_PER_TASK", most)
+        monkeypatch.setattr(S, "ROWS_PER_TASK", most)
+        S.merge(spark, path, None, rows)
+        S.merge(spark, path, None, again)
+    assert shown(spark, small) == shown(spark, large)
+    assert len(list((tmp_path / "large" / "data").glob("commit=*/ns=n_edge*p/*.parquet"))) >= 30
+
+
+def test_dealt_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    frame = spark.range(4000).selectExpr("id", "id % 3 AS k")
+    assert session.dealt(frame, 4000, "id").rdd.getNumPartitions() == 40
+    assert session.dealt(frame, 4000, "k").distinct().count() == 4000
+    assert session.dealt(frame, 50, "id").count() == 4000
