@@ -71,3 +71,16 @@ def test_filter_of_first_tokens_lets_all_of_them_through(spark):
     assert firsts.where(maybe(F.col("first"))).count() == 302
     others = spark.createDataFrame([(f"x{i}",) for i in range(2000)], "first string")
     assert others.where(maybe(F.col("first"))).count() < 60
+
+
+def test_edges_by_source(spark):
+    """Sources with few edges are dealt whole, a hub's edges are not."""
+    edges = spark.createDataFrame([*[("h", "p", f"x{i}") for i in range(9)], ("a", "p", "b"), ("a", "q", "c"), (None, "p", "a")],
+                                  "src string, type string, dst string")
+    nodes = spark.createDataFrame([("h", "hub"), ("a", None), ("b", "end")], "id string, definition string")
+    parts = G.by_source(nodes, edges, 3)
+    assert sorted((r.src, r.dst) for r in parts[1].collect()) == [("a", "b"), ("a", "c")]
+    assert {(r.src, r._n) for r in parts[2].collect()} == {("h", 9)} and parts[2].count() == 9 and parts[3] == 11
+    for given in (None, parts):
+        got = {r.id: r.context for r in G.fact_contexts(nodes, edges, 3, parts=given).collect()}
+        assert got == {"h": "hub. h -p-> x0; h -p-> x1; h -p-> x2 (and 6 more)", "a": ". a -p-> b; a -q-> c", "b": "end. "}
