@@ -13,7 +13,9 @@ Counting is one pass over the texts in built-in functions: runs of five or more
 letters, their checksum, partial sums before the only shuffle of words. What
 follows grows with the distinct words, not with the text. A signature that many
 words have is a key of a sort-merge join, which Spark splits; no group is ever
-gathered, and only near pairs leave the join. A word's form has at least twice
+gathered, and only near pairs leave the join. The joins ask for a sort-merge join:
+Spark takes the signatures (28 rows a word, made in Python) for as small as the
+words' compressed file, and would gather them on the driver to broadcast them. A word's form has at least twice
 its occurrences, so chains of forms are as short as the logarithm of the largest
 count, and roots are found by doubling.
 
@@ -97,7 +99,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     left = signed.select("sig", F.col("word").alias("a"), F.col("n").alias("an"))
     right = signed.select("sig", F.col("word").alias("b"), F.col("n").alias("bn"))
     near = (F.col("a") < F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= 1) & (F.levenshtein("a", "b", 1) == 1)
-    return left.join(right, "sig").where(near).select("a", "an", "b", "bn").distinct()
+    return left.join(right.hint("merge"), "sig").where(near).select("a", "an", "b", "bn").distinct()
 
 
 def last_forms(forms: DataFrame) -> DataFrame:
@@ -105,7 +107,7 @@ def last_forms(forms: DataFrame) -> DataFrame:
     r = materialize(forms.select("word", F.col("form").alias("root")), "spelling-roots")
     while True:
         on = r.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        r = materialize(r.join(on, "root", "left").select(
+        r = materialize(r.join(on.hint("merge"), "root", "left").select(
             "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "spelling-roots")
         if r.where("moved").isEmpty():
             return r.select("word", "root")
@@ -119,12 +121,12 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     pairs = materialize(near_pairs(words), "spelling-pairs")
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("bn").alias("an"), F.col("a").alias("b"), F.col("an").alias("bn")))
     best = both.groupBy(F.col("a").alias("word")).agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("bn")).alias("m"), "b")).alias("best"))
-    out = words.join(best, "word", "left")
+    out = words.join(best.hint("merge"), "word", "left")
     real = -F.col("best.m") >= TIMES * F.col("n")
     out = materialize(out.select("word", F.when(real, F.col("best.b")).alias("form"), "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
                                  F.when(real, -F.col("best.m")).alias("form_n")), "spelling-forms")
     roots = last_forms(out.where("form IS NOT NULL"))
-    return out.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return out.join(roots.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,3 +86,15 @@ def test_chain_of_forms_ends_at_its_root(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_nothing_is_gathered_to_be_broadcast(spark, monkeypatch):
+    made = []
+    materialize = spelling.materialize
+    monkeypatch.setattr(spelling, "materialize", lambda df, name: made.append(df) or materialize(df, name))
+    docs = spark.createDataFrame([(1, "letter letter letters " * 8 + "latter latters " * 3)], "doc_id long, text string")
+    out = spelling.spelling_variants(docs)
+    assert {r.word: r.root for r in out.collect()} == {"letter": "letter", "letters": "letter", "latter": "letter", "latters": "letter"}
+    plans = [df._jdf.queryExecution().sparkPlan().toString() for df in [*made, out]]
+    assert sum("SortMergeJoin" in p for p in plans) >= 4   # signatures, best, roots, result
+    assert not any("Broadcast" in p for p in plans)
