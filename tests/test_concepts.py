@@ -57,6 +57,33 @@ def test_response_checks_by_hand(spark):
     assert [got[5][k] for k in key] == [0, 0, 0, 0, 0, 0.0, 0.0, True]
 
 
+def test_response_checks_in_rounds(spark, monkeypatch):
+    """Edges that pass in rounds give the same sums; ids that come again, or are null, are one response."""
+    edges = spark.createDataFrame([(f"a:{i}", f"b:{i * j % 7}", "contains" if j % 2 else "likes") for i in range(9) for j in range(1, 4) if j == 1 or i * j % 7 != i % 7],
+                                  "src string, dst string, type string").dropDuplicates(["src", "dst"])
+    rows = [(i % 12 if i % 12 else None, f"What of a:{i % 9} and a:{i % 4}?", f"a:{i % 9} contains b:{i % 7}. a:{i % 4} likes b:{i % 5}; b:1 contains b:2") for i in range(40)]
+    known, asked, said, given = {(r.src, r.dst): r.type for r in edges.collect()}, {}, {}, {}
+    for i, (k, _, _) in enumerate(rows):
+        asked.setdefault(k, set()).update((f"a:{i % 9}", f"a:{i % 4}"))
+        said.setdefault(k, set()).update(((f"a:{i % 9}", "contains", f"b:{i % 7}"), (f"a:{i % 4}", "likes", f"b:{i % 5}"), ("b:1", "contains", "b:2")))
+        given.setdefault(k, set()).update(x for a, _, b in said[k] for x in (a, b))
+    want = {}
+    for k, told in said.items():
+        targets = {b for a, b in known if a in asked[k]}
+        want[k] = [len(told), sum(known.get((a, b)) == t for a, t, b in told), sum(known.get((a, b), t) != t for a, t, b in told),
+                   len(targets), len(targets & given[k])]
+    df = spark.createDataFrame(rows, "id long, question string, response string").repartition(3)
+    steps = []
+    written = E.written
+    monkeypatch.setattr(E, "written", lambda frame, name: steps.append(name) or written(frame, name))
+    for most, rounds in ((1000, 1), (-(-edges.count() // 3), 3)):
+        monkeypatch.setattr(E, "ROUND_EDGES", most)
+        steps.clear()
+        got = {r.id: [r.n_statements, r.n_supported, r.n_conflicts, r.n_targets, r.n_covered] for r in
+               E.graph_response_checks(df, edges, {"contains": "contains", "likes": "likes"}).collect()}
+        assert got == want and steps == ["told", *["facts", "covered"] * rounds]
+
+
 def test_contexts_have_a_limit_for_hubs(spark):
     nodes = spark.createDataFrame([("hub", "the hub"), ("x0", None)], "id string, definition string")
     edges = spark.range(60).select(F.lit("hub").alias("src"), F.format_string("x%02d", "id").alias("dst"), F.lit("to").alias("type"))

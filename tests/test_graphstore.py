@@ -132,3 +132,21 @@ def test_dealt_by_rows(spark, monkeypatch):
     assert session.dealt(frame, 4000, "id").rdd.getNumPartitions() == 40
     assert session.dealt(frame, 4000, "k").distinct().count() == 4000
     assert session.dealt(frame, 50, "id").count() == 4000
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    """What a step has shuffled is dropped when it has ended; what is run beside is not."""
+    import time
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    conf = spark.conf.get(name, None)
+    shuffled = spark.range(1000).selectExpr("id % 3 AS k").groupBy("k").count()
+    before = files()
+    step = session.written(shuffled, "counted")
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(name, None) == conf
+    assert sorted(r["count"] for r in step.collect()) == [333, 333, 334]
+    assert sorted(r["count"] for r in shuffled.collect()) == [333, 333, 334]
