@@ -123,3 +123,17 @@ def test_sources_counted_over_words_and_long_lists(spark, monkeypatch):
             want = reach.source_counts(reach.expand_masks(src, e, depth)[0])
             assert sorted(map(tuple, reach.count_sources(src, e, depth).collect())) == sorted(map(tuple, want.collect()))
     assert reach.count_sources(src.limit(0), e, 1).count() == 0
+
+
+def test_last_hop_in_rounds_and_no_edges_kept(spark, monkeypatch):
+    """Words that take turns in the last hop give the same counts, and no edge is kept."""
+    edges = _graph(9, 60, 260)
+    e = spark.createDataFrame(edges, "src string, dst string, type string")
+    src = spark.createDataFrame([(f"s{i}", f"n{i % 60}") for i in range(300)], "source string, node string")
+    want = sorted(map(tuple, reach.source_counts(reach.expand_masks(src, e, 3)[0]).collect()))
+    steps, written, kept = [], reach.written, []
+    monkeypatch.setattr(reach, "written", lambda frame, name: steps.append(name) or written(frame, name))
+    monkeypatch.setattr(reach, "keyed", lambda *a: kept.append(a))
+    monkeypatch.setattr(reach, "ROUND", 900)
+    assert sorted(map(tuple, reach.count_sources(src, e, 3).collect())) == want
+    assert 2 <= steps.count("counts") <= 5 and not kept   # 300 sources are 5 words
